@@ -189,6 +189,11 @@ def otpw_sql() -> str:
 
 
 # ---------------------------------------------------------------- loans (LW)
+# Discounted price in whole cents (integer arithmetic, then one division), so
+# both engines produce bit-identical doubles and later rounding never meets a
+# half-way case.
+PAID = ("floor(CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT)) / 100)"
+        " / 100")
 _TENURE = (
     "CASE l_partkey % 12 WHEN 0 THEN 'n/a' WHEN 1 THEN '< 1 year' WHEN 2 THEN '1 year' "
     "WHEN 11 THEN '10+ years' ELSE CAST(l_partkey % 12 - 1 AS STRING) || ' years' END"
@@ -220,7 +225,7 @@ LOAN_COLS = [
         "verification_status",
         "CASE l_suppkey % 3 WHEN 0 THEN 'Verified' WHEN 1 THEN 'Source Verified' ELSE 'Not Verified' END",
     ),
-    Col("total_pymnt", "round(l_extendedprice * (1 - l_discount), 2)"),
+    Col("total_pymnt", PAID),
     Col("loan_amnt", "l_quantity * 1000"),
     Col("grade", "l_returnflag"),
     Col("annual_inc", "CASE WHEN l_orderkey % 31 = 0 THEN NULL ELSE o_totalprice END"),
@@ -257,7 +262,7 @@ SCORE_COLS = [
     Col("score_tied", "l_discount * 10"),
     Col("score", "l_extendedprice / 105000"),
     Col("label", "CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS DOUBLE)"),
-    Col("net", "round(l_extendedprice * (1 - l_discount) - 1000 * l_quantity, 2)"),
+    Col("net", f"{PAID} - l_quantity * 1000"),
 ]
 
 

@@ -1,0 +1,87 @@
+"""Versioned tables without a table-format jar.
+
+A table is a folder of immutable snapshots ``version=N/`` (parquet) plus a
+``_history`` parquet table with one row per write.  Overwrite = write the
+next version; the previous one stays readable, so a job may overwrite the
+table it reads (plain parquet cannot).  Schema evolution = a new snapshot
+with more columns; reading all versions with ``mergeSchema`` gives old rows
+null in the new columns.  The folder lives under the cluster's shared
+``spark.checkpoint.dir`` (see ``plover.session.fresh_path``).
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+HISTORY_SCHEMA = ("version long, operation string, mode string, n_rows long, n_columns int, "
+                  "added_columns string, removed_columns string, written_at timestamp")
+
+
+class SnapshotTable:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    @property
+    def history_path(self) -> str:
+        return f"{self.path}/_history"
+
+    def _history_or_none(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
+        except Exception:  # noqa: BLE001 - no write yet
+            return None
+
+    def latest_version(self) -> int | None:
+        h = self._history_or_none()
+        if h is None:
+            return None
+        v = h.agg(F.max("version")).first()[0]
+        return None if v is None else int(v)
+
+    def version_path(self, version: int) -> str:
+        return f"{self.path}/version={version}"
+
+    def write(self, df: DataFrame, merge_schema: bool = False, operation: str = "WRITE") -> int:
+        """Write ``df`` as the next version (mode overwrite); returns the version number.
+
+        Without ``merge_schema`` a changed column set is refused, as a table
+        format without schema evolution would.
+        """
+        prev = self.latest_version()
+        version = 0 if prev is None else prev + 1
+        old_cols: list[str] = []
+        if prev is not None:
+            old_cols = self.spark.read.parquet(self.version_path(prev)).columns
+            if not merge_schema and set(old_cols) != set(df.columns):
+                raise ValueError("schema changed; pass merge_schema=True to evolve the table")
+        df.write.mode("errorifexists").parquet(self.version_path(version))
+        written = self.spark.read.parquet(self.version_path(version))
+        n_rows = written.count()  # parquet footers: no data pass
+        added = [c for c in written.columns if c not in old_cols] if prev is not None else []
+        removed = [c for c in old_cols if c not in written.columns]
+        row = [(version, operation, "Overwrite", n_rows, len(written.columns), ",".join(added), ",".join(removed),
+                _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))]
+        self.spark.createDataFrame(row, HISTORY_SCHEMA).coalesce(1).write.mode("append").parquet(self.history_path)
+        return version
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """A5: the latest (or a given) snapshot."""
+        v = self.latest_version() if version is None else version
+        if v is None:
+            raise FileNotFoundError(self.path)
+        return self.spark.read.parquet(self.version_path(v))
+
+    def read_all(self) -> DataFrame:
+        """Every snapshot with merged schema and a ``version`` column (partition pruning on it)."""
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
+
+    def history(self) -> DataFrame:
+        """``DESCRIBE HISTORY`` as a DataFrame, newest first."""
+        h = self._history_or_none()
+        if h is None:
+            return self.spark.createDataFrame([], HISTORY_SCHEMA)
+        return h.orderBy(F.col("version").desc())
