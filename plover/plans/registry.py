@@ -30,7 +30,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.round(F.col(f.name).cast("double"), digits).alias(f.name))
+            # "+ 0.0" turns -0.0 into 0.0 so signed zeros never split equal results
+            cols.append((F.round(F.col(f.name).cast("double"), digits) + F.lit(0.0)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
