@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plover.plans import q_eval, q_explore, q_features, q_loans  # noqa: F401
+from plover.plans import q_eval, q_explore, q_features, q_joins, q_loans  # noqa: F401
 from plover.plans.registry import ORACLES, QUERIES
 
 
