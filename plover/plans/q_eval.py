@@ -281,7 +281,7 @@ def class_weights(spark, sf):
 # ------------------------------------------------------------------ H9-H14, J8 (rows-only: model outputs)
 def _model_data(spark, sf):
     d = M.prepare(flows.loans_munged(spark, sf), SPEC.numerics)
-    train = d.filter(F.col("issue_year") <= TRAIN_CUTOFF)
+    train = M.materialize(d.filter(F.col("issue_year") <= TRAIN_CUTOFF))
     valid = d.filter(F.col("issue_year") > TRAIN_CUTOFF)
     return train, valid
 
@@ -337,7 +337,7 @@ def lr_rolling(spark, sf):
     """Logistic regression (defaults) on scaled rolling weather features, label DEP_DEL15."""
     from pyspark.ml.classification import LogisticRegression
 
-    a = assembled(spark, sf).filter(F.col("DEP_DEL15").isNotNull())
+    a = M.materialize(assembled(spark, sf).filter(F.col("DEP_DEL15").isNotNull()))
     sc = FT.scaler("features", "features_scaled", with_mean=False).fit(a)
     t = sc.transform(a)
     model = LogisticRegression(featuresCol="features_scaled", labelCol="DEP_DEL15").fit(t)

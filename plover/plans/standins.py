@@ -180,7 +180,7 @@ OTPW_COLS = [
 
 
 def otpw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = scan(spark, sf_dir, "events", ["event_id", "ts", "value"])
+    ev = scan(spark, sf_dir, "events", ["event_id", "ts", "value"], heavy_rows=True)
     return _apply(ev, OTPW_COLS)
 
 
@@ -246,7 +246,7 @@ LOAN_COLS = [
 
 def loans_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw (dirty-text) loan table, one row per lineitem."""
-    li = scan(spark, sf_dir, "lineitem")
+    li = scan(spark, sf_dir, "lineitem", heavy_rows=True)
     od = scan(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice", "o_custkey"])
     return _apply(li.join(od, li.l_orderkey == od.o_orderkey), LOAN_COLS)
 

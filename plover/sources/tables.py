@@ -9,10 +9,30 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def scan(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """A1: directory/file scan; ``columns`` prunes at the reader (ReadSchema)."""
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a DataFrame that has fewer partitions than the session has cores.
+
+    A file with one row group (or one gzip stream) is read by one task however
+    big it is; every per-row expression up to the first shuffle would then run
+    on one core.  On a cluster a table has thousands of splits and this is a
+    no-op (no extra shuffle); it only fires for under-split inputs.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
+def scan(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+         heavy_rows: bool = False) -> DataFrame:
+    """A1: directory/file scan; ``columns`` prunes at the reader (ReadSchema).
+
+    ``heavy_rows``: the caller runs costly per-row work (regex, date parsing,
+    model fitting) before any shuffle, so an under-split input is spread first.
+    Cheap aggregations skip it: partial aggregation shrinks rows before the
+    shuffle, which beats shuffling raw rows.
+    """
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread(df) if heavy_rows else df
 
 
 def scan_glob(spark: SparkSession, pattern: str) -> DataFrame:
