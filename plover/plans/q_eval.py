@@ -332,6 +332,26 @@ def lr_training_summary(spark, sf):
     return f.orderBy(F.col("F-Measure").desc(), F.col("threshold").asc()).limit(1)
 
 
+@query("cv_max_iter")
+def cv_max_iter(spark, sf):
+    """Grid over maxIter [0, 1, 5] for the rolling-feature logistic regression, 5 key-hash folds."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    a = assembled(spark, sf).filter(F.col("DEP_DEL15").isNotNull())
+    data = M.materialize(M.with_folds(a, ["event_id"]))
+    lr = LogisticRegression(featuresCol="features_scaled", labelCol="DEP_DEL15")
+    pipe = Pipeline(stages=[FT.scaler("features", "features_scaled", with_mean=False), lr])
+    grid = ParamGridBuilder().addGrid(lr.maxIter, [0, 1, 5]).build()
+    ev = BinaryClassificationEvaluator(labelCol="DEP_DEL15")
+    model = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=5, foldCol="fold",
+                           seed=M.SEED).fit(data)
+    rows = [(int(g[lr.maxIter]), float(m)) for g, m in zip(grid, model.avgMetrics)]
+    return spark.createDataFrame(rows, "maxIter int, avg_auc double")
+
+
 @query("lr_rolling")
 def lr_rolling(spark, sf):
     """Logistic regression (defaults) on scaled rolling weather features, label DEP_DEL15."""
