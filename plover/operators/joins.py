@@ -48,3 +48,29 @@ def deduplicate(df: DataFrame, keys: list[str], order: list[str] | None = None)
     tail = [c for c in rest if c not in order]
     packed = F.struct(*[F.col(c).alias(c) for c in order + tail])
     return df.groupBy(*keys).agg(F.min(packed).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
+def aggregate_through_dimension(fact: DataFrame, fact_keys: list[str], dims: list[tuple[DataFrame, str, str]],
+                                group_cols: list[str], means: dict[str, str] | None = None,
+                                count_name: str | None = None) -> DataFrame:
+    """Group means / counts of fact rows per dimension attribute, aggregated *before* the join.
+
+    The fact table is reduced to one row per foreign key (partial + final
+    aggregation, one shuffle), and only that small table is joined to the
+    dimension chain ``dims`` = [(dim_df, fact_key, dim_key), ...] and
+    re-aggregated.  Means are carried as (sum, count) so the result equals
+    ``avg`` over the joined rows; inner-join semantics are kept.
+    """
+    means = means or {}
+    aggs = []
+    for name, src in means.items():
+        aggs += [F.sum(src).alias(f"_s_{name}"), F.count(src).alias(f"_c_{name}")]
+    if count_name:
+        aggs.append(F.count(F.lit(1)).alias("_n"))
+    pre = fact.groupBy(*fact_keys).agg(*aggs)
+    for dim, fk, dk in dims:
+        pre = pre.join(dim, pre[fk] == dim[dk])
+    outs = [F.try_divide(F.sum(f"_s_{n}"), F.sum(f"_c_{n}")).alias(n) for n in means]
+    if count_name:
+        outs.append(F.sum("_n").alias(count_name))
+    return pre.groupBy(*group_cols).agg(*outs)

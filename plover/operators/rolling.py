@@ -41,39 +41,43 @@ def lagged_range_mean(
     partition_cols: list[str] | None = None,
     bucket_seconds: int | None = None,
     name_fmt: str = "rolling_{}_average",
+    keep_cols: list[str] | None = None,
 ) -> DataFrame:
     """Mean of each value over rows whose time is in [t - lo, t - hi].
 
-    ``partition_cols`` gives the keyed variant (frames never cross keys).  A
-    row with a null time gets null means.  Returns ``id_cols`` + partition
-    columns + one mean column per value.
+    One scan, one shuffle: every row is exploded into itself as a target plus
+    its (at most 2) source copies, then one range window partitioned by
+    (key, bucket) runs over the source values.  ``partition_cols`` gives the
+    keyed variant (frames never cross keys).  A row with a null time gets
+    null means.  Returns ``id_cols`` + partition columns + ``keep_cols`` +
+    one mean column per value.
     """
     assert lo_seconds >= hi_seconds >= 0, "frame must lie before the row: lo >= hi >= 0"
     parts = list(partition_cols or [])
+    carry = [c for c in dict.fromkeys(list(id_cols) + list(keep_cols or [])) if c not in parts]
     width = bucket_seconds or max(lo_seconds - hi_seconds, 1)
-    t = _secs(df, time_col)
-    base = df.select(*id_cols, *[c for c in parts if c not in id_cols], t.alias("_t"), *value_cols)
-    targets = base.select(
-        *id_cols, *[c for c in parts if c not in id_cols], "_t",
-        F.floor(F.col("_t") / width).alias("_b"), F.lit(True).alias("_tgt"),
-        *[F.lit(None).cast("double").alias(c) for c in value_cols],
+    t = F.col("_t")
+    base = df.select(*parts, *carry, _secs(df, time_col).alias("_t"),
+                     *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(value_cols)])
+    target = F.array(F.struct(F.floor(t / width).alias("b"), F.lit(True).alias("tgt")))
+    sources = F.transform(F.sequence(F.floor((t + hi_seconds) / width), F.floor((t + lo_seconds) / width)),
+                          lambda b: F.struct(b.alias("b"), F.lit(False).alias("tgt")))
+    marks = F.when(t.isNull(), target).otherwise(F.concat(target, sources))
+    rows = base.select(*parts, *carry, "_t", *[f"_v{i}" for i in range(len(value_cols))],
+                       F.explode(marks).alias("_m"))
+    tgt = F.col("_m.tgt")
+    rows = rows.select(
+        *parts, *[F.when(tgt, F.col(c)).alias(c) for c in carry], "_t", F.col("_m.b").alias("_b"), tgt.alias("_tgt"),
+        *[F.when(~tgt, F.col(f"_v{i}")).alias(f"_v{i}") for i in range(len(value_cols))],
     )
-    first_b = F.floor((F.col("_t") + hi_seconds) / width)
-    last_b = F.floor((F.col("_t") + lo_seconds) / width)
-    sources = base.filter(F.col("_t").isNotNull()).select(
-        *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in id_cols],
-        *[c for c in parts if c not in id_cols], "_t",
-        F.explode(F.sequence(first_b, last_b)).alias("_b"), F.lit(False).alias("_tgt"),
-        *[F.col(c).cast("double").alias(c) for c in value_cols],
-    )
-    both = targets.unionByName(sources)
     w = Window.partitionBy(*parts, "_b").orderBy("_t").rangeBetween(-lo_seconds, -hi_seconds)
-    out = both.select(
-        *id_cols, *[c for c in parts if c not in id_cols], "_t", "_tgt",
-        *[F.avg(c).over(w).alias(name_fmt.format(c)) for c in value_cols],
+    out = rows.select(
+        *parts, *carry, "_t", "_tgt",
+        *[F.avg(f"_v{i}").over(w).alias(name_fmt.format(c)) for i, c in enumerate(value_cols)],
     ).filter("_tgt")
     means = [F.when(F.col("_t").isNotNull(), F.col(name_fmt.format(c))).alias(name_fmt.format(c)) for c in value_cols]
-    return out.select(*id_cols, *[c for c in parts if c not in id_cols], *means)
+    return out.select(*[c for c in id_cols if c not in parts], *parts,
+                      *[c for c in carry if c not in id_cols], *means)
 
 
 def lagged_range_mean_global(df: DataFrame, time_col: str, value_cols: list[str], lo_seconds: int,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plover.functions.parse import clock_hour, parse_number_text, route_name
+from plover.operators import joins as J
 from plover.operators import profile, rank
 from plover.operators.clean import drop_missing
 from plover.plans import standins as S
@@ -26,6 +27,23 @@ def _route_table(spark, sf):
     return drop_missing(S.flights(spark, sf, cities=True).select(*ROUTE_COLS))
 
 
+def _complete_flights(spark, sf, cols=("ARR_DELAY", "DEP_DELAY")):
+    """Flights complete in the delay columns; city names are attached later, per key."""
+    return drop_missing(S.flights(spark, sf), list(cols))
+
+
+_CITY_DIM = {
+    "ORIGIN_CITY_NAME": ("l_suppkey", "s_suppkey", S.origin_cities),
+    "DEST_CITY_NAME": ("o_custkey", "c_custkey", S.dest_cities),
+}
+
+
+def _per_city(spark, sf, fact, city, means=None, count_name=None):
+    """Aggregate per foreign key first, then join the small result to the city dimension."""
+    fk, dk, dim = _CITY_DIM[city]
+    return J.aggregate_through_dimension(fact, [fk], [(dim(spark, sf), fk, dk)], [city], means, count_name)
+
+
 def _nonnull_dates(spark, sf):
     return drop_missing(S.flights(spark, sf), ["FL_DATE", "ARR_DELAY", "DEP_DELAY"])
 
@@ -66,7 +84,7 @@ def count_by_carrier(spark, sf):
 
 
 def _top_counts(spark, sf, city):
-    counts = profile.group_count(_route_table(spark, sf), [city], name="count")
+    counts = _per_city(spark, sf, _complete_flights(spark, sf), city, count_name="count")
     return rank.top_k(counts, "count", 10, [city])
 
 
@@ -87,12 +105,9 @@ def top_dest_counts(spark, sf):
 
 
 # ------------------------------------------------------------------ D5, F3, F4 (flagship = top_origin_delay)
-def _city_delay(spark, sf, city, measure, name, k, top, source="nonnull"):
-    src = _nonnull_dates(spark, sf) if source == "nonnull" else _route_table(spark, sf)
-    if source == "nonnull":
-        src = S.flights(spark, sf, cities=True)
-        src = drop_missing(src, ["FL_DATE", "ARR_DELAY", "DEP_DELAY"])
-    means = rounded(profile.group_means(src, [city], {name: measure}), R)
+def _city_delay(spark, sf, city, measure, name, k, top):
+    src = _nonnull_dates(spark, sf)
+    means = rounded(_per_city(spark, sf, src, city, {name: measure}), R)
     return rank.top_k(means, name, k, [city]) if top else rank.bottom_k(means, name, k, [city])
 
 
@@ -130,7 +145,8 @@ def bottom_dest_delay(spark, sf):
     f"SELECT OP_UNIQUE_CARRIER, round(avg(ARR_DELAY), {R}) AS avg_arr_delay FROM flights WHERE {ROUTE_FILTER} "
     "GROUP BY OP_UNIQUE_CARRIER", flights=FLC))
 def mean_by_carrier(spark, sf):
-    return rounded(profile.group_means(_route_table(spark, sf), ["OP_UNIQUE_CARRIER"], {"avg_arr_delay": "ARR_DELAY"}), R)
+    return rounded(profile.group_means(_complete_flights(spark, sf), ["OP_UNIQUE_CARRIER"],
+                                       {"avg_arr_delay": "ARR_DELAY"}), R)
 
 
 # ------------------------------------------------------------------ D8, C18, F5
@@ -140,8 +156,12 @@ _ROUTE_SQL = (f"SELECT ORIGIN_CITY_NAME, DEST_CITY_NAME, round(avg(ARR_DELAY), {
 
 
 def _route_means(spark, sf):
-    return rounded(profile.group_means(_route_table(spark, sf), ["ORIGIN_CITY_NAME", "DEST_CITY_NAME"],
-                                       {"avg_arr_delay": "ARR_DELAY", "avg_dep_delay": "DEP_DELAY"}), R)
+    """Pre-aggregated per (supplier, customer) key pair, then joined to both city dimensions."""
+    dims = [(S.origin_cities(spark, sf), "l_suppkey", "s_suppkey"), (S.dest_cities(spark, sf), "o_custkey", "c_custkey")]
+    g = J.aggregate_through_dimension(_complete_flights(spark, sf), ["l_suppkey", "o_custkey"], dims,
+                                      ["ORIGIN_CITY_NAME", "DEST_CITY_NAME"],
+                                      {"avg_arr_delay": "ARR_DELAY", "avg_dep_delay": "DEP_DELAY"})
+    return rounded(g, R)
 
 
 @query("route_means", with_ctes(_ROUTE_SQL, flights=FLC))

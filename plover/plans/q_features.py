@@ -56,8 +56,8 @@ EXPERIMENT_SQL = (
 def rolled(spark, sf):
     """E1 on the experiment table: lagged 6h..2h means of the four readings, no key."""
     exp = experiment(spark, sf)
-    means = lagged_range_mean(exp, "weather_datetime", HOURLY, LO, HI, id_cols=["event_id"])
-    return exp.join(means, "event_id")
+    return lagged_range_mean(exp, "weather_datetime", HOURLY, LO, HI, id_cols=["event_id"],
+                             keep_cols=[c for c in exp.columns if c != "event_id"])
 
 
 _ROLLED_SQL = (

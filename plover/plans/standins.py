@@ -98,7 +98,7 @@ def flights(spark: SparkSession, sf_dir: str, cities: bool = False) -> DataFrame
         extra = ["origin_name AS ORIGIN_CITY_NAME", "dest_name AS DEST_CITY_NAME"]
     j = j.withColumn("d", F.expr(_D.spark))
     cols = _flight_cols("d")
-    return j.selectExpr(*_FLIGHT_KEYS, *[f"{c.spark} AS {c.name}" for c in cols], *extra)
+    return j.selectExpr(*_FLIGHT_KEYS, "o_custkey", *[f"{c.spark} AS {c.name}" for c in cols], *extra)
 
 
 def flights_sql(cities: bool = False) -> str:
@@ -112,7 +112,7 @@ def flights_sql(cities: bool = False) -> str:
         )
         extra = ",\n  ns.n_name AS ORIGIN_CITY_NAME, nc.n_name AS DEST_CITY_NAME"
     return (
-        f"SELECT {', '.join(_FLIGHT_KEYS)},\n  {_select_list(cols, 'duck')}{extra}\n"
+        f"SELECT {', '.join(_FLIGHT_KEYS)}, o_custkey,\n  {_select_list(cols, 'duck')}{extra}\n"
         f"FROM (SELECT *, {_D.duck} AS d FROM lineitem JOIN orders ON l_orderkey = o_orderkey) b{city_join}"
     )
 
@@ -274,3 +274,19 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scores_sql() -> str:
     return f"SELECT {_select_list(SCORE_COLS, 'duck')}\nFROM lineitem"
+
+
+def origin_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimension: supplier key -> origin city (supplier nation name; nation is 25 rows by spec)."""
+    nation = F.broadcast(scan(spark, sf_dir, "nation", ["n_nationkey", "n_name"]))
+    sup = scan(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
+    return sup.join(nation, sup.s_nationkey == nation.n_nationkey).select(
+        "s_suppkey", F.col("n_name").alias("ORIGIN_CITY_NAME"))
+
+
+def dest_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimension: customer key -> destination city (customer nation name)."""
+    nation = F.broadcast(scan(spark, sf_dir, "nation", ["n_nationkey", "n_name"]))
+    cus = scan(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    return cus.join(nation, cus.c_nationkey == nation.n_nationkey).select(
+        "c_custkey", F.col("n_name").alias("DEST_CITY_NAME"))
