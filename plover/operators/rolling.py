@@ -8,8 +8,8 @@ E1 in the reference is ``avg(c) over (order by epoch_seconds range between
 * a row is a *source* in each bucket that holds a target whose frame
   ``[t - lo, t - hi]`` can contain it: buckets ``floor((s + hi) / W)`` ..
   ``floor((s + lo) / W)``; with ``W >= lo - hi`` that is at most 2 buckets;
-* the same range window, partitioned by bucket, over source values only,
-  read at the target rows.
+* inside a bucket, frame sums are differences of exact running sums read at
+  ``t - hi`` and ``t - lo - 1`` (linear, not a per-row rescan of the frame).
 
 Every frame of the global window is rebuilt inside one bucket, so the result
 is exact; the shuffle is by bucket, so it spreads over the cluster.
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
+from pyspark.sql.types import DecimalType, TimestampNTZType
 
 from plover.functions.parse import epoch_seconds
 
@@ -46,16 +46,21 @@ def lagged_range_mean(
     """Mean of each value over rows whose time is in [t - lo, t - hi].
 
     One scan, one shuffle: every row is exploded into itself as a target plus
-    its (at most 2) source copies, then one range window partitioned by
-    (key, bucket) runs over the source values.  ``partition_cols`` gives the
-    keyed variant (frames never cross keys).  A row with a null time gets
-    null means.  Returns ``id_cols`` + partition columns + ``keep_cols`` +
-    one mean column per value.
+    its (at most 2) source copies; rows are partitioned by (key, bucket) and
+    sorted by time once.  Inside a bucket the frame mean is a difference of
+    running sums: ``(S(<= t-hi) - S(<= t-lo-1)) / (C(<= t-hi) - C(<= t-lo-1))``.
+    Running sums use incremental frames (linear time, unlike a sliding range
+    frame that rescans the frame per row) and exact DECIMAL(38,12) sums, so the
+    difference has no cancellation error.  NaN in a frame gives NaN, an empty
+    frame or a null time gives null, as ``avg`` over the range window does.
+    ``partition_cols`` gives the keyed variant (frames never cross keys).
+    Returns ``id_cols`` + partition columns + ``keep_cols`` + one mean per value.
     """
     assert lo_seconds >= hi_seconds >= 0, "frame must lie before the row: lo >= hi >= 0"
     parts = list(partition_cols or [])
     carry = [c for c in dict.fromkeys(list(id_cols) + list(keep_cols or [])) if c not in parts]
     width = bucket_seconds or max(lo_seconds - hi_seconds, 1)
+    n = len(value_cols)
     t = F.col("_t")
     base = df.select(*parts, *carry, _secs(df, time_col).alias("_t"),
                      *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(value_cols)])
@@ -63,21 +68,38 @@ def lagged_range_mean(
     sources = F.transform(F.sequence(F.floor((t + hi_seconds) / width), F.floor((t + lo_seconds) / width)),
                           lambda b: F.struct(b.alias("b"), F.lit(False).alias("tgt")))
     marks = F.when(t.isNull(), target).otherwise(F.concat(target, sources))
-    rows = base.select(*parts, *carry, "_t", *[f"_v{i}" for i in range(len(value_cols))],
-                       F.explode(marks).alias("_m"))
+    rows = base.select(*parts, *carry, "_t", *[f"_v{i}" for i in range(n)], F.explode(marks).alias("_m"))
     tgt = F.col("_m.tgt")
     rows = rows.select(
         *parts, *[F.when(tgt, F.col(c)).alias(c) for c in carry], "_t", F.col("_m.b").alias("_b"), tgt.alias("_tgt"),
-        *[F.when(~tgt, F.col(f"_v{i}")).alias(f"_v{i}") for i in range(len(value_cols))],
+        *[F.when(~tgt, F.col(f"_v{i}")).alias(f"_v{i}") for i in range(n)],
     )
-    w = Window.partitionBy(*parts, "_b").orderBy("_t").rangeBetween(-lo_seconds, -hi_seconds)
-    out = rows.select(
-        *parts, *carry, "_t", "_tgt",
-        *[F.avg(f"_v{i}").over(w).alias(name_fmt.format(c)) for i, c in enumerate(value_cols)],
-    ).filter("_tgt")
-    means = [F.when(F.col("_t").isNotNull(), F.col(name_fmt.format(c))).alias(name_fmt.format(c)) for c in value_cols]
+    dec = DecimalType(38, 12)
+    w_ord = Window.partitionBy(*parts, "_b").orderBy("_t")
+    w_run = w_ord.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = {}
+    for i in range(n):
+        x = F.col(f"_v{i}")
+        finite = x.isNotNull() & ~F.isnan(x)
+        run[f"_s{i}"] = F.when(~F.col("_tgt"), F.sum(F.when(finite, x.cast(dec)).otherwise(F.lit(0).cast(dec))).over(w_run))
+        run[f"_c{i}"] = F.when(~F.col("_tgt"), F.sum(F.when(x.isNotNull(), 1).otherwise(0)).over(w_run))
+        run[f"_n{i}"] = F.when(~F.col("_tgt"), F.sum(F.when(F.isnan(x), 1).otherwise(0)).over(w_run))
+    rows = rows.withColumns(run)
+    w_hi = w_ord.rangeBetween(Window.unboundedPreceding, -hi_seconds)
+    w_lo = w_ord.rangeBetween(Window.unboundedPreceding, -(lo_seconds + 1))
+    means = []
+    for i, c in enumerate(value_cols):
+        def at(col, w):
+            return F.coalesce(F.last(col, ignorenulls=True).over(w), F.lit(0))
+        s_in = (at(f"_s{i}", w_hi) - at(f"_s{i}", w_lo)).cast("double")
+        c_in = at(f"_c{i}", w_hi) - at(f"_c{i}", w_lo)
+        nan_in = at(f"_n{i}", w_hi) - at(f"_n{i}", w_lo)
+        mean = (F.when(t.isNull() | (c_in == 0), F.lit(None).cast("double"))
+                .when(nan_in > 0, F.lit(float("nan"))).otherwise(s_in / c_in))
+        means.append(mean.alias(name_fmt.format(c)))
+    out = rows.select(*parts, *carry, "_tgt", *means).filter("_tgt")
     return out.select(*[c for c in id_cols if c not in parts], *parts,
-                      *[c for c in carry if c not in id_cols], *means)
+                      *[c for c in carry if c not in id_cols], *[name_fmt.format(c) for c in value_cols])
 
 
 def lagged_range_mean_global(df: DataFrame, time_col: str, value_cols: list[str], lo_seconds: int,
