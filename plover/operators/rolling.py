@@ -31,6 +31,9 @@ def _secs(df: DataFrame, time_col: str):
     return epoch_seconds(time_col, dtype if isinstance(dtype, TimestampNTZType) else None)
 
 
+HOT_BUCKET_ROWS = 4_000_000  # a time bucket above this many rows switches to the balanced form
+
+
 def lagged_range_mean(
     df: DataFrame,
     time_col: str,
@@ -42,9 +45,85 @@ def lagged_range_mean(
     bucket_seconds: int | None = None,
     name_fmt: str = "rolling_{}_average",
     keep_cols: list[str] | None = None,
+    strategy: str = "auto",
 ) -> DataFrame:
     """Mean of each value over rows whose time is in [t - lo, t - hi].
 
+    ``strategy``: ``"bucketed"`` (time buckets, one shuffle), ``"balanced"``
+    (skew-proof: quantile-balanced running totals, no time bucket can
+    concentrate work) or ``"auto"``: one count per time bucket decides.
+    ``id_cols`` must identify a row (within ``partition_cols``).
+    """
+    assert lo_seconds >= hi_seconds >= 0, "frame must lie before the row: lo >= hi >= 0"
+    if strategy == "auto":
+        width = bucket_seconds or max(lo_seconds - hi_seconds, 1)
+        parts = list(partition_cols or [])
+        hot = (df.select(*parts, F.floor(_secs(df, time_col) / width).alias("_b"))
+               .groupBy(*parts, "_b").count().agg(F.max("count")).first()[0]) or 0
+        strategy = "balanced" if hot > HOT_BUCKET_ROWS else "bucketed"
+    fn = _lagged_balanced if strategy == "balanced" else _lagged_bucketed
+    return fn(df, time_col, value_cols, lo_seconds, hi_seconds, id_cols, partition_cols, bucket_seconds,
+              name_fmt, keep_cols)
+
+
+def _lagged_balanced(df, time_col, value_cols, lo_seconds, hi_seconds, id_cols, partition_cols, bucket_seconds,
+                     name_fmt, keep_cols) -> DataFrame:
+    """Skew-proof E1: sources and two zero-weight probes per target share one order key
+    (``2*time`` for sources, ``2*probe_time + 1`` for probes, so a probe sorts after
+    sources of equal time); the distributed running totals (quantile-balanced
+    buckets) give each probe the exact sums of all sources up to its time; the
+    probes of a target meet again in one group (two rows per group)."""
+    from plover.operators.prefix import running_totals
+
+    parts = list(partition_cols or [])
+    carry = [c for c in dict.fromkeys(list(id_cols) + list(keep_cols or [])) if c not in parts]
+    ids = [c for c in id_cols if c not in parts]
+    n = len(value_cols)
+    dec = DecimalType(38, 12)
+    t = F.col("_t")
+    base = df.select(*parts, *carry, _secs(df, time_col).alias("_t"),
+                     *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(value_cols)])
+    # kind 0 = source, 1 = probe at t-hi, 2 = probe at t-lo-1
+    kinds = F.when(t.isNull(), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0), F.lit(1), F.lit(2)))
+    rows = base.select("*", F.explode(kinds).alias("_k"))
+    k = F.col("_k")
+    probe_time = F.when(k == 1, t - hi_seconds).otherwise(t - lo_seconds - 1)
+    order = F.when(k == 0, t * 2).otherwise(probe_time * 2 + 1)
+    weights = {}
+    for i in range(n):
+        x = F.col(f"_v{i}")
+        src = k == 0
+        weights[f"_ws{i}"] = F.when(src & x.isNotNull() & ~F.isnan(x), x.cast(dec)).otherwise(F.lit(0).cast(dec))
+        weights[f"_wc{i}"] = F.when(src & x.isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+        weights[f"_wn{i}"] = F.when(src & F.isnan(x), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    rows = rows.select(*parts, *[F.when(k == 1, F.col(c)).alias(c) if c not in ids else F.col(c) for c in carry],
+                       "_t", "_k", order.cast("double").alias("_okey"), *[v.alias(c) for c, v in weights.items()])
+    null_probe = rows.filter(F.col("_okey").isNull())  # null-time targets: means are null
+    cum = running_totals(rows.filter(F.col("_okey").isNotNull()), "_okey", list(weights), partition_cols=parts or None)
+    cum = cum.filter(F.col("_k") > 0).unionByName(
+        null_probe.filter(F.col("_k") > 0).select("*", *[F.lit(None).cast(cum.schema[f"cum_{c}"].dataType)
+                                                           .alias(f"cum_{c}") for c in weights]))
+    aggs = [F.first(F.when(F.col("_k") == 1, F.col(c)), ignorenulls=True).alias(c) for c in carry if c not in ids]
+    aggs.append(F.first(F.when(F.col("_k") == 1, F.col("_t")), ignorenulls=True).alias("_t"))
+    for c in weights:
+        aggs.append(F.max(F.when(F.col("_k") == 1, F.col(f"cum_{c}"))).alias(f"_hi{c}"))
+        aggs.append(F.max(F.when(F.col("_k") == 2, F.col(f"cum_{c}"))).alias(f"_lo{c}"))
+    g = cum.groupBy(*parts, *ids).agg(*aggs)
+    means = []
+    for i, c in enumerate(value_cols):
+        def diff(w):
+            return F.coalesce(F.col(f"_hi{w}"), F.lit(0)) - F.coalesce(F.col(f"_lo{w}"), F.lit(0))
+        cnt, nan = diff(f"_wc{i}"), diff(f"_wn{i}")
+        mean = (F.when(F.col("_t").isNull() | (cnt == 0), F.lit(None).cast("double"))
+                .when(nan > 0, F.lit(float("nan"))).otherwise(diff(f"_ws{i}").cast("double") / cnt))
+        means.append(mean.alias(name_fmt.format(c)))
+    return g.select(*ids, *parts, *[c for c in carry if c not in id_cols], *means)
+
+
+def _lagged_bucketed(df, time_col, value_cols, lo_seconds, hi_seconds, id_cols, partition_cols, bucket_seconds,
+                     name_fmt, keep_cols) -> DataFrame:
+    """Bucketed E1 (below).
+
     One scan, one shuffle: every row is exploded into itself as a target plus
     its (at most 2) source copies; rows are partitioned by (key, bucket) and
     sorted by time once.  Inside a bucket the frame mean is a difference of
