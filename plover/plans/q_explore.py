@@ -22,11 +22,6 @@ ROUTE_FILTER = "ARR_DELAY IS NOT NULL AND NOT isnan(ARR_DELAY) AND DEP_DELAY IS
 REASONS = ["CARRIER_DELAY", "WEATHER_DELAY", "NAS_DELAY", "SECURITY_DELAY", "LATE_AIRCRAFT_DELAY"]
 
 
-def _route_table(spark, sf):
-    """Flights with cities, rows complete in the five route columns (FD's ``na.drop``)."""
-    return drop_missing(S.flights(spark, sf, cities=True).select(*ROUTE_COLS))
-
-
 def _complete_flights(spark, sf, cols=("ARR_DELAY", "DEP_DELAY")):
     """Flights complete in the delay columns; city names are attached later, per key."""
     return drop_missing(S.flights(spark, sf), list(cols))

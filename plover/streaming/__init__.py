@@ -10,11 +10,19 @@ with the watermark a stream needs for append output.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from plover.operators.rolling import tumbling_mean
 
 
 def tumbling_mean_stream(stream: DataFrame, time_col: str, value_col: str, duration: str = "4 hours",
                          watermark: str = "1 hour") -> DataFrame:
-    """J10 on ``spark.readStream`` input: rows later than the watermark are dropped by Spark."""
+    """J10 on ``spark.readStream`` input: rows later than the watermark are dropped by Spark.
+
+    Watermarks need TIMESTAMP; a TIMESTAMP_NTZ event time is cast first (wall
+    clock read in the session time zone).
+    """
+    if isinstance(stream.schema[time_col].dataType, TimestampNTZType):
+        stream = stream.withColumn(time_col, F.col(time_col).cast("timestamp"))
     return tumbling_mean(stream.withWatermark(time_col, watermark), time_col, value_col, duration)
