@@ -99,6 +99,12 @@ def temporal_split(df: DataFrame, col: str, cutoff) -> tuple[DataFrame, DataFram
     return df.filter(F.col(col) <= cutoff), df.filter(F.col(col) > cutoff)
 
 
+def temporal_side(col: str, cutoff) -> Column:
+    """B12 as one column ('train' / 'valid' / 'neither'), for single-pass reports."""
+    c = F.col(col)
+    return F.when(c <= cutoff, "train").when(c > cutoff, "valid").otherwise("neither")
+
+
 def cast_many(df: DataFrame, cols: list[str], dtype: str) -> DataFrame:
     """Many casts in one projection; text goes through ``try_cast``."""
     types = dict(df.dtypes)

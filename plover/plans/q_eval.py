@@ -12,7 +12,7 @@ from plover.operators import features as FT
 from plover.operators import models as M
 from plover.plans import flows
 from plover.plans import standins as S
-from plover.plans.q_features import HOURLY, ROLLING, assembled
+from plover.plans.q_features import assembled
 from plover.plans.registry import query, rounded, with_ctes
 
 SC = S.scores_sql()

@@ -13,7 +13,7 @@ from plover.plans.registry import query, rounded, with_ctes
 from plover.session import fresh_path
 from plover.sources import catalog, csv, schema
 from plover.sources.snapshots import SnapshotTable
-from plover.sources.tables import scan, scan_glob, table_path
+from plover.sources.tables import scan, scan_glob
 
 RAW = S.loans_raw_sql()
 CLEAN = flows.loans_clean_sql()
@@ -162,14 +162,9 @@ TRAIN_CUTOFF = 1998.0
     f"SELECT CASE WHEN issue_year <= {TRAIN_CUTOFF} THEN 'train' WHEN issue_year > {TRAIN_CUTOFF} THEN 'valid' "
     "ELSE 'neither' END AS side, count(*) AS n FROM clean GROUP BY 1", clean=CLEAN))
 def temporal_split(spark, sf):
-    """Train <= cutoff year < valid; a null year is in neither side."""
+    """Train <= cutoff year < valid; a null year is in neither side (one pass)."""
     c = flows.loans_clean(spark, sf)
-    train, valid = C.temporal_split(c, "issue_year", TRAIN_CUTOFF)
-    neither = c.filter(F.col("issue_year").isNull())
-    parts = [train.select(F.lit("train").alias("side")), valid.select(F.lit("valid").alias("side")),
-             neither.select(F.lit("neither").alias("side"))]
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return u.groupBy("side").agg(F.count(F.lit(1)).alias("n"))
+    return c.groupBy(C.temporal_side("issue_year", TRAIN_CUTOFF).alias("side")).agg(F.count(F.lit(1)).alias("n"))
 
 
 # ------------------------------------------------------------------ A4-A8, A12: snapshots, history, catalog

@@ -10,12 +10,15 @@ def _quote(name: str) -> str:
 
 
 def register_external(spark: SparkSession, name: str, location: str, fmt: str = "parquet",
-                      database: str = "default") -> DataFrame:
-    """``USE db; DROP TABLE IF EXISTS; CREATE TABLE .. USING fmt LOCATION``; returns the table."""
+                      database: str = "default", options: dict[str, str] | None = None) -> DataFrame:
+    """``USE db; DROP TABLE IF EXISTS; CREATE TABLE .. USING fmt [OPTIONS] LOCATION``; returns the table."""
     spark.catalog.setCurrentDatabase(database)
     spark.sql(f"DROP TABLE IF EXISTS {_quote(name)}")
     loc = location.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {_quote(name)} USING {fmt} LOCATION '{loc}'")
+    opts = ""
+    if options:
+        opts = " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in options.items()) + ")"
+    spark.sql(f"CREATE TABLE {_quote(name)} USING {fmt}{opts} LOCATION '{loc}'")
     return spark.table(name)
 
 

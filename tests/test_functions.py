@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from plover.functions import (clock_hour, flight_timestamp, label_from_status, label_from_threshold,
                               parse_month_year, parse_number_text, parse_percent, parse_tenure)

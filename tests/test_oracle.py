@@ -46,9 +46,14 @@ def test_entry(spark):
     assert 0 < df.count() <= 10
 
 
+PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     sdf = entry.queries()[name](spark, SF_SMALL)
+    plan = sdf._jdf.queryExecution().executedPlan().toString()
+    assert not any(p in plan for p in PYTHON_NODES), "no Python in the plan"
     res = con.execute(entry.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(ocols)
