@@ -111,16 +111,39 @@ def value_counts_long(df: DataFrame, cols: list[str]) -> DataFrame:
     return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+QUANTILE_ROWS_PER_BUCKET = 1_000_000
+QUANTILE_MAX_BUCKETS = 4096
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
     """Exact linear-interpolated quantiles (like ``percentile`` / ``quantile_cont``).
 
-    Distributed: per-column distinct-value counts, running counts by the
-    bucketed two-level sum, then the values at the two ranks around each
-    quantile.  No group ever holds all values of a column.
-    Columns: column, n, q0..q{k-1}, min, max.
+    Distributed and skew-safe: one multi-column ``approxQuantile`` pass gives
+    every column its own cut points; ``Bucketizer`` (one split array per
+    column) puts each value in a bucket holding at most ~N/B rows; the
+    distinct values are counted per (column, bucket) and the exact running
+    count comes from bucket offsets plus a window inside each bucket.  The
+    values at the two ranks around each quantile are then picked by a filter.
+    No group ever holds all values of a column.  Columns: column, n, q0.., min, max.
     """
-    vc = value_counts_long(df, cols)
-    cum = running_totals(vc, "value", ["n"], partition_cols=["column"])
+    from pyspark.ml.feature import Bucketizer
+
+    wide = df.select(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
+    xs = [f"_x{i}" for i in range(len(cols))]
+    n_rows = wide.count()
+    nb = max(2, min(QUANTILE_MAX_BUCKETS, -(-n_rows // QUANTILE_ROWS_PER_BUCKET)))
+    cuts = wide.approxQuantile(xs, [i / nb for i in range(1, nb)], 1.0 / (4 * nb)) if n_rows else [[] for _ in xs]
+    splits = [[float("-inf")] + sorted(set(v for v in c if v == v)) + [float("inf")] for c in cuts]
+    bucketed = Bucketizer(splitsArray=splits, inputCols=xs, outputCols=[f"_b{i}" for i in range(len(cols))],
+                          handleInvalid="keep").transform(wide)
+    stack = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"_x{i}").alias("value"), F.col(f"_b{i}").alias("bucket"))
+        for i, c in enumerate(cols)])).alias("s")
+    long = bucketed.select(stack).select("s.column", "s.value", "s.bucket")
+    long = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    vc = long.groupBy("column", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
+    cum = running_totals(vc, "value", ["n"], partition_cols=["column"], bucket_col="bucket",
+                         n_buckets=nb + 2)
     tot = vc.groupBy("column").agg(F.sum("n").alias("total"))
     cum = cum.join(F.broadcast(tot), "column")  # one row per profiled column
     aggs = []

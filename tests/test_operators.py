@@ -194,3 +194,14 @@ def test_keyed_balanced_matches_bucketed(spark):
     # decimal(38,12) running sums lose one decimal digit when offsets are added (scale 11): ~1e-11 absolute
     for key in a:
         assert (a[key] is None and b[key] is None) or a[key] == pytest.approx(b[key], rel=1e-9, abs=1e-9)
+
+
+def test_exact_quantiles_many_buckets_with_hot_value(spark, monkeypatch):
+    monkeypatch.setattr(P, "QUANTILE_ROWS_PER_BUCKET", 50)
+    rnd = random.Random(21)
+    vals = [7.0] * 400 + [rnd.uniform(-1e6, 1e6) for _ in range(800)]  # one value holds a third
+    df = spark.createDataFrame([(v, v * 2) for v in vals], "x double, y double")
+    got = {r.column: [r.q0, r.q1, r.q2] for r in P.exact_quantiles(df, ["x", "y"], [0.1, 0.5, 0.9]).collect()}
+    for c in ("x", "y"):
+        want = df.agg(F.percentile(c, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))).first()[0]
+        assert got[c] == pytest.approx(want, rel=1e-12)
