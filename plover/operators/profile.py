@@ -131,11 +131,16 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataF
     wide = df.select(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
     xs = [f"_x{i}" for i in range(len(cols))]
     n_rows = wide.count()
-    nb = max(2, min(QUANTILE_MAX_BUCKETS, -(-n_rows // QUANTILE_ROWS_PER_BUCKET)))
-    cuts = wide.approxQuantile(xs, [i / nb for i in range(1, nb)], 1.0 / (4 * nb)) if n_rows else [[] for _ in xs]
+    nb = min(QUANTILE_MAX_BUCKETS, -(-n_rows // QUANTILE_ROWS_PER_BUCKET))
+    # up to QUANTILE_ROWS_PER_BUCKET rows a column is one bucket: no sketch pass needed
+    cuts = (wide.approxQuantile(xs, [i / nb for i in range(1, nb)], 1.0 / (4 * nb)) if nb > 1
+            else [[] for _ in xs])
     splits = [[float("-inf")] + sorted(set(v for v in c if v == v)) + [float("inf")] for c in cuts]
-    bucketed = Bucketizer(splitsArray=splits, inputCols=xs, outputCols=[f"_b{i}" for i in range(len(cols))],
-                          handleInvalid="keep").transform(wide)
+    if all(len(sp) >= 3 for sp in splits):
+        bucketed = Bucketizer(splitsArray=splits, inputCols=xs, outputCols=[f"_b{i}" for i in range(len(cols))],
+                              handleInvalid="keep").transform(wide)
+    else:  # one bucket per column
+        bucketed = wide.withColumns({f"_b{i}": F.lit(0.0) for i in range(len(cols))})
     stack = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"_x{i}").alias("value"), F.col(f"_b{i}").alias("bucket"))
         for i, c in enumerate(cols)])).alias("s")
@@ -143,7 +148,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataF
     long = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
     vc = long.groupBy("column", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
     cum = running_totals(vc, "value", ["n"], partition_cols=["column"], bucket_col="bucket",
-                         n_buckets=nb + 2)
+                         n_buckets=nb + 2, n_groups=len(cols))
     tot = vc.groupBy("column").agg(F.sum("n").alias("total"))
     cum = cum.join(F.broadcast(tot), "column")  # one row per profiled column
     aggs = []
