@@ -22,13 +22,18 @@ from plover.functions import (
 )
 from plover.plans import standins as S
 
-# Fixed values of the loan flow (the reference's literals).
+# Fixed values of the loan flow (the reference's literals): statuses, good status, merged level,
+# selected columns and the model's role lists.
 LOAN_STATUSES = ["Default", "Charged Off", "Fully Paid"]
 GOOD_STATUS = "Fully Paid"
 VERIFICATION_MERGE = {"Source Verified": "Verified"}
 LOAN_COLUMNS = ["loan_status", "int_rate", "revol_util", "issue_d", "earliest_cr_line", "emp_length",
                 "verification_status", "total_pymnt", "loan_amnt", "grade", "annual_inc", "dti", "addr_state",
                 "term", "home_ownership", "purpose", "application_type", "delinq_2yrs", "total_acc"]
+CATEGORICALS = ["term", "home_ownership", "purpose", "addr_state", "verification_status", "application_type"]
+NUMERICS = ["loan_amnt", "emp_length", "annual_inc", "dti", "delinq_2yrs", "revol_util", "total_acc",
+            "credit_length_in_years"]
+RESPONSE = "bad_loan"
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
@@ -36,12 +41,9 @@ KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 class FeatureSpec:
     """Role lists of the loan model (categorical / numeric / response)."""
 
-    categoricals: list[str] = field(default_factory=lambda: [
-        "term", "home_ownership", "purpose", "addr_state", "verification_status", "application_type"])
-    numerics: list[str] = field(default_factory=lambda: [
-        "loan_amnt", "emp_length", "annual_inc", "dti", "delinq_2yrs", "revol_util", "total_acc",
-        "credit_length_in_years"])
-    response: str = "bad_loan"
+    categoricals: list[str] = field(default_factory=lambda: list(CATEGORICALS))
+    numerics: list[str] = field(default_factory=lambda: list(NUMERICS))
+    response: str = RESPONSE
 
     @property
     def inputs(self) -> list[str]:
