@@ -78,14 +78,18 @@ def _flight_cols(d: str) -> list[Col]:
 _FLIGHT_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
-def flights(spark: SparkSession, sf_dir: str, cities: bool = False) -> DataFrame:
+def flights(spark: SparkSession, sf_dir: str, cities: bool = False, lineitem: DataFrame | None = None,
+            orders: DataFrame | None = None) -> DataFrame:
     """Flight stand-in: one row per lineitem (sort-merge join on the order key).
 
     ``cities`` adds ORIGIN/DEST city names (supplier / customer nation).  Those
     two extra joins are only planned when a query needs the names.
+    ``lineitem`` / ``orders``: pre-laid-out tables (e.g. ``sources.tables.colocate``
+    on the order key) instead of the parquet files; the join then needs no shuffle.
     """
-    li = scan(spark, sf_dir, "lineitem", _FLIGHT_KEYS + ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"])
-    od = scan(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate", "o_custkey"])
+    li = (lineitem if lineitem is not None else scan(spark, sf_dir, "lineitem")).select(
+        *_FLIGHT_KEYS, "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
+    od = (orders if orders is not None else scan(spark, sf_dir, "orders")).select("o_orderkey", "o_orderdate", "o_custkey")
     j = li.join(od, li.l_orderkey == od.o_orderkey)
     extra: list[str] = []
     if cities:
