@@ -224,10 +224,11 @@ def one_hot_long(spark, sf):
 
 
 _IMPUTE_COLS = ["annual_inc", "dti", "emp_length", "revol_util", "delinq_2yrs"]
+R_MEAN = 6  # means of values up to ~1e6: 9 decimals would exceed double precision (sum-order noise)
 
 
 @query("impute_mean", with_ctes(" UNION ALL ".join(
-    f"SELECT '{c}' AS column, round(avg(CAST({c} AS DOUBLE)), {R}) AS fill_value, "
+    f"SELECT '{c}' AS column, round(avg(CAST({c} AS DOUBLE)), {R_MEAN}) AS fill_value, "
     f"count_if({c} IS NULL OR isnan(CAST({c} AS DOUBLE))) AS n_filled FROM train" for c in _IMPUTE_COLS),
     m=MUNGED, train=_TRAIN_SQL))
 def impute_mean(spark, sf):
@@ -237,7 +238,7 @@ def impute_mean(spark, sf):
     fills = model.surrogateDF.unpivot([], _IMPUTE_COLS, "column", "fill_value")
     miss = train.agg(*[F.count_if(F.col(c).isNull() | F.isnan(c)).alias(c) for c in _IMPUTE_COLS]).unpivot(
         [], _IMPUTE_COLS, "column", "n_filled")
-    return rounded(fills.join(miss, "column"), R)
+    return rounded(fills.join(miss, "column"), R_MEAN)
 
 
 _Z_COLS = ["annual_inc", "dti", "loan_amnt"]
