@@ -73,7 +73,8 @@ def columns_mostly_null(df: DataFrame, threshold_pct: float, cols: list[str] | N
 
 
 def histogram(df: DataFrame, col: str, bins: int = 20, log_scale: bool = False) -> DataFrame:
-    """Equal-width histogram; last bin closed on the right; empty bins listed.
+    """Equal-width histogram; last bin closed on the right; empty bins listed;
+    a constant sample spans [v - 0.5, v + 0.5] as numpy's histogram does.
 
     One bounded pass for (min, max), then one grouped count.  With
     ``log_scale`` the bins are equal in log10 and only positive values count.
@@ -89,8 +90,10 @@ def histogram(df: DataFrame, col: str, bins: int = 20, log_scale: bool = False)
         return spark.range(bins).select(F.col("id").alias("bin"), F.lit(None).cast("double").alias("lo"),
                                         F.lit(None).cast("double").alias("hi"), F.lit(0).cast("bigint").alias("n"))
     mn, mx = float(row["mn"]), float(row["mx"])
+    if mx == mn:  # numpy's rule for a constant sample: range [v - 0.5, v + 0.5]
+        mn, mx = mn - 0.5, mx + 0.5
     width = mx - mn
-    idx = (F.floor((F.col("x") - F.lit(mn)) / F.lit(width) * F.lit(bins)) if width > 0 else F.lit(0))
+    idx = F.floor((F.col("x") - F.lit(mn)) / F.lit(width) * F.lit(bins))
     counts = src.groupBy(F.least(idx, F.lit(bins - 1)).cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     edges = spark.range(bins).select(
         F.col("id").alias("bin"),

@@ -280,11 +280,13 @@ def _hist_sql(col, bins, log):
         f"""SELECT b.bin, round(s.mn + b.bin * (s.mx - s.mn) / {bins}, {R}) AS lo,
        round(s.mn + (b.bin + 1) * (s.mx - s.mn) / {bins}, {R}) AS hi, coalesce(c.n, 0) AS n
 FROM (SELECT range AS bin FROM range({bins})) b CROSS JOIN stats s
-LEFT JOIN (SELECT least(CASE WHEN s.mx > s.mn THEN CAST(floor((x - s.mn) / (s.mx - s.mn) * {bins}) AS BIGINT) ELSE 0 END,
-                        {bins - 1}) AS bin, count(*) AS n FROM v, stats s GROUP BY 1) c ON c.bin = b.bin""",
+LEFT JOIN (SELECT least(CAST(floor((x - s.mn) / (s.mx - s.mn) * {bins}) AS BIGINT), {bins - 1}) AS bin,
+                  count(*) AS n FROM v, stats s GROUP BY 1) c ON c.bin = b.bin""",
         flights=FL,
         v=f"SELECT {x} AS x FROM flights WHERE ARR_DELAY > 0 AND {col} > 0",
-        stats="SELECT min(x) AS mn, max(x) AS mx FROM v")
+        raw="SELECT min(x) AS mn, max(x) AS mx FROM v",
+        stats="SELECT CASE WHEN mx > mn THEN mn ELSE mn - 0.5 END AS mn, CASE WHEN mx > mn THEN mx ELSE mx + 0.5 END AS mx "
+              "FROM raw")
 
 
 @query("histogram_linear", _hist_sql("ARR_DELAY", 20, False))
