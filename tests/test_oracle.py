@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from plover.plans import catalog
 from conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -49,7 +50,7 @@ def test_entry(spark):
 PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     sdf = entry.queries()[name](spark, SF_SMALL)
     plan = sdf._jdf.queryExecution().executedPlan().toString()
@@ -61,4 +62,4 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_oracle_or_is_a_model():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == SLOW
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == SLOW
