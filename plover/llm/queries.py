@@ -30,6 +30,18 @@ def op6(spark, sf_dir):
     return simhash_components(scan(spark, sf_dir, "documents"), size=3, budget=2)
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+@register("op9_token_counts")
+def op9(spark, sf_dir):
+    import public_tokenizers
+
+    from plover.llm.tokens import token_counts
+
+    return token_counts(scan(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=512)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
