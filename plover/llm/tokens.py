@@ -117,14 +117,15 @@ class Counter:
     def __init__(self, table: MergeTable):
         self.table, self.known, self.held = table, {}, 0
         self.find = regex.compile(PATTERN).findall
-        self.newer = regex.compile(f"[{regex.escape(table.newer)}]") if table.newer else None
+        self.newer = frozenset(table.newer)
+        self.masked = dict.fromkeys(map(ord, table.newer), "\ue000")  # a private character is a symbol to both
         self.cut = regex.compile("|".join(map(regex.escape, table.special))).split if table.special else (lambda t: [t])
 
     def pretokens(self, text: str) -> list[str]:
-        if text.isascii() or self.newer is None or not self.newer.search(text):
+        if text.isascii() or self.newer.isdisjoint(text):
             return self.find(text)
         out, at = [], 0
-        for piece in self.find(self.newer.sub("\ue000", text)):  # a private character is a symbol to both
+        for piece in self.find(text.translate(self.masked)):
             out.append(text[at:at + len(piece)])
             at += len(piece)
         return out
