@@ -42,6 +42,42 @@ def op9(spark, sf_dir):
     return token_counts(scan(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=512)
 
 
+BENCHMARK_SQL = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM item_words WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT k FROM windows
+), starts AS (
+  SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM doc_words, sizes WHERE len(w) >= k)
+), found AS (
+  SELECT s.doc_id, s.i, s.k, v.item_id FROM starts s JOIN windows v ON s.k = v.k AND s.g = v.g
+), hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(i.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(i.ids, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hits h USING (doc_id) LEFT JOIN items i USING (doc_id)
+"""
+
+
+@register("op10_contamination", BENCHMARK_SQL)
+def op10(spark, sf_dir):
+    from plover.llm.decontaminate import contamination
+
+    return contamination(scan(spark, sf_dir, "documents"), scan(spark, sf_dir, "benchmark"), size=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
