@@ -30,6 +30,20 @@ def op6(spark, sf_dir):
     return simhash_components(scan(spark, sf_dir, "documents"), size=3, budget=2)
 
 
+@register("op3_repeat_removal")
+def op3(spark, sf_dir):
+    from plover.llm.repeats import repeat_report
+
+    return repeat_report(scan(spark, sf_dir, "documents"), length=400)
+
+
+@register("op4_order_minhash")
+def op4(spark, sf_dir):
+    from plover.llm.order_minhash import edit_report
+
+    return edit_report(scan(spark, sf_dir, "documents"))
+
+
 TOKENIZER = "byte_bpe_50k.json"
 
 
