@@ -30,6 +30,42 @@ def op6(spark, sf_dir):
     return simhash_components(scan(spark, sf_dir, "documents"), size=3, budget=2)
 
 
+def _license_sql() -> str:
+    """The scan in DuckDB: the same patterns, over inline rows of the known texts."""
+    from plover.llm.licenses import COPYRIGHT_LINE, KNOWN, SPELLINGS
+
+    def quoted(x):
+        return "'" + x.replace("'", "''") + "'"
+
+    def canon(x):
+        low = f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        out = f"trim(regexp_replace(regexp_replace({low}, {quoted('(?m)' + COPYRIGHT_LINE)}, '', 'g'), '[^a-z0-9]+', ' ', 'g'))"
+        for pattern, put in SPELLINGS:
+            put = put.replace("$1", "\\1")
+            out = f"regexp_replace({out}, {quoted(chr(92) + 'b' + pattern + chr(92) + 'b')}, {quoted(put)}, 'g')"
+        return out
+
+    rows = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in KNOWN.items())
+    return f"""
+WITH known AS (SELECT sha256(w) AS digest, min(license) AS license
+  FROM (SELECT license, {canon('text')} AS w FROM (VALUES {rows}) AS v(license, text)) WHERE w <> '' GROUP BY 1),
+lines AS (SELECT doc_id, sha256(w) AS digest FROM (SELECT doc_id, {canon('line')} AS w
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents)) WHERE w <> ''),
+notices AS (SELECT doc_id, string_agg(license, ',' ORDER BY license) AS notices
+  FROM (SELECT DISTINCT doc_id, license FROM lines JOIN known USING (digest)) GROUP BY doc_id)
+SELECT d.doc_id, d.digest, k.license, coalesce(n.notices, '') AS notices
+FROM (SELECT doc_id, sha256({canon("coalesce(text, '')")}) AS digest FROM documents) d
+LEFT JOIN known k USING (digest) LEFT JOIN notices n USING (doc_id)
+"""
+
+
+@register("op2_license_digests", _license_sql())
+def op2(spark, sf_dir):
+    from plover.llm.licenses import KNOWN, license_report
+
+    return license_report(scan(spark, sf_dir, "documents"), KNOWN)
+
+
 @register("op3_repeat_removal")
 def op3(spark, sf_dir):
     from plover.llm.repeats import repeat_report
