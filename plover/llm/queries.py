@@ -80,6 +80,13 @@ def op4(spark, sf_dir):
     return edit_report(scan(spark, sf_dir, "documents"))
 
 
+@register("op8_language")
+def op8(spark, sf_dir):
+    from plover.llm.langid import language_report
+
+    return language_report(scan(spark, sf_dir, "documents"), folds=5)
+
+
 TOKENIZER = "byte_bpe_50k.json"
 
 
