@@ -56,10 +56,27 @@ def gram_counts(seq: np.ndarray, owner: np.ndarray, order: int) -> list[tuple]:
     return out
 
 
+SHARD = 1 << 16  # keys of one shard of a table: what a cache holds
+
+
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each wanted hash in the sorted keys, and whether it is there.
+
+    Large tables are joined shard by shard: the wanted hashes are sorted once and
+    each run of them meets only its own range of keys.
+    """
     if not len(keys):
         return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    if len(keys) <= SHARD or len(wanted) < SHARD:
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return at, keys[at] == wanted
+    order = np.argsort(wanted)
+    ordered, place = wanted[order], np.empty(len(wanted), np.int64)
+    edges = np.searchsorted(ordered, keys[SHARD::SHARD])
+    for s, (lo, hi) in enumerate(zip([0, *edges], [*edges, len(ordered)], strict=True)):
+        place[lo:hi] = np.searchsorted(keys[s * SHARD:(s + 1) * SHARD], ordered[lo:hi]) + s * SHARD
+    at = np.empty(len(wanted), np.int64)
+    at[order] = np.minimum(place, len(keys) - 1)
     return at, keys[at] == wanted
 
 
@@ -75,8 +92,7 @@ class KneserNey:
     """Several models (columns) over the union of their grams; ``counts`` has one ``gram_counts`` result per model.
 
     Order n holds sorted keys, probabilities of the gram and back-off weights of the
-    gram as a context.  ``limit`` shards the keys: lookups go through shards of at
-    most that many, batch by batch.
+    gram as a context.
     """
 
     def __init__(self, counts: list[list[tuple]], order: int):

@@ -30,6 +30,13 @@ def op6(spark, sf_dir):
     return simhash_components(scan(spark, sf_dir, "documents"), size=3, budget=2)
 
 
+@register("op1_quality")
+def op1(spark, sf_dir):
+    from plover.llm.quality import quality_report
+
+    return quality_report(scan(spark, sf_dir, "documents"), scan(spark, sf_dir, "labels"))
+
+
 def _license_sql() -> str:
     """The scan in DuckDB: the same patterns, over inline rows of the known texts."""
     from plover.llm.licenses import COPYRIGHT_LINE, KNOWN, SPELLINGS
