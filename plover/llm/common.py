@@ -35,8 +35,8 @@ def free_name(df: DataFrame, stem: str) -> str:
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a string column, concatenated, and the row offsets; null rows are empty."""
-    column = column.cast(pa.large_string()).fill_null("")
+    """Bytes of a string or binary column (UTF-8), concatenated, and the row offsets; null rows are empty."""
+    column = column.cast(pa.large_binary()).fill_null(b"")
     offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
     buffer = column.buffers()[2]
     data = np.frombuffer(buffer, np.uint8) if buffer is not None else np.zeros(0, np.uint8)

@@ -26,7 +26,8 @@ from plover.llm.common import BASE_B, free_name, materialise, mix, prefix_hash,
 GRAM = 32
 CHUNK_BYTES = 1 << 20  # bytes hashed at a time; longer texts are cut, which moves window edges only
 SHARD_BYTES = 2 << 20
-HOT_WINDOWS = 1000  # different windows of one anchor from which it is split into single starts
+SLICE = 64  # starts of a window that are compared together
+HOT_SLICES = 1000  # different slices of one core from which they are split into single starts
 POSITION = np.uint64((1 << 24) - 1)
 
 
@@ -45,10 +46,10 @@ def anchors(data: np.ndarray, length: int, gram: int) -> np.ndarray:
 
 
 def windows(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
-    """(row, start, number of starts, anchor hash, window hash) of every window; rows shorter than ``length`` have none."""
+    """(row, start, number of starts, anchor offset, anchor hash, window hash) of every window; short rows have none."""
     none = np.zeros(0, np.int64)
     if len(data) < length or not (np.diff(offsets) >= length).any():
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     anchor = anchors(data, length, gram)
     valid = np.zeros(len(data) + 1, np.int64)
     big = np.diff(offsets) >= length
@@ -64,7 +65,7 @@ def windows(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     sums, other = prefix_hash(data), prefix_hash(data, BASE_B)
     h = span_hash(sums, a, a + gram)
     whole = span_hash(other, p, p + size - 1 + length, BASE_B)
-    return np.searchsorted(offsets, p, "right") - 1, p, size, h, mix(whole ^ (h * np.uint64(31)))
+    return np.searchsorted(offsets, p, "right") - 1, p, size, a - p, h, mix(whole ^ (h * np.uint64(31)))
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -167,7 +168,7 @@ def _ranges(group: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return group[first], at[first], at[np.append(first[1:], len(at)) - 1] + 1
 
 
-WINDOW = "k1 long, k2 long, h long, w long, p long, size long, n long"
+WINDOW = "k1 long, k2 long, h long, w long, p long, size long, a long, n long"
 
 
 def _windows_of(keyed: DataFrame, length: int, gram: int) -> DataFrame:
@@ -180,22 +181,23 @@ def _windows_of(keyed: DataFrame, length: int, gram: int) -> DataFrame:
             for s in range(0, max(1, len(data) - length + 1), CHUNK_BYTES):  # one round but for a long text
                 e = min(len(data), s + CHUNK_BYTES + length - 1) if len(offsets) == 2 else len(data)
                 cut = np.clip(offsets, s, e) - s
-                row, p, size, h, w = windows(data[s:e], cut, length, gram)
-                out.append((row, p + s - offsets[row] if len(row) else p, size, h, w))
+                row, p, size, a, h, w = windows(data[s:e], cut, length, gram)
+                out.append((row, p + s - offsets[row] if len(row) else p, size, a, h, w))
                 if len(offsets) > 2:
                     break
-            row, p, size, h, w = (np.concatenate(x) for x in zip(*out, strict=True))
+            row, p, size, a, h, w = (np.concatenate(x) for x in zip(*out, strict=True))
             if not len(row):
                 continue
             order = np.lexsort((p, w, h, row))
             same = np.zeros(len(order), bool)
-            r, a, c = row[order], h[order], w[order]
-            same[1:] = (r[1:] == r[:-1]) & (a[1:] == a[:-1]) & (c[1:] == c[:-1])
+            r, x, y = row[order], h[order], w[order]
+            same[1:] = (r[1:] == r[:-1]) & (x[1:] == x[:-1]) & (y[1:] == y[:-1])
             twice = same | np.append(same[1:], False)
             take = order[~same]
             n = np.where(twice[~same], 2, 1)
-            cols = [k1[row[take]], k2[row[take]], h[take].view(np.int64), w[take].view(np.int64), p[take], size[take], n]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["k1", "k2", "h", "w", "p", "size", "n"])
+            cols = [k1[row[take]], k2[row[take]], h[take].view(np.int64), w[take].view(np.int64), p[take], size[take],
+                    a[take], n]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names)
             own = np.sort(order[twice])
             if len(own):
                 own = own[np.lexsort((p[own], row[own]))]
@@ -206,48 +208,87 @@ def _windows_of(keyed: DataFrame, length: int, gram: int) -> DataFrame:
                 g, end = row[own][first], hi[np.append(first[1:], len(own)) - 1]
                 null = pa.nulls(len(g), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k1[g]), pa.array(k2[g]), null, null, pa.array(lo[first]), pa.array(end - lo[first]), null],
-                    ["k1", "k2", "h", "w", "p", "size", "n"])
+                    [pa.array(k1[g]), pa.array(k2[g]), null, null, pa.array(lo[first]), pa.array(end - lo[first]), null, null],
+                    names)
 
+    names = ["k1", "k2", "h", "w", "p", "size", "a", "n"]
     return keyed.mapInArrow(run, WINDOW)
 
 
-PIECE = "h long, k1 long, k2 long, p long, n long, piece binary, d1 long, d2 long"
-
-
 def _pieces(texts: DataFrame, length: int) -> DataFrame:
-    """Bytes of the wanted windows; of hot ones a row per start with the digest of its string instead."""
+    """Bytes of the wanted windows of each text."""
     def run(batches):
         for batch in batches:
+            out = []
             for r in range(batch.num_rows):
                 raw = (batch.column("text")[r].as_py() or "").encode()
                 k1, k2 = batch.column("k1")[r].as_py(), batch.column("k2")[r].as_py()
-                wanted = batch.column("wanted")[r].as_py()
-                cold = [x for x in wanted if not x["hot"]]
-                if cold:
-                    yield pa.RecordBatch.from_pylist(
-                        [{"h": x["h"], "k1": k1, "k2": k2, "p": x["p"], "n": x["n"],
-                          "piece": raw[x["p"]:x["p"] + x["size"] - 1 + length]} for x in cold], schema=arrow)
-                for x in wanted:
-                    if x["hot"]:
-                        data = np.frombuffer(raw, np.uint8)[x["p"]:x["p"] + x["size"] - 1 + length]
-                        at = np.arange(x["size"])
-                        m = len(at)
-                        digest = [span_hash(prefix_hash(data, base), at, at + length, base).view(np.int64)
-                                  for base in (BASE_B, BASE_B ^ 0x5DEECE66D0)]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(m, x["h"])), pa.array(np.full(m, k1)), pa.array(np.full(m, k2)),
-                             pa.array(x["p"] + at), pa.array(np.full(m, x["n"])), pa.nulls(m, pa.binary()),
-                             *map(pa.array, digest)], schema=arrow)
+                out += [{**x, "k1": k1, "k2": k2, "piece": raw[x["p"]:x["p"] + x["size"] - 1 + length]}
+                        for x in batch.column("wanted")[r].as_py()]
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
+
+    arrow = pa.schema([*((c, pa.int64()) for c in ("k1", "k2", "h", "p", "size", "a", "n")), ("piece", pa.binary())])
+    return texts.mapInArrow(run, "k1 long, k2 long, h long, p long, size long, a long, n long, piece binary")
+
+
+def _slices(pieces: DataFrame, length: int) -> DataFrame:
+    """Slices of the windows: core hash ``c``, hash of the whole slice ``w``, starts ``lo`` to ``hi`` within the window."""
+    def run(batches):
+        for b in row_chunks(batches, "piece", CHUNK_BYTES):
+            data, base = text_bytes(b.column("piece"))
+            k1, k2, h, p, size, a, n = (b.column(c).to_numpy() for c in ("k1", "k2", "h", "p", "size", "a", "n"))
+            first, last = (a - size + 1) // SLICE, a // SLICE
+            times = last - first + 1
+            at = np.repeat(np.arange(len(p)), times)
+            j = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times) + first[at]
+            lo = np.maximum(a[at] - j * SLICE - SLICE + 1, 0)
+            hi = np.minimum(a[at] - j * SLICE + 1, size[at])
+            core = base[at] + a[at] - j * SLICE
+            sums, other = prefix_hash(data), prefix_hash(data, BASE_B)
+            c = mix(span_hash(sums, core, core - SLICE + 1 + length) + j.astype(np.uint64) ^ h[at].view(np.uint64))
+            w = span_hash(other, base[at] + lo, base[at] + hi - 1 + length, BASE_B)
+            w = mix(w + (a[at] - lo).astype(np.uint64))
+            cols = [k1[at], k2[at], p[at], n[at], c.view(np.int64), w.view(np.int64), lo, hi]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["k1", "k2", "p", "n", "c", "w", "lo", "hi"])
+
+    return pieces.mapInArrow(run, "k1 long, k2 long, p long, n long, c long, w long, lo long, hi long")
+
+
+SLICED = "c long, k1 long, k2 long, p long, n long, piece binary, d1 long, d2 long"
+
+
+def _cut(wanted: DataFrame, length: int) -> DataFrame:
+    """Bytes of the wanted slices; of hot ones a row per start with the digest of its string instead."""
+    def run(batches):
+        for b in row_chunks(batches, "piece", CHUNK_BYTES):
+            col = {c: b.column(c).to_numpy() for c in ("c", "k1", "k2", "p", "n", "lo", "hi")}
+            hot = b.column("hot").to_numpy(zero_copy_only=False)
+            raw = b.column("piece").to_pylist()
+            cold = np.flatnonzero(~hot)
+            piece = [raw[i][lo:hi - 1 + length] for i, lo, hi in
+                     zip(cold.tolist(), col["lo"][cold].tolist(), col["hi"][cold].tolist(), strict=True)]
+            start = col["p"] + col["lo"]
+            null = pa.nulls(len(cold), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(x[cold]) for x in (col["c"], col["k1"], col["k2"], start, col["n"])), pa.array(piece, pa.binary()),
+                 null, null], schema=arrow)
+            for i in np.flatnonzero(hot).tolist():
+                data = np.frombuffer(raw[i], np.uint8)[col["lo"][i]:col["hi"][i] - 1 + length]
+                at = np.arange(col["hi"][i] - col["lo"][i])
+                digest = [span_hash(prefix_hash(data, base), at, at + length, base).view(np.int64)
+                          for base in (BASE_B, BASE_B ^ 0x5DEECE66D0)]
+                same = [np.full(len(at), col[x][i]) for x in ("c", "k1", "k2", "n")]
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, same[:3]), pa.array(start[i] + at), pa.array(same[3]), pa.nulls(len(at), pa.binary()),
+                     *map(pa.array, digest)], schema=arrow)
 
     whole = pa.int64()
-    arrow = pa.schema([("h", whole), ("k1", whole), ("k2", whole), ("p", whole), ("n", whole), ("piece", pa.binary()),
-                       ("d1", whole), ("d2", whole)])
-    return texts.mapInArrow(run, PIECE)
+    arrow = pa.schema([*((c, whole) for c in ("c", "k1", "k2", "p", "n")), ("piece", pa.binary()), ("d1", whole), ("d2", whole)])
+    return wanted.mapInArrow(run, SLICED)
 
 
 def _compared(pieces: DataFrame, length: int, shards: int) -> DataFrame:
-    """Starts of repeated strings of the windows that no other window equals."""
+    """Starts of repeated strings of the slices that no other slice equals."""
     def run(table: pa.Table) -> pa.Table:
         col = {c: table.column(c).to_numpy() for c in ("k1", "k2", "p", "n")}
         piece, offset = repeated_starts(table.column("piece").to_pylist(), length)
@@ -256,36 +297,47 @@ def _compared(pieces: DataFrame, length: int, shards: int) -> DataFrame:
         return pa.table({"k1": col["k1"][piece], "k2": col["k2"][piece], "s": col["p"][piece] + start,
                          "e": col["p"][piece] + end})
 
-    keyed = pieces.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards)))
+    keyed = pieces.withColumn("shard", F.pmod(F.xxhash64("c"), F.lit(shards)))
     return keyed.groupBy("shard").applyInArrow(run, "k1 long, k2 long, s long, e long")
 
 
 def repeated_ranges(keyed: DataFrame, length: int, gram: int) -> DataFrame:
     """(k1, k2, marks): ranges of starts of repeated strings of each distinct text of ``keyed`` (k1, k2, text)."""
     found = materialise(_windows_of(keyed, length, gram), "windows")
-    often = found.filter("h IS NOT NULL").groupBy("h").agg(F.sum("n").alias("c")).filter("c > 1").select("h")
-    near = materialise(found.filter("h IS NOT NULL").join(often, "h", "left_semi"), "anchored")
-    alike = near.groupBy("h", "w").agg(F.sum("n").alias("n"), F.min(F.struct("k1", "k2", "p", "size")).alias("at"))
-    variety = alike.groupBy("h").agg(F.count(F.lit(1)).alias("d"))
-    alike = materialise(alike.join(variety, "h").select("h", "w", "n", "at", "d"), "alike")
-    settled = near.join(alike.filter("n > 1").select("h", "w"), ["h", "w"], "left_semi").select("k1", "k2", "p", "size")
+    near, alike = _groups(found.filter("h IS NOT NULL"), "h", ["p", "size", "a"], "anchored")
     own = found.filter("h IS NULL").select("k1", "k2", "p", "size")
-    settled = settled.unionByName(own).select("k1", "k2", F.col("p").alias("s"), (F.col("p") + F.col("size")).alias("e"))
+    settled = near.join(alike.filter("n > 1"), ["h", "w"], "left_semi").select("k1", "k2", "p", "size").unionByName(own)
+    settled = settled.select("k1", "k2", F.col("p").alias("s"), (F.col("p") + F.col("size")).alias("e"))
 
-    wanted = alike.filter("d > 1").select("h", "n", "at.*", (F.col("d") > HOT_WINDOWS).alias("hot"))
-    lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "n", "p", "size", "hot")).alias("wanted"))
+    lists = (alike.filter("d > 1").select("h", "n", "at.*").groupBy("k1", "k2")
+             .agg(F.collect_list(F.struct("h", "n", "p", "size", "a")).alias("wanted")))
     texts = keyed.groupBy("k1", "k2").agg(F.first("text").alias("text")).join(lists, ["k1", "k2"])
     pieces = materialise(_pieces(texts, length), "pieces")
-    volume = pieces.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
-    compared = _compared(pieces.filter("piece IS NOT NULL"), length, max(1, -(-volume // SHARD_BYTES)))
-    single = pieces.filter("piece IS NULL")
-    again = single.groupBy("d1", "d2").agg(F.sum("n").alias("c")).filter("c > 1").select("d1", "d2")
+
+    near, alike = _groups(_slices(pieces, length), "c", ["p", "lo", "hi"], "sliced")
+    counted = near.filter("n = 1").join(alike.filter("n > 1"), ["c", "w"], "left_semi").select(
+        "k1", "k2", (F.col("p") + F.col("lo")).alias("s"), (F.col("p") + F.col("hi")).alias("e"))
+    wanted = alike.filter("d > 1").select("c", "n", "at.*", (F.col("d") > HOT_SLICES).alias("hot"))
+    cut = materialise(_cut(wanted.join(pieces.select("k1", "k2", "p", "piece"), ["k1", "k2", "p"]), length), "slices")
+    volume = cut.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
+    compared = _compared(cut.filter("piece IS NOT NULL"), length, max(1, -(-volume // SHARD_BYTES)))
+    single = cut.filter("piece IS NULL")
+    again = single.groupBy("d1", "d2").agg(F.sum("n").alias("t")).filter("t > 1").select("d1", "d2")
     hot = (single.filter("n = 1").join(again, ["d1", "d2"], "left_semi")
            .select("k1", "k2", F.col("p").alias("s"), (F.col("p") + 1).alias("e")))
-    marks = settled.unionByName(compared).unionByName(hot).distinct()
+    marks = settled.unionByName(counted).unionByName(compared).unionByName(hot).distinct()
     return materialise(marks.groupBy("k1", "k2").agg(F.collect_list(F.struct("s", "e")).alias("marks")), "marks")
 
 
+def _groups(rows: DataFrame, key: str, place: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``key`` occurs twice or more, and of these one per (key, w): total n, a first place ``at``, variants d of the key."""
+    often = rows.groupBy(key).agg(F.sum("n").alias("t")).filter("t > 1").select(key)
+    near = materialise(rows.join(often, key, "left_semi"), name)
+    alike = near.groupBy(key, "w").agg(F.sum("n").alias("n"), F.min(F.struct("k1", "k2", *place)).alias("at"))
+    variety = alike.groupBy(key).agg(F.count(F.lit(1)).alias("d"))
+    return near, materialise(alike.join(variety, key).select(key, "w", "n", "at", "d"), name + "-kinds")
+
+
 def mark_repeats(docs: DataFrame, length: int, text_col: str, out: str, gram: int = GRAM) -> DataFrame:
     """``docs`` plus ``out``: ranges (s, e) of byte positions at which a repeated string of ``length`` bytes starts."""
     text = F.coalesce(F.col(text_col), F.lit(""))
