@@ -87,6 +87,13 @@ def op4(spark, sf_dir):
     return edit_report(scan(spark, sf_dir, "documents"))
 
 
+@register("op5_lm_scores")
+def op5(spark, sf_dir):
+    from plover.llm.neural_lm import lm_scores
+
+    return lm_scores(scan(spark, sf_dir, "documents"), folds=7, fold=2)
+
+
 @register("op8_language")
 def op8(spark, sf_dir):
     from plover.llm.langid import language_report
