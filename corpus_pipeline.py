@@ -10,19 +10,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from plover.llm.common import materialise
+from plover.llm.decontaminate import remove_leaks
+from plover.llm.packing import pack
+from plover.llm.quality import keep_good
+from plover.llm.repeats import remove_repeats
+from plover.llm.simhash import drop_near_copies
 from plover.sources.tables import scan
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier: documents above their language's perplexity bound go."""
+    return keep_good(docs, scan(spark, sf_dir, "labels"))
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Near-duplicates by SimHash (3-word shingles, 2 bits): one document of each group stays."""
-    from plover.llm.simhash import drop_near_copies
-
     return drop_near_copies(docs, size=3, budget=2)
 
 
-STAGES = [("simhash_near_dedup", near_copies)]
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Suffix-array dedup: bytes of 400-byte strings that start elsewhere too are cut out of the texts."""
+    return remove_repeats(docs, length=400, chars_col="n_chars")
+
+
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: words inside 10-word windows of benchmark items are cut out of the texts."""
+    return remove_leaks(docs, scan(spark, sf_dir, "benchmark"), size=10, chars_col="n_chars")
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packing: optimal length buckets and token-budget batches."""
+    return pack(docs)
+
+
+STAGES = [
+    ("quality_classifier", quality),
+    ("simhash_near_dedup", near_copies),
+    ("suffix_array_dedup", repeats),
+    ("benchmark_decontamination", leaks),
+    ("packing", packing),
+]
 
-#: The model stages have no SQL form; tests hold the stages against brute force.
+#: The stages fit models, walk tries and build suffix arrays; tests hold them against brute force.
 ORACLE_SQL = None
 
 

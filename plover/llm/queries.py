@@ -94,6 +94,13 @@ def op5(spark, sf_dir):
     return lm_scores(scan(spark, sf_dir, "documents"), folds=7, fold=2)
 
 
+@register("op7_packing")
+def op7(spark, sf_dir):
+    from plover.llm.packing import pack
+
+    return pack(scan(spark, sf_dir, "documents"))
+
+
 @register("op8_language")
 def op8(spark, sf_dir):
     from plover.llm.langid import language_report
