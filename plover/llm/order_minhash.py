@@ -108,7 +108,7 @@ def with_next(df: DataFrame, id_col: str, text_col: str, carried: dict[str, str]
     spot, part, guest, opens = (free_name(df, x) for x in ("_spot", "_part", "_guest", "_opens"))
     probs = [i / parts for i in range(1, parts)]
     cuts = sorted(set(df.select(F.col(id_col).cast("double").alias("v")).approxQuantile("v", probs, 1 / (4 * parts)))) if probs else []
-    splits = [float("-inf"), *cuts, float("inf")]
+    splits = [float("-inf"), *(cuts or [0.0]), float("inf")]
     got = df.withColumn(spot, F.col(id_col).cast("double"))
     got = Bucketizer(splits=splits, inputCol=spot, outputCol=part, handleInvalid="keep").transform(got)
     got = got.withColumn(part, F.when(F.col(id_col).isNull(), -1).otherwise(F.col(part)).cast("int")).drop(spot)

@@ -1,0 +1,128 @@
+import collections
+import math
+import zlib
+
+import numpy as np
+import pytest
+from conftest import SF_SMALL
+from llm_data import EDGES, make_docs
+
+import __spark_entry__ as entry
+from plover.llm import langid, neural_lm, quality
+from plover.llm.ngrams import END, KneserNey, gram_counts, padded
+
+
+def sequence(texts, order):
+    symbol = np.array([ord(c) for t in texts for c in t], np.uint64)
+    row = np.array([i for i, t in enumerate(texts) for _ in t], np.int64)
+    return padded(symbol, row, len(texts), order)
+
+
+def test_kneser_ney_sums_to_one():
+    texts = ["abracadabra", "abcabcabc", "dabba", "cab"]
+    model = KneserNey([gram_counts(*sequence(texts, 3), 3)], 3)
+    for start in ("", "a", "ab", "zz", "da"):
+        total = 0.0
+        for c in [*"abcdr", None]:
+            seq, owner = sequence([start + (c or "")], 3)
+            place = len(start) if c is None else len(start)
+            total += math.exp(model.log_probabilities(seq, owner)[place, 0])
+        unknown = math.exp(model.log_probabilities(*sequence([start + "q"], 3))[len(start), 0])
+        assert total + unknown == pytest.approx(1.0, abs=1e-5)
+
+
+def test_models_share_one_table():
+    """Two models in one table score as each alone (but for the shared unknown-symbol floor)."""
+    a, b = ["banana band", "bandana"], ["cocoa coconut", "cocoon"]
+    order = 3
+    both = KneserNey([gram_counts(*sequence(t, order), order) for t in (a, b)], order)
+    seq, owner = sequence(["banana", "cocoa"], order)
+    total, count = both.row_sums(seq, owner, 2)
+    assert count.tolist() == [7, 6] and total[0, 0] > total[0, 1] and total[1, 1] > total[1, 0]
+    pieces, _ = both.row_sums(seq, owner, 2, piece=3)
+    assert np.allclose(total, pieces)
+    assert END in both.keys[0]
+
+
+def test_language_held_out_accuracy(spark):
+    got = entry.queries()["op8_language"](spark, SF_SMALL).collect()
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1
+    held = [r for r in got if r.held_out]
+    assert sum(r.lang_pred == lang[r.doc_id] for r in held) / len(held) >= 0.95
+
+
+def test_language_edges(spark, edge_docs, no_docs):
+    got = langid.language_report(edge_docs).collect()
+    assert len(got) == len(EDGES)
+    for r in got:
+        assert r.lang_pred in ("de", "en", "fr", "und")
+    blank = langid.identify(edge_docs, langid.train(edge_docs, "text", "lang")).filter("lang_pred = 'und'").collect()
+    assert len(blank) == sum(1 for _, t, _ in EDGES if not any(c.isalpha() for c in t or "")) and all(r.score == 0 for r in blank)
+    assert langid.language_report(no_docs).count() == 0
+    nothing = langid.identify(edge_docs, langid.train(no_docs, "text", "lang")).select("lang_pred").distinct().collect()
+    assert [r.lang_pred for r in nothing] == ["und"]
+
+
+def test_quality_rejects_junk_and_keeps_clean(spark):
+    rng = np.random.default_rng(3)
+    word = [f"word{i}" for i in range(60)]
+    clean = [(i, " ".join(word[x] for x in rng.zipf(1.5, 80) % 60), "en") for i in range(400)]
+    junk = [(1000 + i, " ".join(f"J{rng.integers(0, 10**9)}!!" for _ in range(60)), "en") for i in range(40)]
+    docs = make_docs(spark, clean + junk + EDGES)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 400, 2)] + [(1001, 0, 0), (None, 1, 0)],
+                                   "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in quality.quality_report(docs, labels).collect() if r["keep"]}
+    assert len([i for i in range(400) if i in kept]) >= 392 and not [i for i in range(1000, 1040) if i in kept]
+    rows = quality.keep_good(docs, labels)
+    assert rows.columns == docs.columns and rows.filter("doc_id < 400").count() >= 392
+
+
+def test_quality_edges(spark, edge_docs, no_docs):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, None)], "doc_id long, quality int, toxic int")
+    got = quality.quality_report(edge_docs, labels).collect()
+    assert len(got) == len(EDGES) and all(r.perplexity > 0 for r in got)
+    assert quality.quality_report(no_docs, labels).count() == 0
+    free = quality.quality_report(edge_docs, labels.limit(0)).collect()
+    assert all(r["keep"] and r.bound is None for r in free)
+
+
+def brute_base(rows):
+    tokens = [(i, [*(t or "").encode().lower().split(), None]) for i, t, _ in rows]
+    held = [i is None or zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in tokens]
+    count = collections.Counter(w for (_, ws), out in zip(tokens, held, strict=True) if not out for w in ws)
+    n, v = sum(count.values()), len(count)
+    return [(i, out, len(ws), sum(count[w] > 0 for w in ws), n, sum(math.log10((count[w] + 1) / (n + v + 1)) for w in ws))
+            for (i, ws), out in zip(tokens, held, strict=True)]
+
+
+@pytest.mark.parametrize("common", [1 << 16, 5])
+def test_corpus_counts_are_exact(spark, edge_docs, no_docs, monkeypatch, common):
+    """Also where nearly all counts come through the join."""
+    monkeypatch.setattr(neural_lm, "COMMON", common)
+    monkeypatch.setattr(neural_lm, "VOCABULARY", min(common, 510))
+    got = neural_lm.lm_scores(edge_docs).collect()
+    key = lambda x: (x[0] is None, x[0] or 0, x[2], x[5])
+    mine = sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got), key=key)
+    for a, b in zip(mine, sorted(brute_base(EDGES), key=key), strict=True):
+        assert a[:5] == b[:5] and a[5] == pytest.approx(b[5])
+    assert all(r.score < 0 or r.train_tokens == 0 for r in got)
+    assert neural_lm.lm_scores(no_docs).count() == 0
+
+
+def test_model_is_normalised_and_beats_the_base(spark):
+    got = entry.queries()["op5_lm_scores"](spark, SF_SMALL).collect()
+    rows = [(r.doc_id, r.text, None) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    want = {r[0]: r for r in brute_base(rows)}
+    for r in got:
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == want[r.doc_id][1:5]
+        assert r.base_score == pytest.approx(want[r.doc_id][5])
+    held = [r for r in got if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+    share = np.array([0.2, 0.0, 0.5, 0.3])
+    model = neural_lm.LogBilinear(share)
+    wide = neural_lm.VOCABULARY + 2
+    for context in (0, 2 * wide + 3, wide + 1):
+        p = np.exp(model.log_probabilities(np.full(3, context), np.array([0, 2, 3])))
+        assert p.sum() == pytest.approx(1.0, abs=1e-5)
