@@ -2,24 +2,23 @@
 
 E1 in the reference is ``avg(c) over (order by epoch_seconds range between
 -6h and -2h)`` with no partition key, which Spark executes in ONE partition.
-``lagged_range_mean`` computes the same numbers partitioned by time bucket:
-
-* a row is a *target* in bucket ``floor(t / W)``;
-* a row is a *source* in each bucket that holds a target whose frame
-  ``[t - lo, t - hi]`` can contain it: buckets ``floor((s + hi) / W)`` ..
-  ``floor((s + lo) / W)``; with ``W >= lo - hi`` that is at most 2 buckets;
-* inside a bucket, frame sums are differences of exact running sums read at
-  ``t - hi`` and ``t - lo - 1`` (linear, not a per-row rescan of the frame).
-
-Every frame of the global window is rebuilt inside one bucket, so the result
-is exact; the shuffle is by bucket, so it spreads over the cluster.
+``lagged_range_mean`` computes the same numbers in bounded pieces:
+
+* rows are first reduced to one row per (key, second), so neither a hot second
+  nor the size of the table shows in what follows;
+* time is cut into blocks as long as the frame.  A frame then is the end of one
+  block plus the beginning of the next, so its sum is a suffix sum plus a prefix
+  sum: linear, and nothing is ever subtracted (differences of running sums
+  cancel, and inf - inf is NaN);
+* a block holds at most a few rows per second of the frame, whatever the data;
+* the means go back to the rows by a null-safe join on (key, second).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, TimestampNTZType
+from pyspark.sql.types import TimestampNTZType
 
 from plover.functions.parse import epoch_seconds
 
@@ -31,7 +30,7 @@ def _secs(df: DataFrame, time_col: str):
     return epoch_seconds(time_col, dtype if isinstance(dtype, TimestampNTZType) else None)
 
 
-HOT_BUCKET_ROWS = 4_000_000  # a time bucket above this many rows switches to the balanced form
+SOURCE, FRAME_START, FRAME_END = 0, 1, 2
 
 
 def lagged_range_mean(
@@ -42,150 +41,68 @@ def lagged_range_mean(
     hi_seconds: int,
     id_cols: list[str],
     partition_cols: list[str] | None = None,
-    bucket_seconds: int | None = None,
     name_fmt: str = "rolling_{}_average",
     keep_cols: list[str] | None = None,
-    strategy: str = "auto",
 ) -> DataFrame:
     """Mean of each value over rows whose time is in [t - lo, t - hi].
 
-    ``strategy``: ``"bucketed"`` (time buckets, one shuffle), ``"balanced"``
-    (skew-proof: quantile-balanced running totals, no time bucket can
-    concentrate work) or ``"auto"``: one count per time bucket decides.
-    ``id_cols`` must identify a row (within ``partition_cols``).
+    Returns ``id_cols`` + ``partition_cols`` + ``keep_cols`` + one mean per value, one row
+    per input row (ids need not be unique).  Like ``avg`` over the range window: null
+    values are left out, an empty frame or a null time gives null, NaN or both
+    infinities in a frame give NaN, one infinity gives it.  ``partition_cols`` gives the
+    keyed variant (frames never cross keys; null is a key like any other).
     """
     assert lo_seconds >= hi_seconds >= 0, "frame must lie before the row: lo >= hi >= 0"
-    if strategy == "auto":
-        width = bucket_seconds or max(lo_seconds - hi_seconds, 1)
-        parts = list(partition_cols or [])
-        hot = (df.select(*parts, F.floor(_secs(df, time_col) / width).alias("_b"))
-               .groupBy(*parts, "_b").count().agg(F.max("count")).first()[0]) or 0
-        strategy = "balanced" if hot > HOT_BUCKET_ROWS else "bucketed"
-    fn = _lagged_balanced if strategy == "balanced" else _lagged_bucketed
-    return fn(df, time_col, value_cols, lo_seconds, hi_seconds, id_cols, partition_cols, bucket_seconds,
-              name_fmt, keep_cols)
-
-
-def _lagged_balanced(df, time_col, value_cols, lo_seconds, hi_seconds, id_cols, partition_cols, bucket_seconds,
-                     name_fmt, keep_cols) -> DataFrame:
-    """Skew-proof E1: sources and two zero-weight probes per target share one order key
-    (``2*time`` for sources, ``2*probe_time + 1`` for probes, so a probe sorts after
-    sources of equal time); the distributed running totals (quantile-balanced
-    buckets) give each probe the exact sums of all sources up to its time; the
-    probes of a target meet again in one group (two rows per group)."""
-    from plover.operators.prefix import running_totals
-
     parts = list(partition_cols or [])
-    carry = [c for c in dict.fromkeys(list(id_cols) + list(keep_cols or [])) if c not in parts]
-    ids = [c for c in id_cols if c not in parts]
-    n = len(value_cols)
-    dec = DecimalType(38, 12)
-    t = F.col("_t")
-    base = df.select(*parts, *carry, _secs(df, time_col).alias("_t"),
+    keys = [f"_k{i}" for i in range(len(parts))]
+    carry = [c for c in dict.fromkeys([*id_cols, *parts, *(keep_cols or [])])]
+    width, n = lo_seconds - hi_seconds + 1, len(value_cols)
+    rows = df.select(*carry, _secs(df, time_col).alias("_t"), *[F.col(c).alias(k) for c, k in zip(parts, keys, strict=True)],
                      *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(value_cols)])
-    # kind 0 = source, 1 = probe at t-hi, 2 = probe at t-lo-1
-    kinds = F.when(t.isNull(), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0), F.lit(1), F.lit(2)))
-    rows = base.select("*", F.explode(kinds).alias("_k"))
-    k = F.col("_k")
-    probe_time = F.when(k == 1, t - hi_seconds).otherwise(t - lo_seconds - 1)
-    order = F.when(k == 0, t * 2).otherwise(probe_time * 2 + 1)
-    weights = {}
-    for i in range(n):
-        x = F.col(f"_v{i}")
-        src = k == 0
-        weights[f"_ws{i}"] = F.when(src & x.isNotNull() & ~F.isnan(x), x.cast(dec)).otherwise(F.lit(0).cast(dec))
-        weights[f"_wc{i}"] = F.when(src & x.isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-        weights[f"_wn{i}"] = F.when(src & F.isnan(x), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    rows = rows.select(*parts, *[F.when(k == 1, F.col(c)).alias(c) if c not in ids else F.col(c) for c in carry],
-                       "_t", "_k", order.cast("double").alias("_okey"), *[v.alias(c) for c, v in weights.items()])
-    null_probe = rows.filter(F.col("_okey").isNull())  # null-time targets: means are null
-    cum = running_totals(rows.filter(F.col("_okey").isNotNull()), "_okey", list(weights), partition_cols=parts or None)
-    cum = cum.filter(F.col("_k") > 0).unionByName(
-        null_probe.filter(F.col("_k") > 0).select("*", *[F.lit(None).cast(cum.schema[f"cum_{c}"].dataType)
-                                                           .alias(f"cum_{c}") for c in weights]))
-    aggs = [F.first(F.when(F.col("_k") == 1, F.col(c)), ignorenulls=True).alias(c) for c in carry if c not in ids]
-    aggs.append(F.first(F.when(F.col("_k") == 1, F.col("_t")), ignorenulls=True).alias("_t"))
-    for c in weights:
-        aggs.append(F.max(F.when(F.col("_k") == 1, F.col(f"cum_{c}"))).alias(f"_hi{c}"))
-        aggs.append(F.max(F.when(F.col("_k") == 2, F.col(f"cum_{c}"))).alias(f"_lo{c}"))
-    g = cum.groupBy(*parts, *ids).agg(*aggs)
-    means = []
-    for i, c in enumerate(value_cols):
-        def diff(w):
-            return F.coalesce(F.col(f"_hi{w}"), F.lit(0)) - F.coalesce(F.col(f"_lo{w}"), F.lit(0))
-        cnt, nan = diff(f"_wc{i}"), diff(f"_wn{i}")
-        mean = (F.when(F.col("_t").isNull() | (cnt == 0), F.lit(None).cast("double"))
-                .when(nan > 0, F.lit(float("nan"))).otherwise(diff(f"_ws{i}").cast("double") / cnt))
-        means.append(mean.alias(name_fmt.format(c)))
-    return g.select(*ids, *parts, *[c for c in carry if c not in id_cols], *means)
-
-
-def _lagged_bucketed(df, time_col, value_cols, lo_seconds, hi_seconds, id_cols, partition_cols, bucket_seconds,
-                     name_fmt, keep_cols) -> DataFrame:
-    """Bucketed E1 (below).
-
-    One scan, one shuffle: every row is exploded into itself as a target plus
-    its (at most 2) source copies; rows are partitioned by (key, bucket) and
-    sorted by time once.  Inside a bucket the frame mean is a difference of
-    running sums: ``(S(<= t-hi) - S(<= t-lo-1)) / (C(<= t-hi) - C(<= t-lo-1))``.
-    Running sums use incremental frames (linear time, unlike a sliding range
-    frame that rescans the frame per row) and exact DECIMAL(38,12) sums, so the
-    difference has no cancellation error.  NaN in a frame gives NaN, an empty
-    frame or a null time gives null, as ``avg`` over the range window does.
-    ``partition_cols`` gives the keyed variant (frames never cross keys).
-    Returns ``id_cols`` + partition columns + ``keep_cols`` + one mean per value.
-    """
-    assert lo_seconds >= hi_seconds >= 0, "frame must lie before the row: lo >= hi >= 0"
-    parts = list(partition_cols or [])
-    carry = [c for c in dict.fromkeys(list(id_cols) + list(keep_cols or [])) if c not in parts]
-    width = bucket_seconds or max(lo_seconds - hi_seconds, 1)
-    n = len(value_cols)
+
+    def parts_of(i):
+        v = F.col(f"_v{i}")
+        inf = F.lit(float("inf"))
+        finite = v.isNotNull() & ~F.isnan(v) & (F.abs(v) < inf)
+        return {f"_s{i}": F.sum(F.when(finite, v)), f"_c{i}": F.count(v), f"_n{i}": F.count_if(F.isnan(v)),
+                f"_p{i}": F.count_if(v == inf), f"_m{i}": F.count_if(v == -inf)}
+
+    sums = {k: a for i in range(n) for k, a in parts_of(i).items()}
+    seconds = rows.filter("_t IS NOT NULL").groupBy(*keys, "_t").agg(*[a.alias(k) for k, a in sums.items()])
     t = F.col("_t")
-    base = df.select(*parts, *carry, _secs(df, time_col).alias("_t"),
-                     *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(value_cols)])
-    target = F.array(F.struct(F.floor(t / width).alias("b"), F.lit(True).alias("tgt")))
-    sources = F.transform(F.sequence(F.floor((t + hi_seconds) / width), F.floor((t + lo_seconds) / width)),
-                          lambda b: F.struct(b.alias("b"), F.lit(False).alias("tgt")))
-    marks = F.when(t.isNull(), target).otherwise(F.concat(target, sources))
-    rows = base.select(*parts, *carry, "_t", *[f"_v{i}" for i in range(n)], F.explode(marks).alias("_m"))
-    tgt = F.col("_m.tgt")
-    rows = rows.select(
-        *parts, *[F.when(tgt, F.col(c)).alias(c) for c in carry], "_t", F.col("_m.b").alias("_b"), tgt.alias("_tgt"),
-        *[F.when(~tgt, F.col(f"_v{i}")).alias(f"_v{i}") for i in range(n)],
-    )
-    dec = DecimalType(38, 12)
-    w_ord = Window.partitionBy(*parts, "_b").orderBy("_t")
-    w_run = w_ord.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    run = {}
-    for i in range(n):
-        x = F.col(f"_v{i}")
-        finite = x.isNotNull() & ~F.isnan(x)
-        run[f"_s{i}"] = F.when(~F.col("_tgt"), F.sum(F.when(finite, x.cast(dec)).otherwise(F.lit(0).cast(dec))).over(w_run))
-        run[f"_c{i}"] = F.when(~F.col("_tgt"), F.sum(F.when(x.isNotNull(), 1).otherwise(0)).over(w_run))
-        run[f"_n{i}"] = F.when(~F.col("_tgt"), F.sum(F.when(F.isnan(x), 1).otherwise(0)).over(w_run))
-    rows = rows.withColumns(run)
-    w_hi = w_ord.rangeBetween(Window.unboundedPreceding, -hi_seconds)
-    w_lo = w_ord.rangeBetween(Window.unboundedPreceding, -(lo_seconds + 1))
-    means = []
-    for i, c in enumerate(value_cols):
-        def at(col, w):
-            return F.coalesce(F.last(col, ignorenulls=True).over(w), F.lit(0))
-        s_in = (at(f"_s{i}", w_hi) - at(f"_s{i}", w_lo)).cast("double")
-        c_in = at(f"_c{i}", w_hi) - at(f"_c{i}", w_lo)
-        nan_in = at(f"_n{i}", w_hi) - at(f"_n{i}", w_lo)
-        mean = (F.when(t.isNull() | (c_in == 0), F.lit(None).cast("double"))
-                .when(nan_in > 0, F.lit(float("nan"))).otherwise(s_in / c_in))
-        means.append(mean.alias(name_fmt.format(c)))
-    out = rows.select(*parts, *carry, "_tgt", *means).filter("_tgt")
-    return out.select(*[c for c in id_cols if c not in parts], *parts,
-                      *[c for c in carry if c not in id_cols], *[name_fmt.format(c) for c in value_cols])
-
-
-def lagged_range_mean_global(df: DataFrame, time_col: str, value_cols: list[str], lo_seconds: int,
-                             hi_seconds: int, name_fmt: str = "rolling_{}_average") -> DataFrame:
-    """The reference's keyless window as written (single partition); kept for tests only."""
-    w = Window.orderBy(_secs(df, time_col)).rangeBetween(-lo_seconds, -hi_seconds)
-    return df.withColumns({name_fmt.format(c): F.avg(c).over(w) for c in value_cols})
+
+    def mark(kind, at):
+        return F.struct(F.lit(kind).alias("kind"), at.alias("at"), F.floor(at / width).alias("block"))
+
+    # a frame that fills one block exactly needs its start only
+    marks = F.array(mark(SOURCE, t), mark(FRAME_START, t - lo_seconds), mark(FRAME_END, t - hi_seconds))
+    marks = F.filter(marks, lambda m: (m["kind"] != FRAME_END) | (m["block"] != F.floor((t - lo_seconds) / width)))
+    placed = seconds.select("*", F.explode(marks).alias("_mark"))
+    source = F.col("_mark.kind") == SOURCE
+    placed = placed.select(*keys, "_t", F.col("_mark.kind").alias("_kind"), F.col("_mark.at").alias("_at"),
+                           F.col("_mark.block").alias("_block"), *[F.when(source, F.col(k)).alias(k) for k in sums])
+    block = Window.partitionBy(*keys, "_block")
+    upto = block.orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
+    after = block.orderBy(F.col("_at").desc()).rangeBetween(Window.unboundedPreceding, 0)
+    placed = placed.withColumns({f"{k}_u": F.sum(k).over(upto) for k in sums}).withColumns(
+        {f"{k}_a": F.sum(k).over(after) for k in sums}).filter(F.col("_kind") != SOURCE)
+    side = {k: F.when(F.col("_kind") == FRAME_START, F.col(f"{k}_a")).otherwise(F.col(f"{k}_u")) for k in sums}
+    frames = placed.groupBy(*keys, "_t").agg(*[F.sum(v).alias(k) for k, v in side.items()])
+
+    def mean(i):
+        s, c, nan, pos, neg = (F.coalesce(F.col(f"_{x}{i}"), F.lit(0)) for x in "scnpm")
+        return (F.when(c == 0, F.lit(None).cast("double"))
+                .when((nan > 0) | ((pos > 0) & (neg > 0)), F.lit(float("nan")))
+                .when(pos > 0, F.lit(float("inf"))).when(neg > 0, F.lit(float("-inf"))).otherwise(s / c))
+
+    names = [name_fmt.format(c) for c in value_cols]
+    frames = frames.select(*[F.col(k).alias(k + "_f") for k in keys], F.col("_t").alias("_t_f"),
+                           *[mean(i).alias(name) for i, name in enumerate(names)])
+    same = F.col("_t") == F.col("_t_f")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(k + "_f"))
+    # the rows of a hot second stay spread: the planner may split a skewed row side of this join
+    return rows.join(frames, same, "left").select(*carry, *names)
 
 
 def tumbling_mean(df: DataFrame, time_col: str, value_col: str, duration: str = "4 hours",

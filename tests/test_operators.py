@@ -11,7 +11,7 @@ from plover.operators import evaluate as E
 from plover.operators import joins as J
 from plover.operators import profile as P
 from plover.operators.prefix import running_totals
-from plover.operators.rolling import lagged_range_mean, lagged_range_mean_global
+from plover.operators.rolling import lagged_range_mean
 
 
 # ---------------------------------------------------------------- evaluation
@@ -55,13 +55,13 @@ def test_running_totals_is_exact_and_partition_independent(spark):
     rows = [(float(i), rnd.randint(0, 5)) for i in range(2000)]
     rnd.shuffle(rows)
     df = spark.createDataFrame(rows, "v double, w long").repartition(7)
-    got = {r.v: r.cum_w for r in running_totals(df, "v", ["w"], n_buckets=16).collect()}
+    got = {r.v: r.cum_w for r in running_totals(df, "v", ["w"], buckets=16).collect()}
     acc, want = 0, {}
     for v, w in sorted(rows):
         acc += w
         want[v] = acc
     assert got == want
-    desc = {r.v: r.cum_w for r in running_totals(df, "v", ["w"], descending=True, n_buckets=16).collect()}
+    desc = {r.v: r.cum_w for r in running_totals(df, "v", ["w"], descending=True, buckets=16).collect()}
     total = sum(w for _, w in rows)
     assert all(desc[v] == total - want[v] + w for v, w in rows)
 
@@ -102,49 +102,55 @@ def test_correlation_long_matches_mllib(spark):
 
 
 # ---------------------------------------------------------------- windows
-@pytest.mark.parametrize("strategy", ["bucketed", "balanced"])
-def test_bucketed_window_equals_global(spark, strategy):
+def _same(a, b):
+    if a is None or b is None:
+        return a is None and b is None
+    if math.isnan(a) or math.isnan(b):
+        return math.isnan(a) and math.isnan(b)
+    return a == b or a == pytest.approx(b, rel=1e-9)
+
+
+def _global_means(df, keyed, lo, hi):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("k") if keyed else Window.partitionBy()
+    return df.withColumn("m", F.avg("v").over(w.orderBy("t").rangeBetween(-lo, -hi))).collect()
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+def test_lagged_window_equals_global(spark, keyed):
+    """Repeated ids, null keys, infinities, tiny and huge values, and one second that holds most rows."""
     rnd = random.Random(1)
-    rows = []
-    for i in range(1500):
-        t = rnd.randint(0, 4 * 86400)
-        v = None if i % 13 == 0 else (float("nan") if i % 97 == 0 else rnd.random() * 100)
-        rows.append((i, t, v, i % 3))
-    rows.append((9999, None, 1.0, 0))
+    odd = [None, float("nan"), float("inf"), float("-inf"), 1e-13, 1e30]
+    rows = [(i % 700, rnd.randint(0, 2 * 86400), rnd.choice(odd) if i % 60 == 0 else rnd.random() * 100, rnd.choice([0, 1, None]))
+            for i in range(1000)]
+    rows += [(i % 9, 86400, rnd.random() * 1e-12, rnd.choice([0, None])) for i in range(2500)] + [(5, None, 1.0, 0)]
     df = spark.createDataFrame(rows, "id long, t long, v double, k long")
-    lo, hi = 6 * 3600, 2 * 3600
-    got = {r.id: r.rolling_v_average
-           for r in lagged_range_mean(df, "t", ["v"], lo, hi, ["id"], strategy=strategy).collect()}
-    want = {r.id: r.rolling_v_average for r in lagged_range_mean_global(df, "t", ["v"], lo, hi).collect()}
-    assert got[9999] is None
-    for i, w in want.items():
-        if i == 9999:
-            continue
-        g = got[i]
-        if w is None or g is None:
-            assert w is None and g is None, i
-        elif math.isnan(w):
-            assert math.isnan(g), i
-        else:
-            assert g == pytest.approx(w, rel=1e-9, abs=1e-9), i
-
-
-@pytest.mark.parametrize("strategy", ["bucketed", "balanced"])
-def test_frame_edges(spark, strategy):
+    for lo, hi in ((6 * 3600, 2 * 3600), (300, 300), (100, 0)):
+        got = lagged_range_mean(df, "t", ["v"], lo, hi, ["id"], partition_cols=["k"] if keyed else None,
+                                keep_cols=["t", "v", "k"]).collect()
+        assert len(got) == len(rows)
+        key = lambda r: tuple((x is None, 0.0 if x is None or x != x else x, x != x) for x in (r.id, r.t, r.v, r.k))
+        # a null time has no frame here; the window would put all null times into one frame
+        want = sorted((r for r in _global_means(df, keyed, lo, hi) if r.t is not None), key=key)
+        mine = sorted((r for r in got if r.t is not None), key=key)
+        assert all(_same(a.rolling_v_average, b.m) for a, b in zip(mine, want, strict=True)), (lo, hi)
+        assert all(r.rolling_v_average is None for r in got if r.t is None)
+
+
+def test_frame_edges(spark):
     t0 = 100_000
     rows = [(0, t0, None), (1, t0 - 6 * 3600, 1.0), (2, t0 - 2 * 3600, 3.0),
             (3, t0 - 2 * 3600 + 1, 100.0), (4, t0 - 6 * 3600 - 1, 100.0)]
     df = spark.createDataFrame(rows, "id long, t long, v double")
-    r = {x.id: x.rolling_v_average
-         for x in lagged_range_mean(df, "t", ["v"], 6 * 3600, 2 * 3600, ["id"], strategy=strategy).collect()}
+    r = {x.id: x.rolling_v_average for x in lagged_range_mean(df, "t", ["v"], 6 * 3600, 2 * 3600, ["id"]).collect()}
     assert r[0] == pytest.approx(2.0)  # only t-6h and t-2h are inside
     assert r[4] is None  # nothing before it
 
 
 def test_keyless_window_plan_has_no_single_partition(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") * 37).alias("t"), F.rand(1).alias("v"))
-    plan = lagged_range_mean(df, "t", ["v"], 600, 100, ["id"],
-                             strategy="bucketed")._jdf.queryExecution().executedPlan().toString()
+    plan = lagged_range_mean(df, "t", ["v"], 600, 100, ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
@@ -182,26 +188,54 @@ def test_prefix_families(spark):
     assert got == {"A": 3}
 
 
-def test_keyed_balanced_matches_bucketed(spark):
-    rnd = random.Random(9)
-    rows = [(i, rnd.randint(0, 86400), rnd.random(), i % 4) for i in range(800)]
-    df = spark.createDataFrame(rows, "id long, t long, v double, k long")
-    a = {(r.id, r.k): r.rolling_v_average for r in
-         lagged_range_mean(df, "t", ["v"], 3600, 600, ["id"], partition_cols=["k"], strategy="bucketed").collect()}
-    b = {(r.id, r.k): r.rolling_v_average for r in
-         lagged_range_mean(df, "t", ["v"], 3600, 600, ["id"], partition_cols=["k"], strategy="balanced").collect()}
-    assert a.keys() == b.keys()
-    # decimal(38,12) running sums lose one decimal digit when offsets are added (scale 11): ~1e-11 absolute
-    for key in a:
-        assert (a[key] is None and b[key] is None) or a[key] == pytest.approx(b[key], rel=1e-9, abs=1e-9)
-
-
-def test_exact_quantiles_many_buckets_with_hot_value(spark, monkeypatch):
-    monkeypatch.setattr(P, "QUANTILE_ROWS_PER_BUCKET", 50)
+def test_exact_quantiles_many_buckets_with_hot_value(spark):
+    """Also beside a column without values, which must not undo the others' buckets."""
     rnd = random.Random(21)
     vals = [7.0] * 400 + [rnd.uniform(-1e6, 1e6) for _ in range(800)]  # one value holds a third
-    df = spark.createDataFrame([(v, v * 2) for v in vals], "x double, y double")
-    got = {r.column: [r.q0, r.q1, r.q2] for r in P.exact_quantiles(df, ["x", "y"], [0.1, 0.5, 0.9]).collect()}
+    df = spark.createDataFrame([(v, v * 2, None, float("nan")) for v in vals], "x double, y double, e double, n double")
+    got = {r.column: [r.q0, r.q1, r.q2] for r in P.exact_quantiles(df, ["x", "e", "y", "n"], [0.1, 0.5, 0.9], 40).collect()}
+    assert set(got) == {"x", "y"}
     for c in ("x", "y"):
         want = df.agg(F.percentile(c, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))).first()[0]
         assert got[c] == pytest.approx(want, rel=1e-12)
+    from plover.operators.prefix import with_buckets
+
+    cut = with_buckets(df, ["x", "e"], ["bx", "be"], 40).agg(F.countDistinct("bx"), F.countDistinct("be")).first()
+    assert cut[0] > 20 and cut[1] == 1
+
+
+# ---------------------------------------------------------------- evaluation edge cases
+def test_auc_of_billions_of_rows(spark):
+    counts = spark.createDataFrame([(0.9, 6 * 10**9, 2 * 10**9), (0.1, 2 * 10**9, 6 * 10**9)], "threshold double, pos long, neg long")
+    r = E.auc_of_counts(counts).first()
+    assert r.auc == pytest.approx((6 * 6 + 0.5 * 6 * 2 + 0.5 * 2 * 6) / 64) and r.n_pos == 8 * 10**9
+
+
+def test_one_class_nan_scores_and_no_predicted_positive(spark):
+    one = spark.createDataFrame([(0.2, 1.0), (0.7, 1.0)], "score double, label double")
+    assert E.auc_exact(one, "score", "label").first().auc is None
+    assert {r.fpr for r in E.roc_curve(one, "score", "label").collect() if r.threshold is not None} == {None}
+    r = E.precision_recall(one, "score", "label", 0.9).first()
+    assert (r.tp, r.fp, r.precision, r.f1) == (0, 0, None, None) and r.recall == 0.0
+    nan = spark.createDataFrame([(float("nan"), 1.0), (0.9, 1.0), (0.1, 0.0), (None, 0.0)], "score double, label double")
+    assert E.auc_exact(nan, "score", "label").first().auc == 1.0
+    assert E.precision_recall(nan, "score", "label", 0.5).first().tp == 1
+    assert [x.prediction for x in E.apply_threshold(nan, "score", 0.5).collect()] == [0.0, 1.0, 0.0, 0.0]
+
+
+# ---------------------------------------------------------------- key hash
+@pytest.mark.parametrize("k", [2, 5, 10])
+def test_folds_do_not_follow_key_arithmetic(spark, k):
+    df = spark.range(-20000, 20000).select("id", (C.key_hash(["id"]) % 5).alias("fold"))
+    share = df.groupBy(F.pmod("id", F.lit(k)).alias("r"), (F.col("id") < 0).alias("neg"), "fold").count().collect()
+    want = 40000 / (2 * k * 5)
+    assert len(share) == 2 * k * 5 and all(abs(r["count"] - want) < 6 * want ** 0.5 for r in share)
+
+
+def test_running_totals_have_no_single_partition_over_rows(spark):
+    df = spark.range(5000).select(F.col("id").cast("double").alias("v"), F.lit(1).alias("w"))
+    plan = running_totals(df, "v", ["w"])._jdf.queryExecution().executedPlan().toString()
+    import re
+
+    for m in re.finditer("SinglePartition", plan):  # only the bucket table, which is aggregated by bucket first
+        assert "partial_sum" in plan[m.end():m.end() + 1500]
