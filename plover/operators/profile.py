@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from plover.functions.parse import is_missing
 from plover.operators.clean import missing_any
-from plover.operators.prefix import running_totals
+from plover.operators.prefix import running_totals, with_buckets
 
 CALENDAR = {"year": F.year, "month": F.month, "day": F.dayofmonth}
 
@@ -114,46 +114,27 @@ def value_counts_long(df: DataFrame, cols: list[str]) -> DataFrame:
     return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-QUANTILE_ROWS_PER_BUCKET = 1_000_000
-QUANTILE_MAX_BUCKETS = 4096
-
-
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (like ``percentile`` / ``quantile_cont``).
 
-    Distributed and skew-safe: one multi-column ``approxQuantile`` pass gives
-    every column its own cut points; ``Bucketizer`` (one split array per
-    column) puts each value in a bucket holding at most ~N/B rows; the
+    Distributed and skew-safe: one multi-column ``approxQuantile`` pass gives every
+    column its own cut points, so a value's bucket holds at most ~N/B rows; the
     distinct values are counted per (column, bucket) and the exact running
     count comes from bucket offsets plus a window inside each bucket.  The
     values at the two ranks around each quantile are then picked by a filter.
-    No group ever holds all values of a column.  Columns: column, n, q0.., min, max.
+    No group ever holds all values of a column; a column without values gives no
+    row and changes nothing for the others.  Columns: column, n, q0.., min, max.
     """
-    from pyspark.ml.feature import Bucketizer
-
-    wide = df.select(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
-    xs = [f"_x{i}" for i in range(len(cols))]
-    n_rows = wide.count()
-    nb = min(QUANTILE_MAX_BUCKETS, -(-n_rows // QUANTILE_ROWS_PER_BUCKET))
-    # up to QUANTILE_ROWS_PER_BUCKET rows a column is one bucket: no sketch pass needed
-    cuts = (wide.approxQuantile(xs, [i / nb for i in range(1, nb)], 1.0 / (4 * nb)) if nb > 1
-            else [[] for _ in xs])
-    splits = [[float("-inf")] + sorted(set(v for v in c if v == v)) + [float("inf")] for c in cuts]
-    if all(len(sp) >= 3 for sp in splits):
-        bucketed = Bucketizer(splitsArray=splits, inputCols=xs, outputCols=[f"_b{i}" for i in range(len(cols))],
-                              handleInvalid="keep").transform(wide)
-    else:  # one bucket per column
-        bucketed = wide.withColumns({f"_b{i}": F.lit(0.0) for i in range(len(cols))})
+    xs, bs = [f"_x{i}" for i in range(len(cols))], [f"_b{i}" for i in range(len(cols))]
+    wide = df.select(*[F.col(c).cast("double").alias(x) for c, x in zip(cols, xs, strict=True)])
+    bucketed = with_buckets(wide, xs, bs, buckets)
     stack = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"_x{i}").alias("value"), F.col(f"_b{i}").alias("bucket"))
-        for i, c in enumerate(cols)])).alias("s")
+        F.struct(F.lit(c).alias("column"), F.col(x).alias("value"), F.col(b).alias("bucket"))
+        for c, x, b in zip(cols, xs, bs, strict=True)])).alias("s")
     long = bucketed.select(stack).select("s.column", "s.value", "s.bucket")
     long = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
     vc = long.groupBy("column", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
-    cum = running_totals(vc, "value", ["n"], partition_cols=["column"], bucket_col="bucket",
-                         n_buckets=nb + 2, n_groups=len(cols))
-    tot = vc.groupBy("column").agg(F.sum("n").alias("total"))
-    cum = cum.join(F.broadcast(tot), "column")  # one row per profiled column
+    cum = running_totals(vc, "value", ["n"], partition_cols=["column"], bucket_col="bucket").withColumnRenamed("total_n", "total")
     aggs = []
     for i, q in enumerate(probs):
         h = (F.col("total") - 1) * F.lit(q)
@@ -178,7 +159,7 @@ def boxplot_stats(df: DataFrame, cols: list[str], whisker: float = 1.5) -> DataF
         "lower_fence": F.col("q1") - F.lit(whisker) * F.col("iqr"),
         "upper_fence": F.col("q3") + F.lit(whisker) * F.col("iqr"),
     })
-    vc = value_counts_long(df, cols).join(F.broadcast(q.select("column", "lower_fence", "upper_fence")), "column")
+    vc = value_counts_long(df, cols).join(q.select("column", "lower_fence", "upper_fence"), "column")
     whis = vc.groupBy("column").agg(
         F.min(F.when(F.col("value") >= F.col("lower_fence"), F.col("value"))).alias("lower_whisker"),
         F.max(F.when(F.col("value") <= F.col("upper_fence"), F.col("value"))).alias("upper_whisker"),
@@ -198,7 +179,23 @@ def correlation_long(df: DataFrame, cols: list[str], complete_rows: bool = True)
     if complete_rows:
         src = src.filter(~missing_any(src, cols))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = src.agg(*[F.corr(a, b).alias(f"c{k}") for k, (a, b) in enumerate(pairs)])
+    # values as doubles in columns of their own; sums around a first mean keep their digits
+    x = {c: f"_x{i}" for i, c in enumerate(cols)}
+    src = src.select(*[F.col(c).cast("double").alias(x[c]) for c in cols])
+    mean = src.agg(*[F.avg(x[c]) for c in cols]).first()
+    around = src.select(*[(F.col(x[c]) - F.lit(m).cast("double")).alias(x[c]) for c, m in zip(cols, mean, strict=True)])
+    n = F.count(F.lit(1))
+    sums = around.agg(n.alias("n"), *[F.sum(x[c]).alias(f"s{i}") for i, c in enumerate(cols)],
+                      *[F.sum(F.col(x[a]) * F.col(x[b])).alias(f"p{k}") for k, (a, b) in enumerate(pairs)])
+    place, at = {c: i for i, c in enumerate(cols)}, {p: k for k, p in enumerate(pairs)}
+
+    def spread_of(a, b):
+        return F.col(f"p{at[(a, b)]}") - F.try_divide(F.col(f"s{place[a]}") * F.col(f"s{place[b]}"), F.col("n"))
+
+    wide = sums.select(*[
+        (F.when((spread_of(a, a) > 0) & (spread_of(b, b) > 0),
+                spread_of(a, b) / F.sqrt(spread_of(a, a) * spread_of(b, b)))).alias(f"c{k}")
+        for k, (a, b) in enumerate(pairs)])
     entries = []
     for k, (a, b) in enumerate(pairs):
         entries.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c{k}").alias("corr")))
