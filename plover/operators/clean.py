@@ -7,12 +7,6 @@ from pyspark.sql import functions as F
 
 from plover.functions.parse import is_missing
 
-# Multiplier of the arithmetic key hash (Knuth's multiplicative constant); the
-# key is first folded below PRIME so the product stays inside BIGINT.
-HASH_MULT = 2654435761
-HASH_PRIME = 1000003
-
-
 def project(df: DataFrame, cols: list[str]) -> DataFrame:
     """B1."""
     return df.select(*cols)
@@ -51,23 +45,19 @@ def dropped_share(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
 
 
 def key_hash(cols: list[str | Column], modulus: int = 1000) -> Column:
-    """Arithmetic hash of non-negative integer keys in [0, modulus).
+    """Hash of a key in [0, modulus): the first eight hex digits of the md5 of its text.
 
-    Plain arithmetic (no engine-specific hash function) so any SQL engine can
-    repeat the assignment; independent of partitioning, unlike ``randomSplit``.
+    Any SQL engine has md5, so the assignment can be repeated elsewhere; it does not
+    depend on partitioning, and sides are independent of any arithmetic of the key.
+    Null parts count as an empty text.
     """
-    acc = F.lit(0).cast("bigint")
-    for c in cols:
-        c = F.col(c) if isinstance(c, str) else c
-        acc = ((acc * F.lit(31) + (c.cast("bigint") % HASH_PRIME)) % HASH_PRIME)
-    return (acc * F.lit(HASH_MULT)) % F.lit(modulus)
+    text = F.concat_ws("|", *[F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % F.lit(modulus)
 
 
 def key_hash_sql(cols: list[str], modulus: int = 1000) -> str:
-    acc = "CAST(0 AS BIGINT)"
-    for c in cols:
-        acc = f"(({acc} * 31 + (CAST({c} AS BIGINT) % {HASH_PRIME})) % {HASH_PRIME})"
-    return f"(({acc} * {HASH_MULT}) % {modulus})"
+    text = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols)
+    return f"(CAST('0x' || substring(md5({text}), 1, 8) AS BIGINT) % {modulus})"
 
 
 def hash_split(df: DataFrame, key_cols: list[str], weights: list[float], name: str = "split",

@@ -1,10 +1,8 @@
 """Joins and duplicate handling described by the reference.
 
-Dimension tables are broadcast only behind a row-count check; beyond the
-bound the join is left to the planner (sort-merge, or AQE's runtime switch to
-broadcast when the shuffled side turns out small).  Deduplication is an
-aggregate -- ``min(struct(..))`` per key -- so map-side partial aggregation
-collapses a hot key before the shuffle instead of sorting it in one task.
+Nothing here forces a broadcast: the planner broadcasts a side whose bytes it knows
+to be small, and AQE one whose shuffled bytes turn out small.  Deduplication counts
+the copies per key by hash first; only rows of keys with several copies are ordered.
 """
 
 from __future__ import annotations
@@ -12,14 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DIM_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the table is proven small (one count; parquet footers for a plain scan)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def join_by_date(left: DataFrame, right: DataFrame, left_date: str | Column, right_date: str,
                  how: str = "inner") -> DataFrame:
     """Equi-join on a calendar date (timestamps are cut to the date on the left)."""
@@ -28,10 +18,9 @@ def join_by_date(left: DataFrame, right: DataFrame, left_date: str | Column, rig
     return keyed.join(right, keyed["_join_date"] == right[right_date], how).drop("_join_date")
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left",
-                   max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
-    """Attach a small dimension (codes, names) to a fact table."""
-    return fact.join(broadcast_if_small(dim, max_rows), on, how)
+def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
+    """Attach a small dimension (codes, names) to a fact table; the planner picks the join by the sides' bytes."""
+    return fact.join(dim, on, how)
 
 
 def duplicate_counts(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -41,13 +30,26 @@ def duplicate_counts(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def deduplicate(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """One row per key -- the smallest by ``order`` (default: all other columns),
-    so the choice is deterministic."""
+    """One row per key -- the smallest by ``order`` (default: all other columns), nulls last.
+
+    A hash aggregate counts the copies of each key (two longs per key cross the
+    shuffle).  Rows of keys that occur once, nearly all, pass through; only the rows of
+    repeated keys are packed and reduced by ``min``, map-side first.
+    """
     rest = [c for c in df.columns if c not in keys]
     order = order or rest
     tail = [c for c in rest if c not in order]
-    packed = F.struct(*[F.col(c).alias(c) for c in order + tail])
-    return df.groupBy(*keys).agg(F.min(packed).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    often = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).filter("_copies > 1").select(
+        *[F.col(c).alias(f"_d{i}") for i, c in enumerate(keys)])
+    same = F.lit(True)
+    for i, c in enumerate(keys):
+        same = same & F.col(c).eqNullSafe(F.col(f"_d{i}"))
+    once = df.join(often, same, "left_anti").select(*keys, *rest)
+    fields = []
+    for i, c in enumerate(order + tail):
+        fields += [F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(c)]
+    least = df.join(often, same, "left_semi").groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_r"))
+    return once.unionByName(least.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
 def aggregate_through_dimension(fact: DataFrame, fact_keys: list[str], dims: list[tuple[DataFrame, str, str]],

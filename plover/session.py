@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "plover") -> SparkSession:
@@ -39,6 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="plover-ckpt-")
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():
@@ -50,3 +54,25 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder (one per run, never reused)."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/plover/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder under the shared folder through Spark's own file system layer."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def written(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written once to the shared folder and read back; the files go when the block ends.
+
+    For inputs that are read many times inside the block (model fits): the plan runs
+    once, a lost executor recovers from the files, and nothing stays behind.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_path(spark, path)

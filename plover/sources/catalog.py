@@ -11,15 +11,22 @@ def _quote(name: str) -> str:
 
 def register_external(spark: SparkSession, name: str, location: str, fmt: str = "parquet",
                       database: str = "default", options: dict[str, str] | None = None) -> DataFrame:
-    """``USE db; DROP TABLE IF EXISTS; CREATE TABLE .. USING fmt [OPTIONS] LOCATION``; returns the table."""
+    """``USE db; DROP TABLE IF EXISTS; CREATE TABLE .. USING fmt [OPTIONS] LOCATION``; returns the table.
+
+    The session's own database is set back afterwards.
+    """
+    def text(value):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    before = spark.catalog.currentDatabase()
     spark.catalog.setCurrentDatabase(database)
-    spark.sql(f"DROP TABLE IF EXISTS {_quote(name)}")
-    loc = location.replace("'", "\\'")
-    opts = ""
-    if options:
-        opts = " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in options.items()) + ")"
-    spark.sql(f"CREATE TABLE {_quote(name)} USING {fmt}{opts} LOCATION '{loc}'")
-    return spark.table(name)
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {_quote(name)}")
+        opts = " OPTIONS (" + ", ".join(f"{text(k)} {text(v)}" for k, v in options.items()) + ")" if options else ""
+        spark.sql(f"CREATE TABLE {_quote(name)} USING {fmt}{opts} LOCATION {text(location)}")
+        return spark.table(name)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:

@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+FORMAT = {"header": "true", "escape": '"', "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+          "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def write_csv(df: DataFrame, path: str, compression: str = "gzip") -> None:
-    df.write.mode("errorifexists").option("header", "true").option("compression", compression).csv(path)
+    """Quotes are doubled inside values and timestamps keep their microseconds."""
+    df.write.mode("errorifexists").options(**FORMAT).option("compression", compression).csv(path)
+
 
+def read_csv(spark: SparkSession, path: str, infer: bool = True, schema: str | None = None) -> DataFrame:
+    """Read CSV with a header.  ``schema`` skips the inference pass (recommended at scale).
 
-def read_csv(spark: SparkSession, path: str, infer: bool = True, schema: str | None = None,
-             partitions: int | None = None) -> DataFrame:
-    """Read CSV with a header.  ``schema`` skips the inference pass (recommended at
-    scale).  gzip files are not splittable -- one task per file -- so the result
-    is ``repartition``-ed to ``partitions`` (default: the session's shuffle
-    partitions) before any further work."""
-    reader = spark.read.option("header", "true")
+    A gzip file is read by one task; write as many files as tasks should read them.
+    """
+    reader = spark.read.options(**FORMAT)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", "true" if infer else "false")
-    df = reader.csv(path)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n)
+    return reader.csv(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -44,5 +44,24 @@ def prefix_families(names: DataFrame, name_col: str = "column") -> DataFrame:
     return counts.join(proper, "family")
 
 
-def column_names(spark: SparkSession, df: DataFrame) -> DataFrame:
-    return spark.createDataFrame([(c,) for c in df.columns], "column string")
+def filled_columns(df: DataFrame) -> DataFrame:
+    """(column, n_filled): non-null values of every column, one pass over the rows."""
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    return counts.unpivot([], df.columns, "column", "n_filled")
+
+
+def filled_diff(before: DataFrame, after: DataFrame) -> DataFrame:
+    """A12 over the rows: columns that two states of a table have, and how many values each holds there."""
+    a = filled_columns(before).withColumnRenamed("n_filled", "n_before")
+    b = filled_columns(after).withColumnRenamed("n_filled", "n_after")
+    status = F.when(F.col("n_before").isNull(), "added").when(F.col("n_after").isNull(), "removed").otherwise("same")
+    return a.join(b, "column", "full_outer").withColumn("status", status)
+
+
+def filled_families(df: DataFrame) -> DataFrame:
+    """A13 over the rows: per common name prefix, its columns and the values they hold."""
+    filled = filled_columns(df)
+    families = prefix_families(filled.select("column")).withColumnRenamed("count", "n_columns")
+    own = filled.select("n_filled", F.explode(F.transform(
+        F.sequence(F.lit(1), F.length("column")), lambda k: F.substring(F.col("column"), F.lit(1), k))).alias("family"))
+    return families.join(own.groupBy("family").agg(F.sum("n_filled").alias("n_filled")), "family")

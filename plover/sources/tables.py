@@ -10,15 +10,14 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a DataFrame that has fewer partitions than the session has cores.
+    """Round-robin a plain scan that is one single split, and so at most one split's bytes large.
 
-    A file with one row group (or one gzip stream) is read by one task however
-    big it is; every per-row expression up to the first shuffle would then run
-    on one core.  On a cluster a table has thousands of splits and this is a
-    no-op (no extra shuffle); it only fires for under-split inputs.
+    One split is read by one task, and every per-row expression up to the first
+    shuffle runs there too.  Tables of more than one split are left as they are.
+    Only for plain scans: asking a plan with shuffles for its partitions would run it.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    return df.repartition(want) if df.rdd.getNumPartitions() == 1 else df
 
 
 def scan(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
@@ -35,9 +34,10 @@ def scan(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     return spread(df) if heavy_rows else df
 
 
-def scan_glob(spark: SparkSession, pattern: str) -> DataFrame:
-    """A2: glob scan, e.g. ``f"{dir}/*"``; every matched file must share one schema."""
-    return spark.read.parquet(pattern)
+def scan_glob(spark: SparkSession, pattern: str, base: str | None = None) -> DataFrame:
+    """A2: every file that the glob matches, as one table; ``base`` keeps partition columns below it."""
+    reader = spark.read.option("basePath", base) if base else spark.read
+    return reader.parquet(pattern)
 
 
 def colocate(df: DataFrame, name: str, keys: list[str], buckets: int, path: str | None = None) -> DataFrame:
