@@ -14,6 +14,7 @@ from plover.plans import flows
 from plover.plans import standins as S
 from plover.plans.q_features import assembled
 from plover.plans.registry import query, rounded, with_ctes
+from plover.session import fresh_path, written
 
 SC = S.scores_sql()
 MUNGED = flows.loans_munged_sql()
@@ -27,7 +28,7 @@ TIED_THRESHOLD = 0.5
 def _counts_sql(score: str, src: str = "scores") -> str:
     return (f"SELECT {score} AS threshold, sum(CASE WHEN label > 0.5 THEN 1 ELSE 0 END) AS pos, "
             f"sum(CASE WHEN label > 0.5 THEN 0 ELSE 1 END) AS neg FROM {src} "
-            f"WHERE {score} IS NOT NULL AND label IS NOT NULL GROUP BY 1")
+            f"WHERE {score} IS NOT NULL AND NOT isnan({score}) AND label IS NOT NULL GROUP BY 1")
 
 
 def _cum_sql(counts: str) -> str:
@@ -129,7 +130,7 @@ def best_f1_threshold(spark, sf):
 
 
 @query("apply_threshold", with_ctes(
-    "SELECT label, CASE WHEN score_tied >= (SELECT threshold FROM best) THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction, "
+    "SELECT label, CASE WHEN NOT isnan(score_tied) AND score_tied >= (SELECT threshold FROM best) THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction, "
     "count(*) AS n FROM scores GROUP BY 1, 2", scores=SC,
     best=f"SELECT threshold FROM ({_f1_full_sql('score_tied')}) f ORDER BY f_measure DESC, threshold ASC LIMIT 1"))
 def apply_threshold(spark, sf):
@@ -147,7 +148,7 @@ def apply_threshold(spark, sf):
     f"SELECT count_if(score_tied >= {TIED_THRESHOLD} AND label > 0.5) AS tp, "
     f"count_if(score_tied >= {TIED_THRESHOLD} AND NOT label > 0.5) AS fp, "
     f"count_if(NOT score_tied >= {TIED_THRESHOLD} AND label > 0.5) AS fn, "
-    f"count_if(NOT score_tied >= {TIED_THRESHOLD} AND NOT label > 0.5) AS tn FROM scores) c", scores=SC))
+    f"count_if(NOT score_tied >= {TIED_THRESHOLD} AND NOT label > 0.5) AS tn FROM scores WHERE NOT isnan(score_tied)) c", scores=SC))
 def precision_recall(spark, sf):
     """Confusion counts and rates at one threshold."""
     return rounded(E.precision_recall(S.scores(spark, sf), "score_tied", "label", TIED_THRESHOLD), R)
@@ -157,7 +158,7 @@ def precision_recall(spark, sf):
     "SELECT label, prediction, round(sum(net), 2) AS sum_net, count(*) AS n, CASE "
     "WHEN label = 1.0 AND prediction = 1.0 THEN 'loss avoided' WHEN label = 1.0 AND prediction = 0.0 THEN 'loss incurred' "
     "WHEN label = 0.0 AND prediction = 1.0 THEN 'profit forfeited' ELSE 'profit kept' END AS meaning "
-    f"FROM (SELECT *, CASE WHEN score_tied >= {TIED_THRESHOLD} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction FROM scores) s "
+    f"FROM (SELECT *, CASE WHEN NOT isnan(score_tied) AND score_tied >= {TIED_THRESHOLD} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction FROM scores) s "
     "GROUP BY 1, 2", scores=SC))
 def confusion_value(spark, sf):
     """Money by confusion cell with its business meaning."""
@@ -200,8 +201,8 @@ def string_index_table(spark, sf):
 
 @query("label_index", _index_sql("bad_loan", "label"))
 def label_index(spark, sf):
-    """H2: label indexer on the response (0 = most frequent)."""
-    model = StringIndexer(inputCol="bad_loan", outputCol="label", handleInvalid="keep").fit(_train(spark, sf))
+    """H2: label indexer on the response (0 = most frequent; an unseen label is an error, as in the fits)."""
+    model = StringIndexer(inputCol="bad_loan", outputCol="label", handleInvalid="error").fit(_train(spark, sf))
     return model.transform(flows.loans_munged(spark, sf)).groupBy("bad_loan", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -282,44 +283,54 @@ def class_weights(spark, sf):
 # ------------------------------------------------------------------ H9-H14, J8 (rows-only: model outputs)
 def _model_data(spark, sf):
     d = M.prepare(flows.loans_munged(spark, sf), SPEC.numerics)
-    train = M.materialize(d.filter(F.col("issue_year") <= TRAIN_CUTOFF))
-    valid = d.filter(F.col("issue_year") > TRAIN_CUTOFF)
-    return train, valid
+    return d.filter(F.col("issue_year") <= TRAIN_CUTOFF), d.filter(F.col("issue_year") > TRAIN_CUTOFF)
+
+
+def _scored(model, train, valid, name=None):
+    """Both sides scored, tagged with the side (and the model's name)."""
+    tags = [F.lit(name).alias("model")] if name else []
+    sides = [M.score(model, df, keep=flows.KEYS + ["net"]).select(*tags, F.lit(side).alias("side"), "*")
+             for side, df in (("train", train), ("valid", valid))]
+    return sides[0].unionByName(sides[1])
 
 
 @query("lr_scores")
 def lr_scores(spark, sf):
-    """GLM pipeline fitted on train, validation rows scored (net, p0, p1, label, prediction)."""
+    """GLM pipeline fitted on train, both sides scored (net, p0, p1, label, prediction)."""
     train, valid = _model_data(spark, sf)
     pipe, _ = M.glm_pipeline(SPEC.categoricals, SPEC.numerics, SPEC.response)
-    return M.score(pipe.fit(train), valid, keep=flows.KEYS + ["net"])
+    return _scored(M.fit(pipe, train), train, valid)
 
 
 @query("gbt_scores")
 def gbt_scores(spark, sf):
     """Gradient-boosted trees (20 trees, depth 5, 52 bins)."""
     train, valid = _model_data(spark, sf)
-    return M.score(M.gbt_pipeline(SPEC.categoricals, SPEC.numerics, SPEC.response).fit(train), valid,
-                   keep=flows.KEYS + ["net"])
+    return _scored(M.fit(M.gbt_pipeline(SPEC.categoricals, SPEC.numerics, SPEC.response), train), train, valid)
 
 
 @query("rf_scores")
 def rf_scores(spark, sf):
     """J8 (+J9): random forest with inverse-frequency class weights."""
     train, valid = _model_data(spark, sf)
-    w = M.class_weights(train, "bad_loan", "class_weight").select("bad_loan", "class_weight")
-    train_w = train.join(F.broadcast(w), "bad_loan")  # one row per class
     pipe = M.rf_pipeline(SPEC.categoricals, SPEC.numerics, SPEC.response, weight_col="class_weight")
-    return M.score(pipe.fit(train_w), valid, keep=flows.KEYS + ["net"])
+    with written(train, "training") as data:
+        w = M.class_weights(data, "bad_loan", "class_weight").select("bad_loan", "class_weight")
+        model = pipe.fit(data.join(w, "bad_loan"))
+    return _scored(model, train, valid)
 
 
-@query("cv_metrics")
-def cv_metrics(spark, sf):
-    """5-fold CV over regParam [0.1, 0.01] on key-hash folds; mean AUC per setting."""
-    train, _ = _model_data(spark, sf)
+def _tuned(spark, sf, train):
+    """5-fold CV over regParam [0.1, 0.01] on key-hash folds; the best model is refitted on all of train."""
     pipe, lr = M.glm_pipeline(SPEC.categoricals, SPEC.numerics, SPEC.response)
     model, grid = M.cross_validate(pipe, lr, train, flows.KEYS)
-    rows = [(float(g[lr.regParam]), float(m)) for g, m in zip(grid, model.avgMetrics)]
+    return model, [(float(g[lr.regParam]), float(m)) for g, m in zip(grid, model.avgMetrics)]
+
+
+@query("cv_metrics")
+def cv_metrics(spark, sf):
+    """Mean AUC per setting of the grid."""
+    _, rows = _tuned(spark, sf, _model_data(spark, sf)[0])
     return spark.createDataFrame(rows, "regParam double, avg_auc double")
 
 
@@ -328,9 +339,76 @@ def lr_training_summary(spark, sf):
     """H15-H17 the reference's way: the fitted model's training summary (ROC, F-measure) and best F1."""
     train, _ = _model_data(spark, sf)
     pipe, _ = M.glm_pipeline(SPEC.categoricals, SPEC.numerics, SPEC.response)
-    summary = pipe.fit(train).stages[-1].summary
-    f = summary.fMeasureByThreshold
-    return f.orderBy(F.col("F-Measure").desc(), F.col("threshold").asc()).limit(1)
+    with written(train, "training") as data:  # the summary reads the training rows again
+        f = pipe.fit(data).stages[-1].summary.fMeasureByThreshold
+        best = f.orderBy(F.col("F-Measure").desc(), F.col("threshold").asc()).limit(1).collect()
+    return spark.createDataFrame(best, f.schema)
+
+
+# ------------------------------------------------------------------ the loan flow end to end
+_FLOW: dict[tuple[str, str], str] = {}
+
+
+def _loan_flow(spark, sf):
+    """Tuned GLM (best of the grid) and GBT, each scoring train and valid: one table, written once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FLOW:
+        train, valid = _model_data(spark, sf)
+        with written(train.withColumn("_side", F.lit("train")).unionByName(valid.withColumn("_side", F.lit("valid"))), "loans") as d:
+            train, valid = (d.filter(F.col("_side") == x).drop("_side") for x in ("train", "valid"))
+            glm = _tuned(spark, sf, train)[0].bestModel
+            gbt = M.fit(M.gbt_pipeline(SPEC.categoricals, SPEC.numerics, SPEC.response), train)
+            path = fresh_path(spark, "loan-scores")
+            _scored(glm, train, valid, "glm").unionByName(_scored(gbt, train, valid, "gbt")).write.parquet(path)
+        _FLOW[key] = path
+    return spark.read.parquet(_FLOW[key])
+
+
+_SIDES_SQL = ("SELECT g.model, CASE WHEN issue_year <= {c} THEN 'train' ELSE 'valid' END AS side, count(*) AS n, "
+              "count(*) AS n_sum_to_one, round(sum(net), 2) AS sum_net FROM m, (VALUES ('glm'), ('gbt')) AS g(model) "
+              "WHERE issue_year IS NOT NULL GROUP BY 1, 2").format(c=TRAIN_CUTOFF)
+
+
+@query("loan_scored_sides", with_ctes(_SIDES_SQL, m=MUNGED))
+def loan_scored_sides(spark, sf):
+    """The four score tables: rows, probabilities that sum to one, and money, per model and side."""
+    unit = F.abs(F.col("p0") + F.col("p1") - 1) < 1e-9
+    return rounded(_loan_flow(spark, sf).groupBy("model", "side").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(unit).alias("n_sum_to_one"), F.sum("net").alias("sum_net")), 2)
+
+
+@query("loan_auc")
+def loan_auc(spark, sf):
+    """Exact AUC of each of the four score tables."""
+    s, out = _loan_flow(spark, sf), None
+    for model in ("glm", "gbt"):
+        for side in ("train", "valid"):
+            own = s.filter((F.col("model") == model) & (F.col("side") == side))
+            a = E.auc_exact(own, "p1", "label").select(F.lit(model).alias("model"), F.lit(side).alias("side"), "*")
+            out = a if out is None else out.unionByName(a)
+    return out
+
+
+@query("loan_roc_stacked")
+def loan_roc_stacked(spark, sf):
+    """The four ROC curves thinned to 100 points, tagged and stacked."""
+    s, out = _loan_flow(spark, sf), None
+    for model in ("glm", "gbt"):
+        for side in ("train", "valid"):
+            own = s.filter((F.col("model") == model) & (F.col("side") == side))
+            r = E.roc_thinned(own, "p1", "label", 100).select(F.lit(f"{model}_{side}").alias("model"), "*")
+            out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("loan_money_by_cell")
+def loan_money_by_cell(spark, sf):
+    """Money by (label, prediction) cell of the scored validation rows, per model."""
+    s, out = _loan_flow(spark, sf).filter("side = 'valid'"), None
+    for model in ("glm", "gbt"):
+        c = E.confusion_value(s.filter(F.col("model") == model)).select(F.lit(model).alias("model"), "*")
+        out = c if out is None else out.unionByName(c)
+    return out
 
 
 @query("cv_max_iter")
@@ -342,13 +420,13 @@ def cv_max_iter(spark, sf):
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
     a = assembled(spark, sf).filter(F.col("DEP_DEL15").isNotNull())
-    data = M.materialize(M.with_folds(a, ["event_id"]))
     lr = LogisticRegression(featuresCol="features_scaled", labelCol="DEP_DEL15")
     pipe = Pipeline(stages=[FT.scaler("features", "features_scaled", with_mean=False), lr])
     grid = ParamGridBuilder().addGrid(lr.maxIter, [0, 1, 5]).build()
     ev = BinaryClassificationEvaluator(labelCol="DEP_DEL15")
-    model = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=5, foldCol="fold",
-                           seed=M.SEED).fit(data)
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=5, foldCol="fold", seed=M.SEED)
+    with written(M.with_folds(a, ["event_id"]), "folds") as data:
+        model = cv.fit(data)
     rows = [(int(g[lr.maxIter]), float(m)) for g, m in zip(grid, model.avgMetrics)]
     return spark.createDataFrame(rows, "maxIter int, avg_auc double")
 
@@ -356,11 +434,11 @@ def cv_max_iter(spark, sf):
 @query("lr_rolling")
 def lr_rolling(spark, sf):
     """Logistic regression (defaults) on scaled rolling weather features, label DEP_DEL15."""
+    from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
 
-    a = M.materialize(assembled(spark, sf).filter(F.col("DEP_DEL15").isNotNull()))
-    sc = FT.scaler("features", "features_scaled", with_mean=False).fit(a)
-    t = sc.transform(a)
-    model = LogisticRegression(featuresCol="features_scaled", labelCol="DEP_DEL15").fit(t)
+    a = assembled(spark, sf).filter(F.col("DEP_DEL15").isNotNull())
+    pipe = Pipeline(stages=[FT.scaler("features", "features_scaled", with_mean=False),
+                            LogisticRegression(featuresCol="features_scaled", labelCol="DEP_DEL15")])
     p = vector_to_array("probability")
-    return model.transform(t).select("event_id", "DEP_DEL15", p[1].alias("p1"), "prediction")
+    return M.fit(pipe, a).transform(a).select("event_id", "DEP_DEL15", p[1].alias("p1"), "prediction")

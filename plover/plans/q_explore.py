@@ -17,7 +17,6 @@ FLC = S.flights_sql(cities=True)
 WX = S.weather_sql()
 R = 6  # digits kept for floating results
 
-ROUTE_COLS = ["OP_UNIQUE_CARRIER", "ARR_DELAY", "DEP_DELAY", "ORIGIN_CITY_NAME", "DEST_CITY_NAME"]
 ROUTE_FILTER = "ARR_DELAY IS NOT NULL AND NOT isnan(ARR_DELAY) AND DEP_DELAY IS NOT NULL AND NOT isnan(DEP_DELAY)"
 REASONS = ["CARRIER_DELAY", "WEATHER_DELAY", "NAS_DELAY", "SECURITY_DELAY", "LATE_AIRCRAFT_DELAY"]
 
@@ -102,17 +101,17 @@ def top_dest_counts(spark, sf):
 # ------------------------------------------------------------------ D5, F3, F4 (flagship = top_origin_delay)
 def _city_delay(spark, sf, city, measure, name, k, top):
     src = _nonnull_dates(spark, sf)
-    means = rounded(_per_city(spark, sf, src, city, {name: measure}), R)
-    return rank.top_k(means, name, k, [city]) if top else rank.bottom_k(means, name, k, [city])
+    means = _per_city(spark, sf, src, city, {name: measure})
+    return rounded((rank.top_k if top else rank.bottom_k)(means, name, k, [city]), R)
 
 
 def _city_delay_sql(city, measure, name, k, top):
     order = "DESC" if top else "ASC"
     return with_ctes(
-        f"SELECT {city}, round(avg({measure}), {R}) AS {name} FROM flights "
+        f"SELECT {city}, round(m, {R}) AS {name} FROM (SELECT {city}, avg({measure}) AS m FROM flights "
         f"WHERE FL_DATE IS NOT NULL AND ARR_DELAY IS NOT NULL AND NOT isnan(ARR_DELAY) "
         f"AND DEP_DELAY IS NOT NULL AND NOT isnan(DEP_DELAY) "
-        f"GROUP BY {city} ORDER BY {name} {order}, {city} LIMIT {k}", flights=FLC)
+        f"GROUP BY {city} ORDER BY m {order}, {city} LIMIT {k}) t", flights=FLC)
 
 
 @query("top_origin_delay", _city_delay_sql("ORIGIN_CITY_NAME", "ARR_DELAY", "avg_arr_delay", 10, True))
@@ -145,35 +144,35 @@ def mean_by_carrier(spark, sf):
 
 
 # ------------------------------------------------------------------ D8, C18, F5
-_ROUTE_SQL = (f"SELECT ORIGIN_CITY_NAME, DEST_CITY_NAME, round(avg(ARR_DELAY), {R}) AS avg_arr_delay, "
-              f"round(avg(DEP_DELAY), {R}) AS avg_dep_delay FROM flights WHERE {ROUTE_FILTER} "
+_ROUTE_SQL = (f"SELECT ORIGIN_CITY_NAME, DEST_CITY_NAME, avg(ARR_DELAY) AS avg_arr_delay, "
+              f"avg(DEP_DELAY) AS avg_dep_delay FROM flights WHERE {ROUTE_FILTER} "
               "GROUP BY ORIGIN_CITY_NAME, DEST_CITY_NAME")
+_ROUTE_ROUNDED = f"round(avg_arr_delay, {R}) AS avg_arr_delay, round(avg_dep_delay, {R}) AS avg_dep_delay"
 
 
 def _route_means(spark, sf):
-    """Pre-aggregated per (supplier, customer) key pair, then joined to both city dimensions."""
-    dims = [(S.origin_cities(spark, sf), "l_suppkey", "s_suppkey"), (S.dest_cities(spark, sf), "o_custkey", "c_custkey")]
-    g = J.aggregate_through_dimension(_complete_flights(spark, sf), ["l_suppkey", "o_custkey"], dims,
-                                      ["ORIGIN_CITY_NAME", "DEST_CITY_NAME"],
-                                      {"avg_arr_delay": "ARR_DELAY", "avg_dep_delay": "DEP_DELAY"})
-    return rounded(g, R)
+    """Straight to the city pairs: partial aggregation leaves a few hundred rows per task."""
+    f = drop_missing(S.flights(spark, sf, cities=True), ["ARR_DELAY", "DEP_DELAY"])
+    return profile.group_means(f, ["ORIGIN_CITY_NAME", "DEST_CITY_NAME"],
+                               {"avg_arr_delay": "ARR_DELAY", "avg_dep_delay": "DEP_DELAY"})
 
 
-@query("route_means", with_ctes(_ROUTE_SQL, flights=FLC))
+@query("route_means", with_ctes(
+    f"SELECT ORIGIN_CITY_NAME, DEST_CITY_NAME, {_ROUTE_ROUNDED} FROM ({_ROUTE_SQL}) r", flights=FLC))
 def route_means(spark, sf):
-    return _route_means(spark, sf)
+    return rounded(_route_means(spark, sf), R)
 
 
 def _routes_ranked(spark, sf, by, top):
     r = _route_means(spark, sf).withColumn("route", route_name("ORIGIN_CITY_NAME", "DEST_CITY_NAME"))
-    return (rank.top_k if top else rank.bottom_k)(r, by, 5, ["route"])
+    return rounded((rank.top_k if top else rank.bottom_k)(r, by, 5, ["route"]), R)
 
 
 def _routes_sql(by, top):
     order = "DESC" if top else "ASC"
     return with_ctes(
-        f"SELECT *, ORIGIN_CITY_NAME || ' - ' || DEST_CITY_NAME AS route FROM ({_ROUTE_SQL}) r "
-        f"ORDER BY {by} {order}, route LIMIT 5", flights=FLC)
+        f"SELECT ORIGIN_CITY_NAME, DEST_CITY_NAME, {_ROUTE_ROUNDED}, route FROM (SELECT *, ORIGIN_CITY_NAME || ' - ' || "
+        f"DEST_CITY_NAME AS route FROM ({_ROUTE_SQL}) r ORDER BY {by} {order}, route LIMIT 5) t", flights=FLC)
 
 
 @query("top_routes", _routes_sql("avg_arr_delay", True))
@@ -274,7 +273,7 @@ def filter_cast_lt(spark, sf):
 
 
 # ------------------------------------------------------------------ D16, D17
-def _hist_sql(col, bins, log):
+def _hist_sql(col, bins, log, positive="ARR_DELAY"):
     x = f"log10({col})" if log else col
     return with_ctes(
         f"""SELECT b.bin, round(s.mn + b.bin * (s.mx - s.mn) / {bins}, {R}) AS lo,
@@ -283,7 +282,7 @@ FROM (SELECT range AS bin FROM range({bins})) b CROSS JOIN stats s
 LEFT JOIN (SELECT least(CAST(floor((x - s.mn) / (s.mx - s.mn) * {bins}) AS BIGINT), {bins - 1}) AS bin,
                   count(*) AS n FROM v, stats s GROUP BY 1) c ON c.bin = b.bin""",
         flights=FL,
-        v=f"SELECT {x} AS x FROM flights WHERE ARR_DELAY > 0 AND {col} > 0",
+        v=f"SELECT {x} AS x FROM flights WHERE {positive} > 0 AND {col} > 0",
         raw="SELECT min(x) AS mn, max(x) AS mx FROM v",
         stats="SELECT CASE WHEN mx > mn THEN mn ELSE mn - 0.5 END AS mn, CASE WHEN mx > mn THEN mx ELSE mx + 0.5 END AS mx "
               "FROM raw")
@@ -301,6 +300,12 @@ def histogram_log(spark, sf):
     return rounded(profile.histogram(src, "ARR_DELAY", 50, log_scale=True), R)
 
 
+@query("histogram_log_dep", _hist_sql("DEP_DELAY", 50, True, "DEP_DELAY"))
+def histogram_log_dep(spark, sf):
+    src = S.flights(spark, sf).filter(F.col("DEP_DELAY") > 0)
+    return rounded(profile.histogram(src, "DEP_DELAY", 50, log_scale=True), R)
+
+
 # ------------------------------------------------------------------ D18, J4
 _WX_NUM = ["HourlyPrecipitationDouble", "HourlyVisibilityDouble", "HourlyWindSpeedDouble"]
 
@@ -357,12 +362,7 @@ def outlier_counts(spark, sf):
     """Rows outside / inside the box-plot fences per column."""
     w = _weather_numeric(spark, sf)
     box = profile.boxplot_stats(w, _WX_NUM)
-    vc = profile.value_counts_long(w, _WX_NUM).join(F.broadcast(box.select("column", "lower_fence", "upper_fence")),
-                                                    "column")
-    inside = (F.col("value") >= F.col("lower_fence")) & (F.col("value") <= F.col("upper_fence"))
-    return vc.groupBy("column").agg(
-        F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("n_outliers"),
-        F.coalesce(F.sum(F.when(inside, F.col("n"))), F.lit(0)).alias("n_kept"))
+    return box.select("column", "n_outliers", (F.col("n") - F.col("n_outliers")).alias("n_kept"))
 
 
 # ------------------------------------------------------------------ D19, J5
@@ -414,6 +414,14 @@ def filter_before_date(spark, sf):
         "event_id", "station", "DATE")
 
 
+@query("filter_from_date", with_ctes(
+    "SELECT event_id, station, DATE FROM weather WHERE weather_ts >= TIMESTAMP '2024-01-10 00:00:00'", weather=WX))
+def filter_from_date(spark, sf):
+    """The lower bound of a date range, pushed to the scan too."""
+    return S.weather(spark, sf).filter(F.col("weather_ts") >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")).select(
+        "event_id", "station", "DATE")
+
+
 @query("temperature_by_month", with_ctes(
     f"SELECT CAST(month(CAST(DATE AS DATE)) AS INTEGER) AS month, round(avg(DailyAverageDryBulbTemperature), {R}) "
     "AS avg_temp FROM weather GROUP BY 1", weather=WX))
@@ -436,3 +444,15 @@ def filter_positive(spark, sf):
     """Comparison filter on a number."""
     return S.flights(spark, sf).filter(F.col("ARR_DELAY") > 0).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "ARR_DELAY")
+
+
+_FLIGHT_TYPES = [("FL_DATE", False), *((c, True) for c in ("ARR_DELAY", "DEP_DELAY", *REASONS)), ("CRS_DEP_TIME", False),
+                 ("CRS_ARR_TIME", False), ("DISTANCE", True), ("ARR_DEL15", True), ("OP_UNIQUE_CARRIER", False)]
+
+
+@query("missing_flights", with_ctes(" UNION ALL ".join(
+    f"SELECT '{c}' AS column, count_if({c} IS NULL{f' OR isnan({c})' if real else ''}) AS n_missing FROM flights"
+    for c, real in _FLIGHT_TYPES), flights=FL))
+def missing_flights(spark, sf):
+    """D13 on every flight column, one pass."""
+    return profile.missing_counts(S.flights(spark, sf), [c for c, _ in _FLIGHT_TYPES]).select("column", "n_missing")

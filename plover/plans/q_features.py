@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from plover.functions import flight_timestamp, label_from_threshold, parse_number_text, parse_timestamp
 from plover.functions.labels import label_audit as _label_audit
 from plover.operators import clean as C
+from plover.operators import features as FT
 from plover.operators import profile
 from plover.operators.rolling import lagged_range_mean, tumbling_mean as _tumbling_mean
 from plover.plans import standins as S
@@ -193,6 +194,19 @@ def missing_rolling(spark, sf):
     return profile.missing_counts(r, ["flight_datetime", "weather_datetime"] + ROLLING).select("column", "n_missing")
 
 
+_ROLLED_MISSING = " OR ".join(
+    [f"{c} IS NULL" for c in ("flight_datetime", "weather_datetime")]
+    + [f"{c} IS NULL OR isnan({c})" for c in [*HOURLY, "DEP_DEL15", *ROLLING]])
+
+
+@query("dropped_share_rolled", with_ctes(
+    f"SELECT count(*) AS n_before, count_if(NOT miss) AS n_after, round((count(*) - count_if(NOT miss)) * 100.0 / count(*), {R}) "
+    f"AS dropped_pct FROM (SELECT ({_ROLLED_MISSING}) AS miss FROM rolled) r", **_ctes(rolled=_ROLLED_SQL)))
+def dropped_share_rolled(spark, sf):
+    """B15 over all columns after the rolling step."""
+    return C.dropped_share(rolled(spark, sf).drop("event_id"))
+
+
 # ------------------------------------------------------------------ C11-C13, B10/C15
 @query("flight_timestamp", with_ctes(
     "SELECT event_id, strftime(flight_datetime, '%Y-%m-%d %H:%M:%S') AS flight_datetime, "
@@ -268,8 +282,6 @@ def assemble_skip(spark, sf):
 def scale_std_only(spark, sf):
     """H8: ``StandardScaler()`` defaults (withStd only), fitted then applied."""
     a = assembled(spark, sf)
-    scaler = StandardScaler()
-    scaler.setInputCol("features")
-    scaler.setOutputCol("features_scaled")
-    out = scaler.fit(a).transform(a).select("event_id", vector_to_array("features_scaled").alias("v"))
+    scaled = FT.scaler("features", "scaled", with_mean=False).fit(a).transform(a)
+    out = scaled.select("event_id", vector_to_array("scaled").alias("v"))
     return rounded(out.select("event_id", *[F.col("v")[i].alias(f"s{i}") for i in range(len(ROLLING))]), R)

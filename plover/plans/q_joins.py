@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from plover.operators import joins as J
 from plover.plans import standins as S
 from plover.plans.registry import query, rounded, with_ctes
+from plover.session import fresh_path
 from plover.sources.tables import scan
 
 R = 6
@@ -31,7 +32,10 @@ def _join_sql(how):
 
 def _join(spark, sf, how):
     f = S.flights(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "FL_DATE")
-    j = J.join_by_date(f, _daily(spark, sf), "FL_DATE", "day", how)
+    # written first (a row per calendar day): the planner then knows its bytes and leaves the flights where they are
+    path = fresh_path(spark, "daily")
+    _daily(spark, sf).write.parquet(path)
+    j = J.join_by_date(f, spark.read.parquet(path), "FL_DATE", "day", how)
     return rounded(j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                             F.col("FL_DATE").cast("string").alias("FL_DATE"), "daily_temp", "n_readings"), R)
 
@@ -59,7 +63,7 @@ def join_dimension(spark, sf):
     reg = scan(spark, sf, "region", ["r_regionkey", "r_name"])
     geo = J.join_dimension(nat, reg, nat.n_regionkey == reg.r_regionkey, "inner")
     s = J.join_dimension(sup, geo, sup.s_nationkey == geo.n_nationkey, "inner").select("s_suppkey", "r_name")
-    return li.join(s, li.l_suppkey == s.s_suppkey).groupBy("r_name").agg(F.count(F.lit(1)).alias("n"))
+    return J.aggregate_through_dimension(li, ["l_suppkey"], [(s, "l_suppkey", "s_suppkey")], ["r_name"], count_name="n")
 
 
 @query("duplicate_counts",
@@ -76,7 +80,7 @@ _LI_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discou
 
 @query("deduplicate",
        "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY "
-       + ", ".join(_LI_REST) + ") AS rn FROM lineitem) x WHERE rn = 1")
+       + ", ".join(f"{c} NULLS LAST" for c in _LI_REST) + ") AS rn FROM lineitem) x WHERE rn = 1")
 def deduplicate(spark, sf):
     """One row per (l_orderkey, l_linenumber), the smallest by the remaining columns."""
     return J.deduplicate(scan(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], _LI_REST)

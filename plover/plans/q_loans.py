@@ -12,13 +12,13 @@ from plover.plans import standins as S
 from plover.plans.registry import query, rounded, with_ctes
 from plover.session import fresh_path
 from plover.sources import catalog, csv, schema
-from plover.sources.snapshots import SnapshotTable
 from plover.sources.tables import scan, scan_glob
 
 RAW = S.loans_raw_sql()
 CLEAN = flows.loans_clean_sql()
 MUNGED = flows.loans_munged_sql()
 KEYS = flows.KEYS
+SPEC = flows.FeatureSpec()
 KEY_SQL = ", ".join(KEYS)
 R = 6
 
@@ -29,20 +29,34 @@ def scan_parquet(spark, sf):
     return scan(spark, sf, "lineitem")
 
 
-@query("scan_parquet_glob", "SELECT * FROM nation")
+@query("scan_parquet_glob", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, "
+                            "CAST(year(o_orderdate) AS INTEGER) AS year FROM orders "
+                            "WHERE year(o_orderdate) BETWEEN 1995 AND 1999")
 def scan_parquet_glob(spark, sf):
-    """A2: a glob that matches exactly one table file."""
-    return scan_glob(spark, f"{sf.rstrip('/')}/n*ion.parquet")
+    """A2: one folder of files per order year, of which a glob takes the folders of five."""
+    path = fresh_path(spark, "orders-by-year")
+    o = scan(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
+    o.repartition("year", "o_orderkey").write.partitionBy("year").parquet(path)
+    back = scan_glob(spark, f"{path}/year=199[5-9]", base=path)
+    return back.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "year")
 
 
-@query("csv_roundtrip", "SELECT event_id, user_id, event_type, value FROM events")
+@query("scan_parquet_folder", "SELECT * FROM lineitem")
+def scan_parquet_folder(spark, sf):
+    """A1: a folder of many part files, read as one table."""
+    path = fresh_path(spark, "lineitem-parts")
+    scan(spark, sf, "lineitem").repartition(16, "l_orderkey").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("csv_roundtrip", "SELECT * FROM events")
 def csv_roundtrip(spark, sf):
-    """A3: write gzip CSV with a header to the shared folder, read back with an inferred schema."""
+    """A3: all columns of events as gzip CSV with a header, read back with an inferred schema."""
     path = fresh_path(spark, "csv-events")
-    csv.write_csv(scan(spark, sf, "events", ["event_id", "user_id", "event_type", "value"]), path)
+    source = scan(spark, sf, "events")
+    csv.write_csv(source, path)
     back = csv.read_csv(spark, path, infer=True)
-    return back.select(F.col("event_id").cast("bigint"), F.col("user_id").cast("bigint"), "event_type",
-                       F.col("value").cast("double"))
+    return back.select(*[F.col(f.name).cast(f.dataType) for f in source.schema.fields])
 
 
 @query("peek_rows", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 4")
@@ -72,6 +86,13 @@ def project_columns(spark, sf):
     return C.project(S.loans_raw(spark, sf), flows.LOAN_COLUMNS)
 
 
+@query("project_clean_columns", with_ctes(
+    f"SELECT {KEY_SQL}, {', '.join(SPEC.categoricals + SPEC.numerics)} FROM m", m=MUNGED))
+def project_clean_columns(spark, sf):
+    """B1: the model's columns of the cleaned loans."""
+    return C.project(flows.loans_munged(spark, sf), [*KEYS, *SPEC.categoricals, *SPEC.numerics])
+
+
 @query("filter_in_list", with_ctes(
     f"SELECT {KEY_SQL}, loan_status FROM loans WHERE loan_status IN ('Default', 'Charged Off', 'Fully Paid')",
     loans=RAW))
@@ -167,75 +188,63 @@ def temporal_split(spark, sf):
     return c.groupBy(C.temporal_side("issue_year", TRAIN_CUTOFF).alias("side")).agg(F.count(F.lit(1)).alias("n"))
 
 
-# ------------------------------------------------------------------ A4-A8, A12: snapshots, history, catalog
-def _two_version_table(spark, sf):
-    t = SnapshotTable(spark, fresh_path(spark, "loan_stats"))
-    t.write(flows.loans_clean(spark, sf))
-    evolved = flows.munge_loans(t.read())  # reads v0 while writing v1: safe with snapshots
-    t.write(evolved, merge_schema=True)
-    return t
-
-
+# ------------------------------------------------------------------ A4-A8, A12: overwrite, evolution, catalog
 @query("snapshot_latest", with_ctes("SELECT * FROM clean", clean=CLEAN))
 def snapshot_latest(spark, sf):
-    """A4/A5: overwrite into a fresh versioned table, read the latest snapshot."""
-    t = SnapshotTable(spark, fresh_path(spark, "loan_stats"))
-    t.write(flows.loans_clean(spark, sf))
-    return t.read()
+    """A4/A5: write a table (overwrite), read it back."""
+    path = fresh_path(spark, "loan-stats")
+    flows.loans_clean(spark, sf).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _two_states(spark, sf):
+    """The table before and after it gained a column, as two partitions of one folder."""
+    path = fresh_path(spark, "loan-stats")
+    flows.loans_clean(spark, sf).write.parquet(f"{path}/state=0")
+    flows.munge_loans(spark.read.parquet(f"{path}/state=0")).write.parquet(f"{path}/state=1")
+    return path
 
 
 @query("snapshot_evolved", with_ctes(
-    "SELECT 0 AS version, count(*) AS n_rows, 0 AS n_net FROM clean "
+    "SELECT 0 AS state, count(*) AS n_rows, 0 AS n_net FROM clean "
     "UNION ALL SELECT 1, count(*), count(net) FROM m", clean=CLEAN, m=MUNGED))
 def snapshot_evolved(spark, sf):
-    """Evolve with a new column; all versions read with merged schema (old rows: null net)."""
-    t = _two_version_table(spark, sf)
-    return t.read_all().groupBy(F.col("version").cast("int").alias("version")).agg(
+    """Both states read with a merged schema (rows before the column: null)."""
+    both = spark.read.option("mergeSchema", "true").parquet(_two_states(spark, sf))
+    return both.groupBy(F.col("state").cast("int").alias("state")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("net").cast("int").alias("n_net"))
 
 
-@query("snapshot_history", with_ctes(
-    "SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, 'Overwrite' AS mode, count(*) AS n_rows, "
-    "CAST((SELECT count(*) FROM (DESCRIBE SELECT * FROM clean)) AS INTEGER) AS n_columns, '' AS added_columns "
-    "FROM clean UNION ALL "
-    "SELECT 1, 'WRITE', 'Overwrite', count(*), CAST((SELECT count(*) FROM (DESCRIBE SELECT * FROM m)) AS INTEGER), "
-    "'net' FROM m", clean=CLEAN, m=MUNGED))
-def snapshot_history(spark, sf):
-    """``DESCRIBE HISTORY`` as a table (write time left out: it differs per run)."""
-    t = _two_version_table(spark, sf)
-    return t.history().select("version", "operation", "mode", "n_rows", "n_columns", "added_columns")
-
-
 @query("external_table_scan", with_ctes("SELECT grade, count(*) AS n FROM m GROUP BY 1", m=MUNGED))
 def external_table_scan(spark, sf):
-    """``USE default; DROP TABLE IF EXISTS; CREATE TABLE .. USING parquet LOCATION`` the latest snapshot."""
-    t = _two_version_table(spark, sf)
-    tbl = catalog.register_external(spark, "plover_loan_stats", t.version_path(t.latest_version()))
+    """``USE default; DROP TABLE IF EXISTS; CREATE TABLE .. USING parquet LOCATION`` the evolved state."""
+    path = _two_states(spark, sf)
+    tbl = catalog.register_external(spark, "plover_" + path.rsplit("-", 1)[-1], f"{path}/state=1")
     return tbl.groupBy("grade").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _filled_sql(src):
+    return f"SELECT name AS column, value AS n FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM {src}) ON *)"
+
+
 @query("schema_diff", with_ctes(
-    "SELECT coalesce(a.column_name, b.column_name) AS column, CASE WHEN a.column_name IS NULL THEN 'added' "
-    "WHEN b.column_name IS NULL THEN 'removed' ELSE 'same' END AS status "
-    "FROM (SELECT column_name FROM (DESCRIBE SELECT * FROM clean)) a "
-    "FULL OUTER JOIN (SELECT column_name FROM (DESCRIBE SELECT * FROM m)) b ON a.column_name = b.column_name",
-    clean=CLEAN, m=MUNGED))
+    "SELECT coalesce(a.column, b.column) AS column, a.n AS n_before, b.n AS n_after, CASE WHEN a.column IS NULL THEN 'added' "
+    "WHEN b.column IS NULL THEN 'removed' ELSE 'same' END AS status FROM a FULL OUTER JOIN b ON a.column = b.column",
+    clean=CLEAN, m=MUNGED, a=_filled_sql("clean"), b=_filled_sql("m")))
 def schema_diff(spark, sf):
-    """Schema before vs after evolution (the reference's two printSchema calls)."""
-    d = schema.schema_diff(flows.loans_clean(spark, sf), flows.loans_munged(spark, sf))
-    return d.select("column", F.when(F.col("status") == "changed", "same").otherwise(F.col("status")).alias("status"))
+    """Columns before and after the evolution, with the values that they hold."""
+    return schema.filled_diff(flows.loans_clean(spark, sf), flows.loans_munged(spark, sf))
 
 
 @query("column_prefix_families", with_ctes(
-    "SELECT family, count(DISTINCT column_name) AS count FROM (SELECT column_name, "
-    "substring(column_name, 1, CAST(k AS INTEGER)) AS family, k FROM names, range(1, length(column_name) + 1) r(k)) p "
-    "WHERE family IN (SELECT substring(column_name, 1, CAST(k AS INTEGER)) FROM names, "
-    "range(1, length(column_name)) r(k)) GROUP BY family",
-    otpw=S.otpw_sql(), names="SELECT column_name FROM (DESCRIBE SELECT * FROM otpw)"))
+    "SELECT family, count(DISTINCT c) AS n_columns, CAST(sum(n) AS BIGINT) AS n_filled FROM (SELECT filled.column AS c, n, "
+    "substring(filled.column, 1, CAST(k AS INTEGER)) AS family, k FROM filled, range(1, length(filled.column) + 1) r(k)) p "
+    "WHERE family IN (SELECT substring(filled.column, 1, CAST(k AS INTEGER)) FROM filled, "
+    "range(1, length(filled.column)) r(k)) GROUP BY family",
+    otpw=S.otpw_sql(), filled=_filled_sql("otpw")))
 def column_prefix_families(spark, sf):
-    """Families of input columns by common name prefix."""
-    names = schema.column_names(spark, S.otpw(spark, sf))
-    return schema.prefix_families(names)
+    """Families of input columns by common name prefix, with the values that they hold."""
+    return schema.filled_families(S.otpw(spark, sf))
 
 
 # ------------------------------------------------------------------ A9

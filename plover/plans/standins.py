@@ -90,16 +90,15 @@ def flights(spark: SparkSession, sf_dir: str, cities: bool = False, lineitem: Da
     li = (lineitem if lineitem is not None else scan(spark, sf_dir, "lineitem")).select(
         *_FLIGHT_KEYS, "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
     od = (orders if orders is not None else scan(spark, sf_dir, "orders")).select("o_orderkey", "o_orderdate", "o_custkey")
-    j = li.join(od, li.l_orderkey == od.o_orderkey)
     extra: list[str] = []
+    if cities:  # customers join the orders, a quarter of the rows, before those meet the lines
+        cus = dest_cities(spark, sf_dir)
+        od = od.join(cus, od.o_custkey == cus.c_custkey).drop("c_custkey")
+    j = li.join(od, li.l_orderkey == od.o_orderkey)
     if cities:
-        nation = F.broadcast(scan(spark, sf_dir, "nation", ["n_nationkey", "n_name"]))  # 25 rows by spec
-        sup = scan(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"]).join(
-            nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("n_name").alias("origin_name"))
-        cus = scan(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"]).join(
-            nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("dest_name"))
-        j = j.join(sup, j.l_suppkey == sup.s_suppkey).join(cus, j.o_custkey == cus.c_custkey)
-        extra = ["origin_name AS ORIGIN_CITY_NAME", "dest_name AS DEST_CITY_NAME"]
+        sup = origin_cities(spark, sf_dir)
+        j = j.join(sup, j.l_suppkey == sup.s_suppkey)
+        extra = ["ORIGIN_CITY_NAME", "DEST_CITY_NAME"]
     j = j.withColumn("d", F.expr(_D.spark))
     cols = _flight_cols("d")
     return j.selectExpr(*_FLIGHT_KEYS, "o_custkey", *[f"{c.spark} AS {c.name}" for c in cols], *extra)
@@ -282,7 +281,7 @@ def scores_sql() -> str:
 
 def origin_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dimension: supplier key -> origin city (supplier nation name; nation is 25 rows by spec)."""
-    nation = F.broadcast(scan(spark, sf_dir, "nation", ["n_nationkey", "n_name"]))
+    nation = scan(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
     sup = scan(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     return sup.join(nation, sup.s_nationkey == nation.n_nationkey).select(
         "s_suppkey", F.col("n_name").alias("ORIGIN_CITY_NAME"))
@@ -290,7 +289,7 @@ def origin_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dest_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dimension: customer key -> destination city (customer nation name)."""
-    nation = F.broadcast(scan(spark, sf_dir, "nation", ["n_nationkey", "n_name"]))
+    nation = scan(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
     cus = scan(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
     return cus.join(nation, cus.c_nationkey == nation.n_nationkey).select(
         "c_custkey", F.col("n_name").alias("DEST_CITY_NAME"))

@@ -12,7 +12,8 @@ from conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
-SLOW = {"lr_scores", "gbt_scores", "rf_scores", "cv_metrics", "cv_max_iter", "lr_training_summary", "lr_rolling"}
+SLOW = {"lr_scores", "gbt_scores", "rf_scores", "cv_metrics", "cv_max_iter", "lr_training_summary", "lr_rolling",
+        "loan_auc", "loan_roc_stacked", "loan_money_by_cell"}
 
 
 def _norm(v):

@@ -1,26 +1,10 @@
-"""Snapshots, history, evolution rules, CSV and catalog on tiny tables."""
+"""CSV, catalog, schema and layout helpers on tiny tables."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from plover.session import fresh_path
 from plover.sources import catalog, csv, schema
-from plover.sources.snapshots import SnapshotTable
-
-
-def test_snapshot_versions_history_and_evolution(spark):
-    t = SnapshotTable(spark, fresh_path(spark, "t"))
-    v1 = spark.createDataFrame([(1, "a"), (2, "b")], "k long, s string")
-    assert t.write(v1) == 0
-    with pytest.raises(ValueError):
-        t.write(v1.withColumn("x", F.lit(1.0)))  # schema change needs merge_schema
-    assert t.write(t.read().withColumn("x", F.col("k") * 1.5), merge_schema=True) == 1
-    assert sorted(t.read().columns) == ["k", "s", "x"]
-    assert t.read(0).count() == 2
-    hist = [(r.version, r.n_rows, r.added_columns) for r in t.history().collect()]
-    assert hist == [(1, 2, "x"), (0, 2, "")]
-    merged = t.read_all()
-    assert merged.filter("version = 0").filter(F.col("x").isNull()).count() == 2
 
 
 def test_csv_roundtrip_and_external_table(spark):
