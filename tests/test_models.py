@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from plover.operators import evaluate as E
 from plover.operators import models as M
+from plover.session import written
 
 
 @pytest.fixture(scope="module")
@@ -41,3 +42,67 @@ def test_folds_are_repeatable(spark, planted):
     a = M.with_folds(planted, ["id"]).groupBy("fold").count().collect()
     b = M.with_folds(planted.repartition(5), ["id"]).groupBy("fold").count().collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_rf_learns_planted_signal_with_weights(spark, planted):
+    w = M.class_weights(planted, "bad", "class_weight").select("bad", "class_weight")
+    pipe = M.rf_pipeline(["cat"], ["x", "noise"], "bad", weight_col="class_weight")
+    s = M.score(M.fit(pipe, planted.join(w, "bad")), planted, keep=["id"])
+    assert s.count() == planted.count() and E.auc_exact(s, "p1", "label").first().auc > 0.85
+
+
+def test_cross_validation_keeps_the_best_model(spark, planted):
+    pipe, lr = M.glm_pipeline(["cat"], ["x", "noise"], "bad")
+    model, grid = M.cross_validate(pipe, lr, planted, ["id"], reg_params=(5.0, 0.01), folds=3)
+    assert model.avgMetrics[1] > model.avgMetrics[0] and model.avgMetrics[1] > 0.85
+    assert model.bestModel.stages[-1].getRegParam() == grid[1][lr.regParam] == 0.01
+    assert E.auc_exact(M.score(model.bestModel, planted), "p1", "label").first().auc > 0.85
+
+
+def test_training_summary_agrees_with_the_exact_curve(spark, planted):
+    pipe, _ = M.glm_pipeline(["cat"], ["x", "noise"], "bad", reg_param=0.01)
+    with written(planted, "planted") as data:
+        model = pipe.fit(data)
+        best = model.stages[-1].summary.fMeasureByThreshold.agg(F.max("F-Measure")).first()[0]
+    mine = E.best_f1_threshold(M.score(model, planted), "p1", "label").first().f_measure
+    assert mine == pytest.approx(best, abs=0.01)  # MLlib bins its thresholds
+
+
+def test_training_table_runs_once_and_is_removed(spark, planted):
+    import os
+
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        runs.add(1)
+        yield from batches
+
+    source = planted.repartition(1).mapInArrow(counted, planted.schema)
+    with written(source, "once") as data:
+        path = data.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+        for _ in range(3):
+            assert data.count() == 4000
+        assert os.path.isdir(path)
+    assert runs.value == 1 and not os.path.exists(path)
+
+
+@pytest.mark.parametrize("name", ["lr_rolling", "cv_max_iter", "lr_training_summary", "loan_auc", "loan_roc_stacked",
+                                  "loan_money_by_cell"])
+def test_model_queries(spark, name):
+    from conftest import SF_SMALL
+    from plover.plans.catalog import queries
+
+    rows = queries()[name](spark, SF_SMALL).collect()
+    if name == "lr_rolling":
+        assert rows and all(0 <= r.p1 <= 1 for r in rows) and {r.prediction for r in rows} <= {0.0, 1.0}
+    elif name == "cv_max_iter":
+        assert [r.maxIter for r in rows] == [0, 1, 5] and all(0 <= r.avg_auc <= 1 for r in rows)
+    elif name == "lr_training_summary":
+        assert len(rows) == 1 and 0 <= rows[0]["F-Measure"] <= 1
+    elif name == "loan_auc":
+        assert {(r.model, r.side) for r in rows} == {(m, s) for m in ("glm", "gbt") for s in ("train", "valid")}
+        assert all(r.auc is None or 0 <= r.auc <= 1 for r in rows)
+    elif name == "loan_roc_stacked":
+        assert len({r.model for r in rows}) == 4 and all(sum(x.model == m for x in rows) <= 102 for m in {r.model for r in rows})
+    else:
+        assert all((r.label, r.prediction) in E.CELL_MEANING and r.meaning for r in rows)
