@@ -1,6 +1,6 @@
 """LM scoring: exact corpus counts for the unigram base, and a log-bilinear model trained by noise-contrastive estimation.
 
-Documents are turned into written blocks: the sorted word hashes of a chunk of
+Documents are turned into written blocks: the distinct word hashes of a chunk of
 texts and the place of every token in them.  Words of the training rows are
 counted over the whole corpus; the commonest go to all tasks (``COMMON``, fixed),
 counts of the others are joined by (word, block) pairs, so a word crosses the
@@ -33,7 +33,7 @@ END = np.uint64(2)  # hash of the end token
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """One row per chunk of (doc_id, held_out, text): its distinct hashes with training counts, and its tokens as places in them."""
+    """One row per chunk of (doc_id, held_out, text): its distinct hashes, commonest first, with training counts, and its tokens as places in them."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -45,14 +45,17 @@ def _blocks(docs: DataFrame) -> DataFrame:
             token = np.full(len(h) + b.num_rows, END, np.uint64)
             token[np.arange(len(h)) + row] = h
             learn = ~np.repeat(b.column("held_out").to_numpy(zero_copy_only=False), count)
-            hashes, place = np.unique(token, return_inverse=True)
-            kind_ = np.uint16 if len(hashes) <= 1 << 16 else np.uint32
+            hashes, place, times = np.unique(token, return_inverse=True, return_counts=True)
+            order = np.argsort(-times, kind="stable")  # common words get small numbers, which pack well
+            rank = np.empty(len(order), np.uint32)
+            rank[order] = np.arange(len(order), dtype=np.uint32)
+            hashes, place = hashes[order], rank[place]
             seen = np.bincount(place[learn], minlength=len(hashes)).astype(np.uint32)
             ids = pa.ListArray.from_arrays(pa.array([0, b.num_rows], pa.int32()), b.column("doc_id"))
             held = pa.ListArray.from_arrays(pa.array([0, b.num_rows], pa.int32()), b.column("held_out"))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part << 32 | serial]), ids, held, pa.array([count.tolist()], pa.list_(pa.int64())),
-                 pa.array([hashes.tobytes()]), pa.array([seen.tobytes()]), pa.array([place.astype(kind_).tobytes()])],
+                 pa.array([hashes.tobytes()]), pa.array([_pack(seen)]), pa.array([_pack(place)])],
                 ["block", "ids", "held", "sizes", "hashes", "seen", "tokens"])
             serial += 1
 
@@ -66,15 +69,22 @@ def _block_rows(batches):
             yield {c: b.column(c)[i].as_py() for c in b.schema.names}
 
 
+def _pack(values: np.ndarray) -> bytes:
+    return pa.Codec("zstd").compress(values.astype(np.uint32).tobytes(), asbytes=True)
+
+
+def _unpack(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.Codec("zstd").decompress(raw, 4 * n), np.uint32) if n else np.zeros(0, np.uint32)
+
+
 def _tokens(r: dict) -> np.ndarray:
-    wide = np.uint16 if len(r["hashes"]) // 8 <= 1 << 16 else np.uint32
-    return np.frombuffer(r["tokens"], wide).astype(np.int64)
+    return _unpack(r["tokens"], sum(r["sizes"])).astype(np.int64)
 
 
 def _word_counts(blocks: DataFrame) -> DataFrame:
     def run(batches):
         for r in _block_rows(batches):
-            seen = np.frombuffer(r["seen"], np.uint32)
+            seen = _unpack(r["seen"], len(r["hashes"]) // 8)
             some = seen > 0
             yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(r["hashes"], np.int64)[some]),
                                               pa.array(seen[some].astype(np.int64))], ["h", "n"])
