@@ -25,9 +25,9 @@ from plover.llm.common import BASE_B, free_name, materialise, mix, prefix_hash,
 
 GRAM = 32
 CHUNK_BYTES = 1 << 20  # bytes hashed at a time; longer texts are cut, which moves window edges only
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 SLICE = 64  # starts of a window that are compared together
-HOT_SLICES = 1000  # different slices of one core from which they are split into single starts
+HOT_SLICES = 256  # different slices of one core from which they are split into single starts
 POSITION = np.uint64((1 << 24) - 1)
 
 
