@@ -22,6 +22,7 @@ HOURLY = ["HourlyPrecipitation", "HourlyVisibility", "HourlyWindGustSpeed", "Hou
 ROLLING = [f"rolling_{c}_average" for c in HOURLY]
 HOURS = 3600
 LO, HI = 6 * HOURS, 2 * HOURS
+NUDGE = 1e-9  # readings have two decimals: a mean of 32 lies exactly between two sixth digits; both sides round it up
 
 
 def labelled(spark, sf):
@@ -234,12 +235,12 @@ def rolling_mean_lagged(spark, sf):
 
 @query("rolling_mean_lagged_by_key", with_ctes(
     f"SELECT event_id, station, round(avg(reading) OVER (PARTITION BY station ORDER BY epoch_us(weather_ts) // 1000000 "
-    f"RANGE BETWEEN {LO} PRECEDING AND {HI} PRECEDING), {R}) AS rolling_reading_average FROM weather", weather=WX))
+    f"RANGE BETWEEN {LO} PRECEDING AND {HI} PRECEDING) + {NUDGE}, {R}) AS rolling_reading_average FROM weather", weather=WX))
 def rolling_mean_lagged_by_key(spark, sf):
     """E1 with a partition key (station); NaN readings make their frames NaN."""
     w = S.weather(spark, sf)
     out = lagged_range_mean(w, "weather_ts", ["reading"], LO, HI, id_cols=["event_id"], partition_cols=["station"])
-    return rounded(out, R)
+    return rounded(out.withColumn("rolling_reading_average", F.col("rolling_reading_average") + NUDGE), R)
 
 
 @query("tumbling_mean", with_ctes(
