@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from plover.llm.common import ALNUM_WORD, ASCII_LOWER, free_name, row_chunks, text_bytes, words
 
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 BLOCK_BYTES = 32 << 20  # benchmark text searched per pass; more text means more passes, in blocks
 SAMPLE = 8  # every so many positions of a run keep their suffix position
 
@@ -208,10 +208,25 @@ LEAK = T.StructType([
 ])
 
 
-def _pass(docs: DataFrame, text_col: str, out: str, phrases, later: bool) -> DataFrame:
-    """One block of benchmark items against all rows; ``later``: ``out`` holds the finds of earlier blocks."""
+def _without(texts: list, spans: np.ndarray, cut: np.ndarray) -> pa.Array:
+    """The texts without their spans (rows ``cut[r]`` to ``cut[r + 1]`` of the array)."""
+    for r in np.flatnonzero(np.diff(cut)).tolist():
+        raw, kept, done = texts[r].encode(), [], 0
+        for s, e in spans[cut[r]:cut[r + 1]].tolist():
+            kept.append(raw[done:s])
+            done = e
+        texts[r] = b"".join([*kept, raw[done:]]).decode()
+    return pa.array(texts, pa.string())
+
+
+def _pass(docs: DataFrame, text_col: str, out: str, phrases, later: bool, remove: bool) -> DataFrame:
+    """One block of benchmark items against all rows; ``later``: ``out`` holds the finds of earlier blocks.
+
+    ``remove``: the spans are cut out of the text, and ``out`` is left away.
+    """
     columns = [c for c in docs.columns if c != out]
-    schema = T.StructType([*docs.select(*columns).schema.fields, T.StructField(out, LEAK)])
+    plain = docs.select(*columns).schema
+    schema = plain if remove else T.StructType([*plain.fields, T.StructField(out, LEAK)])
 
     def run(batches):
         block = phrases.value
@@ -233,6 +248,10 @@ def _pass(docs: DataFrame, text_col: str, out: str, phrases, later: bool) -> Dat
             last = hit & ~np.concatenate([hit[1:] & (row[1:] == row[:-1]), [False]])[:len(hit)]
             spans = np.stack([start[first], end[last]], axis=1) - offsets[row[first]][:, None]
             cut = np.searchsorted(row[first], np.arange(b.num_rows + 1))
+            if remove:
+                text = _without(b.column(text_col).to_pylist(), spans, cut)
+                yield pa.RecordBatch.from_arrays([text if c == text_col else b.column(c) for c in columns], columns)
+                continue
             leak = pa.StructArray.from_arrays([
                 pa.array(np.bincount(row, minlength=b.num_rows)), pa.array(np.bincount(row[hit], minlength=b.num_rows)),
                 pa.array([sorted(x) for x in found], pa.list_(pa.string())),
@@ -244,9 +263,12 @@ def _pass(docs: DataFrame, text_col: str, out: str, phrases, later: bool) -> Dat
 
 
 def scan_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_col: str = "text",
-               item_col: str = "item_id", item_text_col: str = "text", out: str | None = None) -> DataFrame:
+               item_col: str = "item_id", item_text_col: str = "text", out: str | None = None,
+               remove: bool = False) -> DataFrame:
     """``docs`` plus a struct: ``n_words``, ``n_hit``, ``items`` (sorted ids as text) and ``spans``.
 
+    With ``remove``: ``docs`` with the spans cut out of the text instead.
+
     ``spans`` holds the removal spans as int64 pairs of byte offsets (end exclusive).
     A window is ``size`` consecutive words of an item, or the whole of a shorter one.
     Null or wordless text has no words; an item without words has no window; items
@@ -265,7 +287,7 @@ def scan_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_col:
         table = part.toArrow()
         phrases = spark.sparkContext.broadcast(
             Phrases(table.column("id").to_pylist(), table.column("text").combine_chunks(), size))
-        docs = _pass(docs, text_col, out, phrases, later=k > 0)
+        docs = _pass(docs, text_col, out, phrases, later=k > 0, remove=remove and k == blocks - 1)
     return docs
 
 
@@ -282,26 +304,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_col:
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_col: str = "text",
                  chars_col: str | None = None) -> DataFrame:
     """``docs`` with the removal spans cut out of the text (``chars_col``, if named, gets its new length)."""
-    leak = free_name(docs, "leak")
-    found = scan_leaks(docs, benchmark, size, text_col, out=leak)
-    columns = docs.columns
-    at = columns.index(text_col)
-
-    def run(batches):
-        for b in batches:
-            texts = b.column(text_col).to_pylist()
-            for r, x in enumerate(b.column(leak).to_pylist()):
-                if texts[r] is not None and x["n_hit"]:
-                    raw, kept, done = texts[r].encode(), [], 0
-                    for s, e in np.frombuffer(x["spans"], np.int64).reshape(-1, 2).tolist():
-                        kept.append(raw[done:s])
-                        done = e
-                    texts[r] = b"".join([*kept, raw[done:]]).decode()
-            arrays = [b.column(c) for c in columns]
-            arrays[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(arrays, columns)
-
-    cut = found.mapInArrow(run, docs.schema)
+    cut = scan_leaks(docs, benchmark, size, text_col, remove=True)
     if chars_col is None:
         return cut
     return cut.withColumn(chars_col, F.length(text_col).cast(docs.schema[chars_col].dataType))
