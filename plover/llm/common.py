@@ -127,7 +127,3 @@ def byte_class(excluded: list[tuple[int, int]]) -> np.ndarray:
 SPACED_WORD = byte_class([(0x20, 0x20), (0x09, 0x0D)])
 #: [^\x00-\x2F\x3A-\x60\x7B-\x7F]+
 ALNUM_WORD = byte_class([(0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F)])
-
-
-def per_row_sum(values: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-    return np.bincount(row, weights=values, minlength=n)
