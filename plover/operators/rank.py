@@ -30,8 +30,3 @@ def top_k(df: DataFrame, by: str, k: int, keys: list[str]) -> DataFrame:
 def bottom_k(df: DataFrame, by: str, k: int, keys: list[str]) -> DataFrame:
     """k smallest by ``by``."""
     return df.orderBy(*_order(by, True, keys)).limit(k)
-
-
-def first_row(df: DataFrame, by: str, keys: list[str], ascending: bool = False) -> DataFrame:
-    """the single best row."""
-    return df.orderBy(*_order(by, ascending, keys)).limit(1)
