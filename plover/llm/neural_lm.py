@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from plover.llm.common import ASCII_LOWER, SPACED_WORD, materialise, row_chunks, text_bytes, words
 from plover.llm.langid import held_out
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 COMMON = 1 << 16
 VOCABULARY = 510
 REST, START = 0, 1  # classes; the vocabulary follows
@@ -275,6 +275,18 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
             yield pa.RecordBatch.from_arrays([pa.array(hashes[at].view(np.int64)), pa.array(np.full(len(at), r["block"])),
                                               pa.array(at.astype(np.int32))], ["h", "block", "at"])
 
+    def known(batches):
+        """What the words of a block are to the model, in place of their hashes: classes and common counts, packed."""
+        for b in batches:
+            for i in range(b.num_rows):
+                hashes = np.frombuffer(b.column("hashes")[i].as_py(), np.uint64)
+                count, cls = shared.value.count_of(hashes), shared.value.class_of(hashes)
+                low, high = (count & 0xFFFFFFFF).astype(np.uint32), (count >> 32).astype(np.int32).view(np.uint32)
+                kept = [b.column(c).slice(i, 1) for c in ("block", "ids", "held", "sizes", "tokens")]
+                yield pa.RecordBatch.from_arrays(
+                    [*kept, pa.array([len(hashes)]), pa.array([_pack(low)]), pa.array([_pack(high)]), pa.array([_pack(cls)])],
+                    ["block", "ids", "held", "sizes", "tokens", "n", "low", "high", "cls"])
+
     pairs = blocks.select("block", "hashes").mapInArrow(rare, "h long, block long, at int")
     found = pairs.join(counts, "h").groupBy("block").agg(F.collect_list(F.struct("at", F.col("c"))).alias("rare"))
     kind = base.schema["doc_id"].dataType.simpleString()
@@ -283,16 +295,16 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
         words_, lbl = shared.value, model.value
         for b in batches:
             for i in range(b.num_rows):
-                r = {c: b.column(c)[i].as_py() for c in ("hashes", "tokens", "sizes")}
-                hashes = np.frombuffer(r["hashes"], np.uint64)
-                c = np.maximum(words_.count_of(hashes), 0)
+                r = {c: b.column(c)[i].as_py() for c in ("n", "low", "high", "cls", "tokens", "sizes")}
+                low, high, cls = (_unpack(r[x], r["n"]) for x in ("low", "high", "cls"))
+                c = np.maximum(high.view(np.int32).astype(np.int64) << 32 | low, 0)
+                cls = cls.astype(np.int64)
                 more = b.column("rare")[i]
                 if more.is_valid:
                     pairs_ = more.values
                     c[pairs_.field("at").to_numpy()] = pairs_.field("c").to_numpy()
                 token, sizes = _tokens(r), np.array(r["sizes"])
                 row = np.repeat(np.arange(len(sizes)), sizes)
-                cls = words_.class_of(hashes)
                 plain = np.log10((c + 1) / (words_.tokens + words_.distinct + 1))
                 inside = np.where(cls == REST, np.log10((c + 1) / (words_.rest_tokens + words_.rest_distinct + 1)), 0.0)
                 cls = cls[token]
@@ -305,6 +317,8 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
                      pa.array(np.bincount(row, weights=value, minlength=n))],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    ready = blocks.select("block", "ids", "held", "sizes", "hashes", "tokens").join(found, "block", "left")
+    ready = (blocks.select("block", "ids", "held", "sizes", "hashes", "tokens")
+             .mapInArrow(known, f"block long, ids array<{kind}>, held array<boolean>, sizes array<long>, tokens binary, "
+                                "n long, low binary, high binary, cls binary").join(found, "block", "left"))
     return ready.mapInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                                    "base_score double, score double")
