@@ -118,7 +118,9 @@ def license_report(docs: DataFrame, known: dict[str, str], id_col: str = "doc_id
         "doc_id", "key", F.sha2("words", 256).alias("digest"))
     whole = whole.join(table, "digest", "left")
     lines = base.select(F.sha2("text", 256).alias("key"), F.explode(F.split("text", "\n")).alias("line")).filter("line <> ''")
-    lines = canonical(lines, F.col("line"), "words").filter("words <> ''").select("key", F.sha2("words", 256).alias("digest"))
+    # no filter may stand on a digest (Spark would compute it twice); known texts are never empty, so blank lines match none
+    lines = canonical(lines, F.col("line"), "words").select(
+        "key", F.coalesce(F.sha2("words", 256), F.lit("")).alias("digest"))
     notices = (lines.join(table, "digest").groupBy("key")
                .agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("notices")))
     return whole.join(notices, "key", "left").select(
