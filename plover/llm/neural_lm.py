@@ -6,11 +6,14 @@ counted over the whole corpus; the commonest go to all tasks (``COMMON``, fixed)
 counts of the others are joined by (word, block) pairs, so a word crosses the
 shuffle once per block and not once per token.
 
-The model predicts a token's class (the ``VOCABULARY`` commonest tokens, or the rest)
-from the two classes before it.  It is trained on the corpus counts of class triples:
-a fixed number of parts run numpy minibatches, their parameters are averaged.  A
-block is scored by matrix products of its distinct contexts with all class vectors,
-normalised by the full sum; a token of the rest class also has its smoothed share.
+The vocabulary of the model grows with the corpus: all words with at least
+``least_count`` training tokens (about the root of the corpus size).  The model
+predicts a word from the two words before it in two levels, the class given the
+context and the word given class and context, both log-bilinear and normalised by
+the full sum.  The ``VOCABULARY`` commonest words are classes of their own, the others share classes
+by frequency; only words below the count are one rest class with a smoothed share inside.
+It is trained on the tokens of the blocks: parts run numpy minibatches, their
+parameters are averaged on Spark.
 """
 
 from __future__ import annotations
@@ -28,7 +31,9 @@ CHUNK_BYTES = 1 << 20
 COMMON = 1 << 16
 VOCABULARY = 510
 REST, START = 0, 1  # classes; the vocabulary follows
-SIZE, NOISE, BATCH, STEPS, PARTS, ROUNDS, RATE = 16, 64, 1024, 400, 8, 4, 0.03
+FEWEST, GROWTH = 10, 100  # a word of the vocabulary has FEWEST training tokens, and sqrt(all training tokens) / GROWTH
+SIZE, NOISE, INNER_NOISE, BATCH, STEPS, PARTS, ROUNDS, RATE = 16, 64, 4, 1024, 400, 8, 4, 0.03
+PIECE = 1 << 18  # parameters that cross a shuffle in one row
 END = np.uint64(2)  # hash of the end token
 
 
@@ -93,163 +98,230 @@ def _word_counts(blocks: DataFrame) -> DataFrame:
     return pairs.groupBy("h").agg(F.sum("n").alias("c"))
 
 
+def least_count(tokens: int) -> int:
+    return max(FEWEST, int(tokens ** 0.5 / GROWTH))
+
+
 class Words:
-    """Totals of the training tokens, counts of the commonest words, and the classes."""
+    """Totals of the training tokens, counts of the commonest words, and the vocabulary in the order of its counts."""
 
     def __init__(self, counts: DataFrame):
         total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
         self.tokens, self.distinct = int(total[0]), int(total[1])
-        top = counts.orderBy(F.desc("c"), "h").limit(COMMON).toArrow()  # bounded by COMMON rows
+        frequent = counts.filter(F.col("c") >= least_count(self.tokens)).count()  # about the root of the tokens
+        top = counts.orderBy(F.desc("c"), "h").limit(max(COMMON, frequent)).toArrow()
         h, c = top.column("h").to_numpy().view(np.uint64), top.column("c").to_numpy().astype(np.int64)
-        classes = h[:VOCABULARY]
-        if END in h and END not in classes:
-            classes = np.append(classes[:-1], END)
+        chosen = np.arange(min(max(VOCABULARY, frequent), len(h)))
+        end = np.flatnonzero(h == END)
+        if len(end) and end[0] not in chosen:
+            chosen[-1] = end[0]
+        word = np.full(len(h), REST, np.int64)
+        word[chosen] = np.arange(len(chosen)) + 2
         order = np.argsort(h)
-        self.hashes, self.counts = h[order], c[order]
-        self.classes = np.sort(classes)
-        mine = np.isin(self.hashes, self.classes)
-        self.class_counts = self.counts[mine]
-        rest = self.tokens - int(self.class_counts.sum())
-        self.rest_tokens, self.rest_distinct = rest, self.distinct - len(self.classes)
-        weight = np.concatenate([[rest + 1, 0], self.class_counts]).astype(float)
-        self.share = weight / weight.sum()  # of the classes; nothing is ever predicted to be a start
+        self.hashes, self.counts, self.word = h[order], c[order], word[order]
+        rest = self.tokens - int(c[chosen].sum())
+        self.rest_tokens, self.rest_distinct = rest, self.distinct - len(chosen)
+        weight = np.concatenate([[rest + 1, 0], c[chosen]]).astype(float)
+        self.share = weight / weight.sum()  # of the words; nothing is ever predicted to be a start
+
+    def _at(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return at, self.hashes[at] == hashes
 
     def count_of(self, hashes: np.ndarray) -> np.ndarray:
         """Counts of the commonest words, -1 for the others."""
         if not len(self.hashes):
             return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.counts[at], -1)
+        at, found = self._at(hashes)
+        return np.where(found, self.counts[at], -1)
 
-    def class_of(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.classes):
+    def word_of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
             return np.full(len(hashes), REST)
-        at = np.minimum(np.searchsorted(self.classes, hashes), len(self.classes) - 1)
-        return np.where(self.classes[at] == hashes, at + 2, REST)
+        at, found = self._at(hashes)
+        return np.where(found, self.word[at], REST)
 
 
-def _contexts(cls: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Code of the two classes before each token (starts before a text)."""
+def _contexts(word: np.ndarray, sizes: np.ndarray, wide: int) -> np.ndarray:
+    """Code of the two words before each token (starts before a text)."""
     first = np.cumsum(sizes) - sizes
-    before = np.concatenate([[START, START], cls])
+    before = np.concatenate([[START, START], word])
     one, two = before[1:-1].copy(), before[:-2].copy()
     one[first] = START
     two[first] = START
     second = first[sizes > 1] + 1
     two[second] = START
-    return two * (VOCABULARY + 2) + one
+    return two * wide + one
 
 
-def _triples(blocks: DataFrame, shared) -> DataFrame:
-    """Corpus counts of (context, class) over the training rows."""
-    def run(batches):
-        for r in _block_rows(batches):
-            sizes = np.array(r["sizes"])
-            learn = ~np.repeat(np.array(r["held"], bool), sizes)
-            cls = shared.value.class_of(np.frombuffer(r["hashes"], np.uint64))[_tokens(r)]
-            code = _contexts(cls, sizes) * (VOCABULARY + 2) + cls
-            code, n = np.unique(code[learn], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int64))], ["code", "n"])
-
-    pairs = blocks.select("hashes", "tokens", "sizes", "held").mapInArrow(run, "code long, n long")
-    return pairs.groupBy("code").agg(F.sum("n").alias("n"))
+def class_edges(words_: int) -> np.ndarray:
+    """First word of every class, and the number of words: single words, then runs of about the root of their number."""
+    single = min(words_, VOCABULARY + 2)
+    run = max(64, int((words_ - single) ** 0.5))
+    return np.concatenate([np.arange(single), np.arange(single, words_, run), [words_]]).astype(np.int64)
 
 
 class LogBilinear:
-    """Class scores q(context) . out + bias with q = near * r[one before] + far * r[two before]."""
+    """Scores (q, 1) . out of the classes and (q, 1) . inner of the words of a class (the last column is a bias), with
+    q = near * r[one before] + far * r[two before]."""
 
-    NAMES = ("r", "out", "near", "far", "bias")
+    NAMES = ("r", "out", "near", "far", "inner")
 
     def __init__(self, share: np.ndarray, seed: int = 7):
         rng = np.random.default_rng(seed)
         n = len(share)
-        self.r = rng.normal(0, 1, (n, SIZE)) / SIZE ** 0.5
-        self.out = rng.normal(0, 0.02, (n, SIZE))
-        self.near, self.far = np.ones(SIZE), np.full(SIZE, 0.5)
-        self.bias = np.log(np.maximum(share, 1e-12))
-        self.share = share
+        self.wide = max(n, VOCABULARY + 2)
+        self.edges = class_edges(n)
+        self.cls = np.repeat(np.arange(len(self.edges) - 1), np.diff(self.edges))
+        self.share, self.upto = share, np.concatenate([[0.0], np.cumsum(share)])
+        self.class_share = np.diff(self.upto[self.edges])
+        self.r = rng.normal(0, 1, (n, SIZE)).astype(np.float32) / np.float32(SIZE ** 0.5)
+        self.out = rng.normal(0, 0.02, (len(self.class_share), SIZE + 1)).astype(np.float32)
+        self.out[:, SIZE] = np.log(np.maximum(self.class_share, 1e-12))
+        self.near, self.far = np.ones(SIZE, np.float32), np.full(SIZE, 0.5, np.float32)
+        self.inner = np.zeros((n, SIZE + 1), np.float32)
+        self.own = np.log(np.maximum(share / np.maximum(self.class_share, 1e-12)[self.cls], 1e-12)).astype(np.float32)
+        self.inner[:, SIZE] = self.own
+        self.past = None
 
     def query(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return self.near * self.r[one] + self.far * self.r[two]
-
-    def train(self, code: np.ndarray, n: np.ndarray, seed: int) -> None:
-        """Minibatches drawn by count, each against noise classes drawn by their share (shared by the batch); AdaGrad."""
-        rng, wide = np.random.default_rng(seed), VOCABULARY + 2
-        upto, noise_upto = np.cumsum(n), np.cumsum(self.share)
-        log_noise = np.log(np.maximum(self.share, 1e-12) * NOISE)
-        past = {k: np.full_like(getattr(self, k), 1e-7) for k in self.NAMES}
-        for _ in range(STEPS):
-            pick = code[np.searchsorted(upto, rng.integers(0, upto[-1], BATCH), "right")]
-            w, one, two = pick % wide, pick // wide % wide, pick // wide // wide
-            noise = np.minimum(np.searchsorted(noise_upto, rng.random(NOISE) * noise_upto[-1], "right"), len(self.share) - 1)
-            q = self.query(one, two)
-            gap = (q * self.out[w]).sum(axis=1) + self.bias[w] - log_noise[w]
-            gap_noise = q @ self.out[noise].T + (self.bias - log_noise)[noise]
-            up = 1 / (1 + np.exp(np.clip(gap, -30, 30)))
-            down = -1 / (1 + np.exp(np.clip(-gap_noise, -30, 30)))
-            grad_q = up[:, None] * self.out[w] + down @ self.out[noise]
-            grad = {k: np.zeros_like(getattr(self, k)) for k in self.NAMES}
-            np.add.at(grad["out"], w, up[:, None] * q)
-            np.add.at(grad["out"], noise, down.T @ q)
-            np.add.at(grad["bias"], w, up)
-            np.add.at(grad["bias"], noise, down.sum(axis=0))
-            np.add.at(grad["r"], one, grad_q * self.near)
-            np.add.at(grad["r"], two, grad_q * self.far)
-            grad["near"] = (grad_q * self.r[one]).sum(axis=0)
-            grad["far"] = (grad_q * self.r[two]).sum(axis=0)
-            for k in self.NAMES:
-                g = grad[k] / BATCH
-                past[k] += g * g
-                setattr(self, k, getattr(self, k) + RATE * g / np.sqrt(past[k]))
-
-    def pack(self) -> bytes:
-        return np.concatenate([getattr(self, k).reshape(-1) for k in self.NAMES]).tobytes()
+        return self._query(self.r[one], self.r[two])
+
+    def _query(self, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+        q = np.ones((len(near), SIZE + 1), np.float32)
+        q[:, :SIZE] = self.near * near + self.far * far
+        return q
+
+    def _step(self, name: str, at: np.ndarray, grad: np.ndarray) -> None:
+        """AdaGrad on the rows ``at`` only, repeated rows summed."""
+        order = np.argsort(at, kind="stable")
+        at = at[order]
+        starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        rows, g = at[starts], np.add.reduceat(grad[order], starts, axis=0) / np.float32(BATCH)
+        past = self.past[name][rows] + g * g
+        self.past[name][rows] = past
+        getattr(self, name)[rows] += np.float32(RATE) * g / np.sqrt(past)
+
+    def train(self, context: np.ndarray, word: np.ndarray, seed, times: int = 1) -> int:
+        """Every token ``times`` times in minibatches, in random order, by noise-contrastive estimation with AdaGrad: its class against
+        noise classes drawn by share (shared by the batch), and its word against words of its class drawn by share."""
+        rng = np.random.default_rng(seed)
+        if self.past is None:
+            self.past = {k: np.full_like(getattr(self, k), 1e-7) for k in self.NAMES}
+        class_upto = np.cumsum(self.class_share)
+        log_noise = np.log(np.maximum(self.class_share, 1e-12) * NOISE).astype(np.float32)
+        log_inner = self.own + np.float32(np.log(INNER_NOISE))
+        size = np.diff(self.edges)
+        mixed = np.concatenate([rng.permutation(len(word)) for _ in range(times)])
+        sigmoid = lambda x: 1 / (1 + np.exp(np.minimum(-x, 30)))
+        for i in range(0, len(mixed), BATCH):
+            pick = mixed[i:i + BATCH]
+            w, one, two = word[pick], context[pick] % self.wide, context[pick] // self.wide
+            c = self.cls[w]
+            noise = np.minimum(np.searchsorted(class_upto, rng.random(NOISE) * class_upto[-1], "right"), len(class_upto) - 1)
+            r1, r2 = self.r[one], self.r[two]
+            q, v = self._query(r1, r2), self.out[c]
+            up = sigmoid(log_noise[c] - np.einsum("ij,ij->i", q, v))
+            down = -sigmoid(q @ self.out[noise].T - log_noise[noise])
+            grad_q = up[:, None] * v + down @ self.out[noise]
+            deep = np.flatnonzero(size[c] > 1)
+            if len(deep):
+                low, high = self.upto[self.edges[c[deep]]], self.upto[self.edges[c[deep] + 1]]
+                drawn = np.searchsorted(self.upto, low[:, None] + rng.random((len(deep), INNER_NOISE)) * (high - low)[:, None], "right") - 1
+                drawn = np.clip(drawn, self.edges[c[deep]][:, None], self.edges[c[deep] + 1][:, None] - 1)
+                at = np.concatenate([w[deep][:, None], drawn], axis=1)  # the word, then its noise
+                v, qd = self.inner[at], q[deep]
+                pull = -sigmoid((v @ qd[:, :, None])[:, :, 0] - log_inner[at])
+                pull[:, 0] += 1
+                grad_q[deep] += (pull[:, None] @ v)[:, 0]
+                self._step("inner", at.reshape(-1), (pull[:, :, None] * qd[:, None]).reshape(-1, SIZE + 1))
+            self._step("out", np.concatenate([c, noise]), np.concatenate([up[:, None] * q, down.T @ q]))
+            grad_q = grad_q[:, :SIZE]
+            self._step("r", np.concatenate([one, two]), np.concatenate([grad_q * self.near, grad_q * self.far]))
+            for k, r in (("near", r1), ("far", r2)):
+                g = (grad_q * r).sum(axis=0) / np.float32(BATCH)
+                self.past[k] += g * g
+                setattr(self, k, getattr(self, k) + np.float32(RATE) * g / np.sqrt(self.past[k]))
+        return len(mixed)
+
+    def pack(self) -> np.ndarray:
+        return np.concatenate([getattr(self, k).reshape(-1) for k in self.NAMES])
 
     def unpack(self, flat: np.ndarray) -> None:
         at = 0
         for k in self.NAMES:
             old = getattr(self, k)
-            setattr(self, k, flat[at:at + old.size].reshape(old.shape).copy())
+            setattr(self, k, flat[at:at + old.size].reshape(old.shape).astype(np.float32))
             at += old.size
 
-    def log_probabilities(self, context: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        """Normalised natural log probability of each class after its context; distinct contexts in batched products."""
+    def log_probabilities(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Normalised natural log probability of each word after its context; batched products."""
         codes, place = np.unique(context, return_inverse=True)
-        wide = VOCABULARY + 2
-        q = self.query(codes % wide, codes // wide).astype(np.float32)
-        out, bias = self.out.astype(np.float32).T, self.bias.astype(np.float32)
-        bias[START] = -np.inf
-        norm = np.empty(len(codes))
-        for i in range(0, len(codes), 4096):
-            s = q[i:i + 4096] @ out + bias
-            top = s.max(axis=1)
-            norm[i:i + 4096] = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
-        return (q[place] * out.T[cls]).sum(axis=1) + bias[cls] - norm[place]
-
-
-def _fit(triples: DataFrame, vocab: Words) -> LogBilinear:
+        q = self.query(codes % self.wide, codes // self.wide)
+        out = self.out.copy()
+        out[START, SIZE] = -1e30
+        norm = np.empty(len(codes), np.float32)
+        for i in range(0, len(codes), 512):
+            norm[i:i + 512] = _log_sum(q[i:i + 512] @ out.T)
+        cls = self.cls[word]
+        value = np.einsum("ij,ij->i", q[place], out[cls]) - norm[place]
+        deep = np.flatnonzero(np.diff(self.edges)[cls] > 1)
+        deep = deep[np.argsort(cls[deep], kind="stable")]
+        for own in np.split(deep, np.flatnonzero(np.diff(cls[deep])) + 1) if len(deep) else []:
+            first, last = self.edges[cls[own[0]]:cls[own[0]] + 2]
+            for i in range(0, len(own), 2048):
+                some = own[i:i + 2048]
+                s = q[place[some]] @ self.inner[first:last].T
+                value[some] += s[np.arange(len(some)), word[some] - first] - _log_sum(s)
+        return value
+
+
+def _log_sum(s: np.ndarray) -> np.ndarray:
+    """Logarithm of the rows' sums of exponentials."""
+    top = s.max(axis=1)
+    s = s - top[:, None]
+    return top + np.log(np.exp(s, out=s).sum(axis=1))
+
+
+def _fit(blocks: DataFrame, vocab: Words, shared) -> LogBilinear:
+    """A pass is dealt over the rounds: each takes every ROUNDS-th token of every block, and the parts (runs of files) start
+    from the average of the round before, weighted by their tokens."""
     model = LogBilinear(vocab.share)
-    parts = materialise(triples.withColumn("part", F.pmod(F.xxhash64("code"), F.lit(PARTS))), "triples")
-    share = vocab.share
-
-    def trained(round_: int, now: bytes):
-        def run(table: pa.Table) -> pa.Table:
-            own = LogBilinear(share)
-            own.unpack(np.frombuffer(now))
-            code, n = table.column("code").to_numpy(), table.column("n").to_numpy()
-            order = np.argsort(code)
-            own.train(code[order], n[order], 100 * round_ + int(table.column("part")[0].as_py()))
-            return pa.table({"weight": pa.array([int(n.sum())]), "model": pa.array([own.pack()], pa.binary())})
+    spark = blocks.sparkSession
+    parts = blocks.select("block", "hashes", "tokens", "sizes", "held").coalesce(PARTS)
+
+    def trained(round_: int, now):
+        def run(batches):
+            own, visited = LogBilinear(shared.value.share), 0
+            own.unpack(now.value)
+            for r in _block_rows(batches):
+                sizes = np.array(r["sizes"])
+                learn = ~np.repeat(np.array(r["held"], bool), sizes)
+                word = shared.value.word_of(np.frombuffer(r["hashes"], np.uint64))[_tokens(r)]
+                context = _contexts(word, sizes, own.wide)
+                mine = np.flatnonzero(learn)
+                mine = mine[mine % ROUNDS == round_]
+                visited += own.train(context[mine], word[mine], [r["block"], round_])
+            if visited:
+                flat = own.pack()
+                for at in range(0, len(flat), PIECE):
+                    yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([visited]), pa.array([flat[at:at + PIECE].tobytes()])],
+                                                     ["at", "visited", "part"])
 
         return run
 
+    def average(table: pa.Table) -> pa.Table:
+        weight, total = table.column("visited").to_pylist(), 0.0
+        for n, raw in zip(weight, table.column("part"), strict=True):
+            total = total + np.frombuffer(raw.as_py(), np.float32) * (n / sum(weight))
+        return pa.table({"at": table.column("at").slice(0, 1), "part": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
     for round_ in range(ROUNDS):
-        run = trained(round_, model.pack())
-        got = parts.groupBy("part").applyInArrow(run, "weight long, model binary").collect()  # PARTS rows of fixed size
-        if not got:
-            break
-        weight = np.array([r["weight"] for r in got], float)
-        model.unpack(np.average([np.frombuffer(r["model"]) for r in got], axis=0, weights=weight))
+        now = spark.sparkContext.broadcast(model.pack())
+        got = (parts.mapInArrow(trained(round_, now), "at long, visited long, part binary")
+               .groupBy("at").applyInArrow(average, "at long, part binary").collect())  # one model
+        if got:
+            model.unpack(np.concatenate([np.frombuffer(r["part"], np.float32) for r in sorted(got, key=lambda r: r["at"])]))
     return model
 
 
@@ -266,7 +338,7 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
     vocab = Words(counts)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocab)
-    model = spark.sparkContext.broadcast(_fit(_triples(blocks, shared), vocab))
+    model = spark.sparkContext.broadcast(_fit(blocks, vocab, shared))
 
     def rare(batches):
         for r in _block_rows(batches):
@@ -276,16 +348,16 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
                                               pa.array(at.astype(np.int32))], ["h", "block", "at"])
 
     def known(batches):
-        """What the words of a block are to the model, in place of their hashes: classes and common counts, packed."""
+        """What the words of a block are to the model, in place of their hashes: their places in the vocabulary and common counts, packed."""
         for b in batches:
             for i in range(b.num_rows):
                 hashes = np.frombuffer(b.column("hashes")[i].as_py(), np.uint64)
-                count, cls = shared.value.count_of(hashes), shared.value.class_of(hashes)
+                count, word = shared.value.count_of(hashes), shared.value.word_of(hashes)
                 low, high = (count & 0xFFFFFFFF).astype(np.uint32), (count >> 32).astype(np.int32).view(np.uint32)
                 kept = [b.column(c).slice(i, 1) for c in ("block", "ids", "held", "sizes", "tokens")]
                 yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array([len(hashes)]), pa.array([_pack(low)]), pa.array([_pack(high)]), pa.array([_pack(cls)])],
-                    ["block", "ids", "held", "sizes", "tokens", "n", "low", "high", "cls"])
+                    [*kept, pa.array([len(hashes)]), pa.array([_pack(low)]), pa.array([_pack(high)]), pa.array([_pack(word)])],
+                    ["block", "ids", "held", "sizes", "tokens", "n", "low", "high", "word"])
 
     pairs = blocks.select("block", "hashes").mapInArrow(rare, "h long, block long, at int")
     found = pairs.join(counts, "h").groupBy("block").agg(F.collect_list(F.struct("at", F.col("c"))).alias("rare"))
@@ -295,10 +367,10 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
         words_, lbl = shared.value, model.value
         for b in batches:
             for i in range(b.num_rows):
-                r = {c: b.column(c)[i].as_py() for c in ("n", "low", "high", "cls", "tokens", "sizes")}
-                low, high, cls = (_unpack(r[x], r["n"]) for x in ("low", "high", "cls"))
+                r = {c: b.column(c)[i].as_py() for c in ("n", "low", "high", "word", "tokens", "sizes")}
+                low, high, word = (_unpack(r[x], r["n"]) for x in ("low", "high", "word"))
                 c = np.maximum(high.view(np.int32).astype(np.int64) << 32 | low, 0)
-                cls = cls.astype(np.int64)
+                word = word.astype(np.int64)
                 more = b.column("rare")[i]
                 if more.is_valid:
                     pairs_ = more.values
@@ -306,9 +378,9 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
                 token, sizes = _tokens(r), np.array(r["sizes"])
                 row = np.repeat(np.arange(len(sizes)), sizes)
                 plain = np.log10((c + 1) / (words_.tokens + words_.distinct + 1))
-                inside = np.where(cls == REST, np.log10((c + 1) / (words_.rest_tokens + words_.rest_distinct + 1)), 0.0)
-                cls = cls[token]
-                value = lbl.log_probabilities(_contexts(cls, sizes), cls) / np.log(10) + inside[token]
+                inside = np.where(word == REST, np.log10((c + 1) / (words_.rest_tokens + words_.rest_distinct + 1)), 0.0)
+                word = word[token]
+                value = lbl.log_probabilities(_contexts(word, sizes, lbl.wide), word) / np.log(10) + inside[token]
                 n = len(sizes)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("ids")[i].values, b.column("held")[i].values, pa.array(sizes),
@@ -319,6 +391,6 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
 
     ready = (blocks.select("block", "ids", "held", "sizes", "hashes", "tokens")
              .mapInArrow(known, f"block long, ids array<{kind}>, held array<boolean>, sizes array<long>, tokens binary, "
-                                "n long, low binary, high binary, cls binary").join(found, "block", "left"))
+                                "n long, low binary, high binary, word binary").join(found, "block", "left"))
     return ready.mapInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                                    "base_score double, score double")

@@ -124,3 +124,19 @@ def test_model_is_normalised_and_beats_the_base(spark):
     for context in (0, 2 * wide + 3, wide + 1):
         p = np.exp(model.log_probabilities(np.full(3, context), np.array([0, 2, 3])))
         assert p.sum() == pytest.approx(1.0, abs=1e-5)
+
+
+def test_vocabulary_grows_and_words_of_a_class_are_normalised():
+    assert neural_lm.least_count(4_000_000) == 20 and neural_lm.least_count(1000) == neural_lm.FEWEST
+    rng = np.random.default_rng(1)
+    share = np.concatenate([[0.1, 0.0], np.sort(rng.random(1998))[::-1]])
+    model = neural_lm.LogBilinear(share / share.sum())
+    word = np.tile([1200, 1900], 4000)  # two words beyond the VOCABULARY commonest, each sure after the other
+    context = np.full(len(word), neural_lm.START * model.wide) + word[::-1]
+    assert model.train(context, word, 0) == len(word)
+    every = np.array([i for i in range(2000) if i != neural_lm.START])
+    p = {}
+    for before in (1200, 1900):
+        p[before] = np.exp(model.log_probabilities(np.full(len(every), neural_lm.START * model.wide + before), every))
+        assert p[before].sum() == pytest.approx(1.0, abs=1e-3)
+    assert (p[1900] != p[1200]).any() and p[1900][every == 1200] > 2 * p[1200][every == 1200]
