@@ -33,6 +33,8 @@ VOCABULARY = 510
 REST, START = 0, 1  # classes; the vocabulary follows
 FEWEST, GROWTH = 10, 100  # a word of the vocabulary has FEWEST training tokens, and sqrt(all training tokens) / GROWTH
 SIZE, NOISE, INNER_NOISE, BATCH, STEPS, PARTS, ROUNDS, RATE = 16, 64, 4, 1024, 400, 8, 4, 0.03
+MOST_PASSES = 40  # over a corpus that is small against PARTS * ROUNDS * STEPS batches
+PART_TOKENS = 1 << 26  # training tokens of a part at most, where the blocks' files allow
 PIECE = 1 << 18  # parameters that cross a shuffle in one row
 END = np.uint64(2)  # hash of the end token
 
@@ -283,12 +285,18 @@ def _log_sum(s: np.ndarray) -> np.ndarray:
     return top + np.log(np.exp(s, out=s).sum(axis=1))
 
 
+def passes(tokens: int) -> int:
+    """Whole passes over the training tokens: one, and up to MOST_PASSES where it is less than PARTS * ROUNDS * STEPS batches."""
+    return min(MOST_PASSES, max(1, -(-PARTS * ROUNDS * STEPS * BATCH // max(tokens, 1))))
+
+
 def _fit(blocks: DataFrame, vocab: Words, shared) -> LogBilinear:
     """A pass is dealt over the rounds: each takes every ROUNDS-th token of every block, and the parts (runs of files) start
     from the average of the round before, weighted by their tokens."""
     model = LogBilinear(vocab.share)
     spark = blocks.sparkSession
-    parts = blocks.select("block", "hashes", "tokens", "sizes", "held").coalesce(PARTS)
+    parts = blocks.select("block", "hashes", "tokens", "sizes", "held").coalesce(max(PARTS, -(-vocab.tokens // PART_TOKENS)))
+    times = passes(vocab.tokens)
 
     def trained(round_: int, now):
         def run(batches):
@@ -301,7 +309,7 @@ def _fit(blocks: DataFrame, vocab: Words, shared) -> LogBilinear:
                 context = _contexts(word, sizes, own.wide)
                 mine = np.flatnonzero(learn)
                 mine = mine[mine % ROUNDS == round_]
-                visited += own.train(context[mine], word[mine], [r["block"], round_])
+                visited += own.train(context[mine], word[mine], [r["block"], round_], times)
             if visited:
                 flat = own.pack()
                 for at in range(0, len(flat), PIECE):

@@ -140,3 +140,15 @@ def test_vocabulary_grows_and_words_of_a_class_are_normalised():
         p[before] = np.exp(model.log_probabilities(np.full(len(every), neural_lm.START * model.wide + before), every))
         assert p[before].sum() == pytest.approx(1.0, abs=1e-3)
     assert (p[1900] != p[1200]).any() and p[1900][every == 1200] > 2 * p[1200][every == 1200]
+
+
+def test_training_visits_every_token():
+    before = neural_lm.PARTS * neural_lm.ROUNDS * neural_lm.STEPS * neural_lm.BATCH
+    for tokens in (1, 40_000, 4_000_000, 80_000_000, 5 * 10**9):
+        n = neural_lm.passes(tokens)
+        assert n >= 1 and (n * tokens >= before or n == neural_lm.MOST_PASSES)
+    model = neural_lm.LogBilinear(np.array([0.2, 0.0, 0.5, 0.3]))
+    assert model.train(np.full(5000, neural_lm.START * model.wide + 2), np.full(5000, 3), 0, 3) == 15_000
+    every = np.array([0, 2, 3])
+    p = np.exp(model.log_probabilities(np.full(3, neural_lm.START * model.wide + 2), every))
+    assert p[2] > 0.5 and p.sum() == pytest.approx(1.0, abs=1e-3)
