@@ -152,3 +152,14 @@ def test_training_visits_every_token():
     every = np.array([0, 2, 3])
     p = np.exp(model.log_probabilities(np.full(3, neural_lm.START * model.wide + 2), every))
     assert p[2] > 0.5 and p.sum() == pytest.approx(1.0, abs=1e-3)
+
+
+def test_quality_rejects_one_word_repeated(spark):
+    rng = np.random.default_rng(5)
+    word = [f"word{i}" for i in range(60)]
+    clean = [(i, " ".join(word[x] for x in rng.zipf(1.5, 80) % 60), "en") for i in range(800)]
+    dull = [(1000 + i, " ".join([word[1]] * (100 + i)), "en") for i in range(60)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 800)] + [(1000 + i, 0, 0) for i in range(40)],
+                                   "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in quality.quality_report(make_docs(spark, clean + dull), labels).collect() if r["keep"]}
+    assert not [i for i in range(1000, 1060) if i in kept] and len([i for i in range(800) if i in kept]) >= 760
