@@ -155,6 +155,39 @@ def op10(spark, sf_dir):
     return contamination(scan(spark, sf_dir, "documents"), scan(spark, sf_dir, "benchmark"), size=10)
 
 
+def _cluster_sql(k: int = 16, rounds: int = 3) -> str:
+    """The clustering in DuckDB: lists instead of planes, one set of CTEs per round."""
+    square = "list_sum(list_transform(list_zip(v.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    ctes = ["""v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id,
+  list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+            f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS c, e
+  FROM (SELECT e, sha256('1:' || CAST(vec_id AS VARCHAR)) AS h FROM v ORDER BY h LIMIT {k}))"""]
+    for r in range(rounds + 1):
+        ctes.append(f"""a{r} AS MATERIALIZED (SELECT v.rid, min(CAST({square} AS HUGEINT) * {k} + c.c) AS m
+  FROM v, c{r} c GROUP BY v.rid)""")
+        if r < rounds:
+            ctes.append(f"""u{r} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS e FROM (
+  SELECT c, i, sum(x) AS s, count(*) AS n FROM (SELECT a.m % {k} AS c, unnest(v.e) AS x, unnest(range(1, 65)) AS i
+  FROM v JOIN a{r} a USING (rid)) GROUP BY c, i) GROUP BY c)""")
+            ctes.append(f"""c{r + 1} AS MATERIALIZED (SELECT c.c, CAST(coalesce(u.e, c.e) AS BIGINT[]) AS e
+  FROM c{r} c LEFT JOIN u{r} u ON u.c = c.c)""")
+    last = rounds
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT v.vec_id, CAST(a.m % {k} AS INTEGER) AS cluster, CAST(a.m // {k} AS BIGINT) AS distance,
+       CAST(sum(a.m // {k}) OVER (PARTITION BY a.m % {k}) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.m // {k}) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM v JOIN a{last} a USING (rid) JOIN c{last} c ON c.c = a.m % {k}
+"""
+
+
+@register("op11_centroid_clusters", _cluster_sql())
+def op11(spark, sf_dir):
+    from plover.llm.bitplanes import centroid_clusters
+
+    return centroid_clusters(scan(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
