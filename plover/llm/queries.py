@@ -188,6 +188,13 @@ def op11(spark, sf_dir):
     return centroid_clusters(scan(spark, sf_dir, "embeddings"))
 
 
+@register("op12_nearest")
+def op12(spark, sf_dir):
+    from plover.llm.pstable import nearest
+
+    return nearest(scan(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
