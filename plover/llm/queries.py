@@ -195,6 +195,13 @@ def op12(spark, sf_dir):
     return nearest(scan(spark, sf_dir, "embeddings"))
 
 
+@register("op13_spelling_variants")
+def op13(spark, sf_dir):
+    from plover.llm.spelling import spelling_variants
+
+    return spelling_variants(scan(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
