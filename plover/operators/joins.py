@@ -7,8 +7,10 @@ the copies per key by hash first; only rows of keys with several copies are orde
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
+
 
 def join_by_date(left: DataFrame, right: DataFrame, left_date: str | Column, right_date: str,
                  how: str = "inner") -> DataFrame:
@@ -76,3 +78,57 @@ def aggregate_through_dimension(fact: DataFrame, fact_keys: list[str], dims: lis
     if count_name:
         outs.append(F.sum("_n").alias(count_name))
     return pre.groupBy(*group_cols).agg(*outs)
+
+
+def _micros(df: DataFrame, col: str) -> Column:
+    if isinstance(df.schema[col].dataType, TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(col))
+    return F.unix_micros(F.col(col).cast("timestamp"))
+
+
+def join_as_of(left: DataFrame, right: DataFrame, left_time: str, right_time: str, keys: list[str], values: list[str],
+               lag_seconds: int = 0, max_age_seconds: int | None = None, block_seconds: int = 6 * 3600) -> DataFrame:
+    """Each left row with the last right row of its keys at or before ``left_time - lag_seconds``.
+
+    Returns the columns of ``left``, then ``right_time`` and ``values`` of the match (null
+    without one, or where it is more than ``max_age_seconds`` older than the lagged
+    time).  Of right rows that share keys and time the greatest by ``values`` counts
+    (nulls first); a null key or time matches nothing.
+
+    Both sides are first reduced to one row per keys and instant.  Instants meet in
+    blocks of time, so the busiest key is dealt out like any other; inside a block a
+    window carries the last reading on, and a block without an earlier one takes over
+    the last reading of the blocks before it (one row per keys and block is ordered for
+    that, never the rows).  Left rows get their match by an equi-join on the instant.
+    """
+    mine = [f"_k{i}" for i in range(len(keys))]
+    step = block_seconds * 1_000_000
+    rows = left.withColumn("_t", _micros(left, left_time) - lag_seconds * 1_000_000)
+    known = F.col("_t").isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    as_keys = [F.col(k).alias(m) for k, m in zip(keys, mine, strict=True)]
+    asked = rows.filter(known).select(*as_keys, "_t").distinct()
+    found = right.withColumn("_t", _micros(right, right_time)).filter(known).select(
+        *as_keys, "_t", F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate([*values, right_time])]).alias("_row"))
+    found = found.groupBy(*mine, "_t").agg(F.max("_row").alias("_row"))
+    reading = F.struct(F.col("_t").alias("at"), F.col("_row").alias("row"))
+    both = (found.select(*mine, "_t", F.lit(0).alias("_side"), reading.alias("_reading"))
+            .unionByName(asked.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+            .withColumn("_block", F.floor(F.col("_t") / step)))
+    upto = Window.partitionBy(*mine, "_block").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    inside = both.withColumn("_seen", F.last("_reading", ignorenulls=True).over(upto)).filter("_side = 1")
+    ends = both.groupBy(*mine, "_block").agg(F.max_by("_reading", F.when(F.col("_side") == 0, F.col("_t"))).alias("_end"))
+    before = Window.partitionBy(*mine).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*mine, "_block", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    match = inside.join(carried, [*mine, "_block"]).select(
+        *mine, F.col("_t").alias("_at"), F.coalesce("_seen", "_carried").alias("_match"))
+    if max_age_seconds is not None:
+        fresh = F.col("_at") - F.col("_match.at") <= max_age_seconds * 1_000_000
+        match = match.withColumn("_match", F.when(fresh, F.col("_match")))
+    same = F.col("_t") == F.col("_at")
+    for k, m in zip(keys, mine, strict=True):
+        same = same & (F.col(k) == F.col(m))
+    got = F.col("_match.row")
+    return rows.join(match, same, "left").select(
+        *left.columns, got[f"v{len(values)}"].alias(right_time), *[got[f"v{i}"].alias(c) for i, c in enumerate(values)])

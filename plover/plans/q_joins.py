@@ -52,6 +52,28 @@ def join_by_date_left(spark, sf):
     return _join(spark, sf, "left")
 
 
+LAG = 2 * 3600
+#: Departures (every event, from a station of its own) and the readings that the stations took.
+DEPARTURES_SQL = "SELECT event_id, 'ST' || CAST(event_id % 9 AS VARCHAR) AS station, ts AS departure FROM events"
+READINGS_SQL = ("SELECT station, weather_ts, max({'reading': reading, 'event_id': event_id}) AS r FROM (SELECT * FROM weather "
+                "WHERE event_id % 7 <> 0) w GROUP BY 1, 2")
+
+
+@query("join_weather_as_of", with_ctes(
+    "SELECT f.event_id, f.station, strftime(w.weather_ts, '%Y-%m-%d %H:%M:%S.%f') AS weather_ts, w.r.reading AS reading, "
+    f"w.r.event_id AS reading_id FROM departures f ASOF LEFT JOIN readings w ON f.station = w.station "
+    f"AND f.departure - INTERVAL {LAG} SECOND >= w.weather_ts",
+    weather=S.weather_sql(), departures=DEPARTURES_SQL, readings=READINGS_SQL))
+def join_weather_as_of(spark, sf):
+    """Every departure with the last weather reading of its station known two hours before (one station has none)."""
+    ev = scan(spark, sf, "events", ["event_id", "ts"])
+    flights = ev.select("event_id", F.expr("'ST' || CAST(event_id % 9 AS STRING)").alias("station"), F.col("ts").alias("departure"))
+    w = S.weather(spark, sf).filter("event_id % 7 <> 0").select("station", "weather_ts", "reading", F.col("event_id").alias("reading_id"))
+    j = J.join_as_of(flights, w, "departure", "weather_ts", ["station"], ["reading", "reading_id"], lag_seconds=LAG)
+    return j.select("event_id", "station", F.date_format("weather_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("weather_ts"),
+                    "reading", "reading_id")
+
+
 @query("join_dimension",
        "SELECT r_name, count(*) AS n FROM lineitem JOIN supplier ON l_suppkey = s_suppkey "
        "JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
