@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plover.functions.parse import is_missing
@@ -44,6 +44,11 @@ def dropped_share(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     )
 
 
+def key_text(cols: list[str | Column]) -> Column:
+    """A key as one text; null parts count as an empty text."""
+    return F.concat_ws("|", *[F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in cols])
+
+
 def key_hash(cols: list[str | Column], modulus: int = 1000) -> Column:
     """Hash of a key in [0, modulus): the first eight hex digits of the md5 of its text.
 
@@ -51,13 +56,31 @@ def key_hash(cols: list[str | Column], modulus: int = 1000) -> Column:
     depend on partitioning, and sides are independent of any arithmetic of the key.
     Null parts count as an empty text.
     """
-    text = F.concat_ws("|", *[F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in cols])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % F.lit(modulus)
+    return F.conv(F.substring(F.md5(key_text(cols)), 1, 8), 16, 10).cast("bigint") % F.lit(modulus)
+
+
+def key_text_sql(cols: list[str]) -> str:
+    return " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols)
 
 
 def key_hash_sql(cols: list[str], modulus: int = 1000) -> str:
-    text = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols)
-    return f"(CAST('0x' || substring(md5({text}), 1, 8) AS BIGINT) % {modulus})"
+    return f"(CAST('0x' || substring(md5({key_text_sql(cols)}), 1, 8) AS BIGINT) % {modulus})"
+
+
+def sample_rows(df: DataFrame, key_cols: list[str], size: int, strata: list[str] | None = None) -> DataFrame:
+    """``size`` rows, or ``size`` rows of each stratum (all of a smaller one): those whose md5 of the key is smallest.
+
+    The choice follows the keys alone, neither the partitioning nor the row order; ties
+    (a repeated key) go by the key itself, then stay undecided between rows of one key.
+    Every task keeps its own ``size`` smallest before the shuffle (per stratum, or for
+    the table as a whole), so a stratum with most rows costs no more than the others.
+    A null stratum is one like any other.
+    """
+    order = [F.md5(key_text(key_cols)).asc(), *[F.col(c).asc() for c in key_cols]]
+    if not strata:
+        return df.orderBy(*order).limit(size)
+    place = F.row_number().over(Window.partitionBy(*strata).orderBy(*order))
+    return df.withColumn("_place", place).filter(F.col("_place") <= size).drop("_place")
 
 
 def hash_split(df: DataFrame, key_cols: list[str], weights: list[float], name: str = "split",

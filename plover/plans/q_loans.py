@@ -176,6 +176,25 @@ def hash_split_3(spark, sf):
     return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _sample_sql(size, strata):
+    part = f"PARTITION BY {', '.join(strata)} " if strata else ""
+    order = f"ORDER BY md5({C.key_text_sql(KEYS)}), {KEY_SQL}"
+    return with_ctes(f"SELECT {KEY_SQL}, grade, addr_state FROM (SELECT *, row_number() OVER ({part}{order}) AS place "
+                     f"FROM loans) x WHERE place <= {size}", loans=RAW)
+
+
+@query("sample_of_size", _sample_sql(1000, []))
+def sample_of_size(spark, sf):
+    """A sample of a stated size."""
+    return C.sample_rows(S.loans_raw(spark, sf), KEYS, 1000).select(*KEYS, "grade", "addr_state")
+
+
+@query("sample_by_stratum", _sample_sql(40, ["grade", "addr_state"]))
+def sample_by_stratum(spark, sf):
+    """A sample of a stated size from each grade and state."""
+    return C.sample_rows(S.loans_raw(spark, sf), KEYS, 40, ["grade", "addr_state"]).select(*KEYS, "grade", "addr_state")
+
+
 TRAIN_CUTOFF = 1998.0
 
 
