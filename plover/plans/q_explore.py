@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from plover.functions.parse import clock_hour, parse_number_text, route_name
 from plover.operators import joins as J
-from plover.operators import profile, rank
+from plover.operators import correlated, profile, rank
 from plover.operators.clean import drop_missing
 from plover.plans import standins as S
 from plover.plans.registry import query, rounded, with_ctes
@@ -405,6 +405,81 @@ def correlated_pairs(spark, sf):
     return rounded(profile.correlated_pairs(S.flights(spark, sf), ["ARR_DELAY"] + REASONS, 0.3), 9)
 
 
+_DROP_COLS = ["ARR_DELAY", "DEP_DELAY", *REASONS, "DISTANCE"]
+_DROP_AT = 0.5
+
+
+def _thin_ctes():
+    """The greedy elimination as a recursive CTE: its state is the list of the columns left, by position."""
+    filt = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in _DROP_COLS)
+    pairs = " UNION ALL ".join(f"SELECT {i} AS a, {j} AS b, corr({_DROP_COLS[i]}, {_DROP_COLS[j]}) AS r FROM c"
+                               for i in range(len(_DROP_COLS)) for j in range(i + 1, len(_DROP_COLS)))
+    left = "list_filter(e.links, lambda l: (l.a = {x} OR l.b = {x}) AND list_contains(s.alive, l.a) AND list_contains(s.alive, l.b))"
+    return {
+        "flights": FL, "c": f"SELECT * FROM flights WHERE {filt}",
+        "e": f"SELECT coalesce(list({{'a': a, 'b': b, 'r': r}}), []) AS links FROM ({pairs}) p WHERE abs(r) >= {_DROP_AT}",
+        "s": f"""SELECT -1 AS step, range({len(_DROP_COLS)}) AS alive, CAST(NULL AS BIGINT) AS gone,
+  CAST(NULL AS BIGINT) AS n_links, CAST(NULL AS BIGINT) AS partner, CAST(NULL AS DOUBLE) AS corr
+UNION ALL
+SELECT step + 1, list_filter(alive, lambda x: x <> worst.i), worst.i, worst.n,
+  near[1].c, near[1].r FROM (SELECT step, alive, worst, list_sort(list_transform(
+      list_filter(links, lambda l: (l.a = worst.i OR l.b = worst.i) AND list_contains(alive, l.a) AND list_contains(alive, l.b)),
+      lambda l: {{'k': -round(abs(l.r), 9), 'c': l.a + l.b - worst.i, 'r': l.r}})) AS near
+    FROM (SELECT s.step, s.alive, e.links, list_sort(list_transform(s.alive, lambda x: {{'n': len({left.format(x='x')}), 'i': x}}))[-1] AS worst
+          FROM s, e) w WHERE worst.n > 0) n"""}
+
+
+def _thin_sql(body):
+    return with_ctes(body, **_thin_ctes()).replace("WITH", "WITH RECURSIVE", 1)
+
+
+_NAMES_SQL = "(VALUES " + ", ".join(f"({i}, '{c}')" for i, c in enumerate(_DROP_COLS)) + ")"
+
+
+@query("drop_correlated", _thin_sql(
+    f"SELECT v.name AS column, s.gone IS NULL AS kept, CAST(s.step AS INTEGER) AS step, CAST(coalesce(s.n_links, 0) AS INTEGER) AS n_links, "
+    f"p.name AS partner, round(s.corr, 9) AS corr FROM {_NAMES_SQL} AS v(i, name) LEFT JOIN (SELECT * FROM s WHERE step >= 0) s "
+    f"ON s.gone = v.i LEFT JOIN {_NAMES_SQL} AS p(i, name) ON s.partner = p.i"))
+def drop_correlated(spark, sf):
+    """Which delay columns stay, and why the others go."""
+    _, decisions = correlated.drop_correlated(S.flights(spark, sf), _DROP_COLS, _DROP_AT)
+    rows = [(d.column, d.kept, d.step, d.n_links, d.partner, d.corr) for d in decisions]
+    return rounded(spark.createDataFrame(rows, "column string, kept boolean, step int, n_links int, partner string, corr double"), 9)
+
+
+@query("uncorrelated_values", _thin_sql(
+    "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, u.column, u.value + 0.0 AS value FROM (" + " UNION ALL ".join(
+        f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, '{c}' AS column, {i} AS i, {c} AS value FROM flights"
+        for i, c in enumerate(_DROP_COLS)) + ") u WHERE u.i NOT IN (SELECT gone FROM s WHERE step >= 0)"))
+def uncorrelated_values(spark, sf):
+    """The reduced table, in long form (its columns depend on the data)."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    kept, _ = correlated.drop_correlated(S.flights(spark, sf).select(*keys, *_DROP_COLS), _DROP_COLS, _DROP_AT)
+    long = kept.unpivot(keys, [c for c in kept.columns if c not in keys], "column", "value")
+    return long.withColumn("value", F.col("value") + 0.0)  # no negative zeros
+
+
+# ------------------------------------------------------------------ D18 by group, with sketches
+_PROBS = [0.05, 0.25, 0.5, 0.75, 0.95]
+_GROUP_COLS = ["ARR_DELAY", "DEP_DELAY"]
+RANK_ERROR = 0.01
+
+
+@query("quantile_sketch_ranks", with_ctes(" UNION ALL ".join(
+    f"SELECT OP_UNIQUE_CARRIER, '{c}' AS column, count(*) AS n, CAST({p} AS DOUBLE) AS prob, TRUE AS within FROM flights "
+    f"WHERE {c} IS NOT NULL AND NOT isnan({c}) GROUP BY 1" for c in _GROUP_COLS for p in _PROBS), flights=FL))
+def quantile_sketch_ranks(spark, sf):
+    """Delay quantiles per carrier from sketches of each departure hour, merged; their true ranks against the stated bound.
+
+    The quantiles themselves vary from run to run within that bound (the sketch compacts at random).
+    """
+    f = S.flights(spark, sf).select("OP_UNIQUE_CARRIER", F.floor(F.col("CRS_DEP_TIME") / 100).alias("hour"), *_GROUP_COLS)
+    fine = profile.quantile_sketches(f, ["OP_UNIQUE_CARRIER", "hour"], _GROUP_COLS)
+    merged = profile.merge_sketches(fine, ["OP_UNIQUE_CARRIER"])
+    errors = profile.rank_errors(f, ["OP_UNIQUE_CARRIER"], _GROUP_COLS, profile.sketch_quantiles(merged.drop("n"), _PROBS), _PROBS)
+    return errors.select("OP_UNIQUE_CARRIER", "column", "n", "prob", (F.col("rank_error") <= RANK_ERROR).alias("within"))
+
+
 # ------------------------------------------------------------------ weather: filters, calendar mean
 @query("filter_before_date", with_ctes(
     "SELECT event_id, station, DATE FROM weather WHERE weather_ts < TIMESTAMP '2024-01-15 00:00:00'", weather=WX))
