@@ -14,6 +14,8 @@ from plover.operators import profile
 from plover.operators.rolling import lagged_range_mean, tumbling_mean as _tumbling_mean
 from plover.plans import standins as S
 from plover.plans.registry import query, rounded, with_ctes
+from plover.sources.tables import table_path
+from plover.streaming import TumblingMeanStream
 
 OT = S.otpw_sql()
 WX = S.weather_sql()
@@ -243,18 +245,37 @@ def rolling_mean_lagged_by_key(spark, sf):
     return rounded(out.withColumn("rolling_reading_average", F.col("rolling_reading_average") + NUDGE), R)
 
 
-@query("tumbling_mean", with_ctes(
+_TUMBLING_SQL = with_ctes(
     "SELECT strftime(time_bucket(INTERVAL '4 hours', weather_ts, TIMESTAMP '1970-01-01'), '%Y-%m-%d %H:%M:%S') "
     "AS window_start, strftime(time_bucket(INTERVAL '4 hours', weather_ts, TIMESTAMP '1970-01-01') + INTERVAL '4 hours', "
     f"'%Y-%m-%d %H:%M:%S') AS window_end, count(*) AS n, round(avg(p), {R}) AS mean "
-    "FROM (SELECT *, TRY_CAST(trim(HourlyPrecipitation) AS DOUBLE) AS p FROM weather) w GROUP BY 1, 2", weather=WX))
+    "FROM (SELECT *, TRY_CAST(trim(HourlyPrecipitation) AS DOUBLE) AS p FROM weather) w GROUP BY 1, 2", weather=WX)
+_TIME_TEXT = "yyyy-MM-dd HH:mm:ss"
+
+
+def _windows(t):
+    return rounded(t.select(F.date_format("window_start", _TIME_TEXT).alias("window_start"),
+                            F.date_format("window_end", _TIME_TEXT).alias("window_end"), "n", "mean"), R)
+
+
+@query("tumbling_mean", _TUMBLING_SQL)
 def tumbling_mean(spark, sf):
     """4-hour tumbling mean of the precipitation reading."""
     w = S.weather(spark, sf).withColumn("p", parse_number_text("HourlyPrecipitation"))
-    t = _tumbling_mean(w, "weather_ts", "p", "4 hours")
-    fmt = "yyyy-MM-dd HH:mm:ss"
-    return rounded(t.select(F.date_format("window_start", fmt).alias("window_start"),
-                            F.date_format("window_end", fmt).alias("window_end"), "n", "mean"), R)
+    return _windows(_tumbling_mean(w, "weather_ts", "p", "4 hours"))
+
+
+@query("tumbling_mean_stream", _TUMBLING_SQL)
+def tumbling_mean_stream(spark, sf):
+    """J10 as a stream over the files of events: watermark, state in the shared folder, run to the end of the files."""
+    source = table_path(sf, "events")
+
+    def readings(events):
+        return S.weather_of(events).select("weather_ts", parse_number_text("HourlyPrecipitation").alias("p"))
+
+    # the star makes a pattern of the path: a table may be one file or a folder of them
+    stream = TumblingMeanStream(spark, f"{source}*", spark.read.parquet(source).schema, "weather_ts", "p", prepare=readings)
+    return _windows(stream.finish())
 
 
 # ------------------------------------------------------------------ H6, H8

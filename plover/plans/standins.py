@@ -150,9 +150,13 @@ WEATHER_COLS = [
 ]
 
 
+def weather_of(events: DataFrame) -> DataFrame:
+    """The readings of a batch or streaming frame of events."""
+    return _apply(events, WEATHER_COLS)
+
+
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = scan(spark, sf_dir, "events", ["event_id", "user_id", "ts", "value"])
-    return _apply(ev, WEATHER_COLS)
+    return weather_of(scan(spark, sf_dir, "events", ["event_id", "user_id", "ts", "value"]))
 
 
 def weather_sql() -> str:
