@@ -282,86 +282,96 @@ def class_weights(spark, sf):
 
 # ------------------------------------------------------------------ H9-H14, J8 (rows-only: model outputs)
 def _model_data(spark, sf):
+    """The loans that models see, both sides, told apart by ``side``."""
     d = M.prepare(flows.loans_munged(spark, sf), SPEC.numerics)
-    return d.filter(F.col("issue_year") <= TRAIN_CUTOFF), d.filter(F.col("issue_year") > TRAIN_CUTOFF)
+    return d.withColumn("side", C.temporal_side("issue_year", TRAIN_CUTOFF)).filter("side <> 'neither'")
 
 
-def _scored(model, train, valid, name=None):
-    """Both sides scored, tagged with the side (and the model's name)."""
+def _train_data(spark, sf):
+    return _model_data(spark, sf).filter("side = 'train'")
+
+
+def _score_table(model, data, name=None):
+    """Both sides scored in one pass, tagged with the side (and the model's name)."""
     tags = [F.lit(name).alias("model")] if name else []
-    sides = [M.score(model, df, keep=flows.KEYS + ["net"]).select(*tags, F.lit(side).alias("side"), "*")
-             for side, df in (("train", train), ("valid", valid))]
-    return sides[0].unionByName(sides[1])
+    out = M.score(model, data, keep=["side", *flows.KEYS, "net"])
+    return out.select(*tags, *out.columns)
+
+
+def _stored(df, name):
+    """Written to the shared folder, where it stays for the returned frame, which reads it."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _fit_and_score(spark, sf, fit):
+    """The prepared loans written once: fitted on one side, both sides scored in one pass."""
+    with written(_model_data(spark, sf), "loans") as data:
+        return _stored(_score_table(fit(data.filter("side = 'train'")), data), "scores")
 
 
 @query("lr_scores")
 def lr_scores(spark, sf):
     """GLM pipeline fitted on train, both sides scored (net, p0, p1, label, prediction)."""
-    train, valid = _model_data(spark, sf)
     pipe, _ = M.glm_pipeline(SPEC.categoricals, SPEC.numerics, SPEC.response)
-    return _scored(M.fit(pipe, train), train, valid)
+    return _fit_and_score(spark, sf, pipe.fit)
 
 
 @query("gbt_scores")
 def gbt_scores(spark, sf):
     """Gradient-boosted trees (20 trees, depth 5, 52 bins)."""
-    train, valid = _model_data(spark, sf)
-    return _scored(M.fit(M.gbt_pipeline(SPEC.categoricals, SPEC.numerics, SPEC.response), train), train, valid)
+    return _fit_and_score(spark, sf, M.gbt_pipeline(SPEC.categoricals, SPEC.numerics, SPEC.response).fit)
 
 
 @query("rf_scores")
 def rf_scores(spark, sf):
     """J8 (+J9): random forest with inverse-frequency class weights."""
-    train, valid = _model_data(spark, sf)
     pipe = M.rf_pipeline(SPEC.categoricals, SPEC.numerics, SPEC.response, weight_col="class_weight")
-    with written(train, "training") as data:
-        w = M.class_weights(data, "bad_loan", "class_weight").select("bad_loan", "class_weight")
-        model = pipe.fit(data.join(w, "bad_loan"))
-    return _scored(model, train, valid)
 
+    def fit(train):
+        w = M.class_weights(train, "bad_loan", "class_weight").select("bad_loan", "class_weight")
+        return pipe.fit(train.join(w, "bad_loan"))
 
-def _tuned(spark, sf, train):
-    """5-fold CV over regParam [0.1, 0.01] on key-hash folds; the best model is refitted on all of train."""
+    return _fit_and_score(spark, sf, fit)
+
+
+REG_PARAMS = [0.1, 0.01]
+
+
+def _tuned(train):
+    """5-fold CV over regParam on key-hash folds: the pipeline, its grid and the mean AUC of each setting."""
     pipe, lr = M.glm_pipeline(SPEC.categoricals, SPEC.numerics, SPEC.response)
-    model, grid = M.cross_validate(pipe, lr, train, flows.KEYS)
-    return model, [(float(g[lr.regParam]), float(m)) for g, m in zip(grid, model.avgMetrics)]
+    grid = [{lr.regParam: x} for x in REG_PARAMS]
+    return pipe, grid, M.cross_validate(pipe, train, flows.KEYS, grid)
 
 
 @query("cv_metrics")
 def cv_metrics(spark, sf):
     """Mean AUC per setting of the grid."""
-    _, rows = _tuned(spark, sf, _model_data(spark, sf)[0])
-    return spark.createDataFrame(rows, "regParam double, avg_auc double")
+    _, _, auc = _tuned(_train_data(spark, sf))
+    return spark.createDataFrame([(x, float(a)) for x, a in zip(REG_PARAMS, auc, strict=True)], "regParam double, avg_auc double")
 
 
 @query("lr_training_summary")
 def lr_training_summary(spark, sf):
     """H15-H17 the reference's way: the fitted model's training summary (ROC, F-measure) and best F1."""
-    train, _ = _model_data(spark, sf)
     pipe, _ = M.glm_pipeline(SPEC.categoricals, SPEC.numerics, SPEC.response)
-    with written(train, "training") as data:  # the summary reads the training rows again
+    with written(_train_data(spark, sf), "training") as data:  # the summary reads the training rows again
         f = pipe.fit(data).stages[-1].summary.fMeasureByThreshold
         best = f.orderBy(F.col("F-Measure").desc(), F.col("threshold").asc()).limit(1).collect()
     return spark.createDataFrame(best, f.schema)
 
 
 # ------------------------------------------------------------------ the loan flow end to end
-_FLOW: dict[tuple[str, str], str] = {}
-
-
 def _loan_flow(spark, sf):
-    """Tuned GLM (best of the grid) and GBT, each scoring train and valid: one table, written once per application."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _FLOW:
-        train, valid = _model_data(spark, sf)
-        with written(train.withColumn("_side", F.lit("train")).unionByName(valid.withColumn("_side", F.lit("valid"))), "loans") as d:
-            train, valid = (d.filter(F.col("_side") == x).drop("_side") for x in ("train", "valid"))
-            glm = _tuned(spark, sf, train)[0].bestModel
-            gbt = M.fit(M.gbt_pipeline(SPEC.categoricals, SPEC.numerics, SPEC.response), train)
-            path = fresh_path(spark, "loan-scores")
-            _scored(glm, train, valid, "glm").unionByName(_scored(gbt, train, valid, "gbt")).write.parquet(path)
-        _FLOW[key] = path
-    return spark.read.parquet(_FLOW[key])
+    """Tuned GLM (best of the grid) and GBT, each scoring train and valid: one table, made from the tables as they are now."""
+    with written(_model_data(spark, sf), "loans") as data:
+        train = data.filter("side = 'train'")
+        pipe, grid, auc = _tuned(train)
+        glm = pipe.fit(train, M.best_setting(grid, auc))
+        gbt = M.gbt_pipeline(SPEC.categoricals, SPEC.numerics, SPEC.response).fit(train)
+        return _stored(_score_table(glm, data, "glm").unionByName(_score_table(gbt, data, "gbt")), "loan-scores")
 
 
 _SIDES_SQL = ("SELECT g.model, CASE WHEN issue_year <= {c} THEN 'train' ELSE 'valid' END AS side, count(*) AS n, "
@@ -417,18 +427,14 @@ def cv_max_iter(spark, sf):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
     a = assembled(spark, sf).filter(F.col("DEP_DEL15").isNotNull())
     lr = LogisticRegression(featuresCol="features_scaled", labelCol="DEP_DEL15")
     pipe = Pipeline(stages=[FT.scaler("features", "features_scaled", with_mean=False), lr])
-    grid = ParamGridBuilder().addGrid(lr.maxIter, [0, 1, 5]).build()
-    ev = BinaryClassificationEvaluator(labelCol="DEP_DEL15")
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=5, foldCol="fold", seed=M.SEED)
-    with written(M.with_folds(a, ["event_id"]), "folds") as data:
-        model = cv.fit(data)
-    rows = [(int(g[lr.maxIter]), float(m)) for g, m in zip(grid, model.avgMetrics)]
-    return spark.createDataFrame(rows, "maxIter int, avg_auc double")
+    settings = [0, 1, 5]
+    auc = M.cross_validate(pipe, a, ["event_id"], [{lr.maxIter: x} for x in settings],
+                           evaluator=BinaryClassificationEvaluator(labelCol="DEP_DEL15"))
+    return spark.createDataFrame([(x, float(m)) for x, m in zip(settings, auc, strict=True)], "maxIter int, avg_auc double")
 
 
 @query("lr_rolling")

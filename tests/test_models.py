@@ -51,12 +51,45 @@ def test_rf_learns_planted_signal_with_weights(spark, planted):
     assert s.count() == planted.count() and E.auc_exact(s, "p1", "label").first().auc > 0.85
 
 
-def test_cross_validation_keeps_the_best_model(spark, planted):
+def test_cross_validation_equals_mllib_with_one_feature_fit_per_fold(spark, planted, monkeypatch):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
     pipe, lr = M.glm_pipeline(["cat"], ["x", "noise"], "bad")
-    model, grid = M.cross_validate(pipe, lr, planted, ["id"], reg_params=(5.0, 0.01), folds=3)
-    assert model.avgMetrics[1] > model.avgMetrics[0] and model.avgMetrics[1] > 0.85
-    assert model.bestModel.stages[-1].getRegParam() == grid[1][lr.regParam] == 0.01
-    assert E.auc_exact(M.score(model.bestModel, planted), "p1", "label").first().auc > 0.85
+    grid = [{lr.regParam: x} for x in (5.0, 0.01, 0.1)]
+    fits, fit = [], Pipeline.fit
+    monkeypatch.setattr(Pipeline, "fit", lambda self, df, *a: fits.append(len(self.getStages())) or fit(self, df, *a))
+    got = M.cross_validate(pipe, planted, ["id"], grid, folds=3)
+    assert fits == [len(pipe.getStages()) - 1] * 3  # three folds, whatever the number of settings
+    monkeypatch.undo()
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=3, foldCol="fold")
+    want = cv.fit(M.with_folds(planted, ["id"], 3)).avgMetrics
+    assert got == pytest.approx(want, abs=1e-6) and got[1] > got[0]
+    best = M.best_setting(grid, got)
+    assert best == grid[max(range(3), key=lambda i: want[i])]
+    assert E.auc_exact(M.score(pipe.fit(planted, best), planted), "p1", "label").first().auc > 0.85
+
+
+def test_scores_follow_the_tables(spark, tmp_path):
+    """No score table outlives a call: other rows under the same path give other scores."""
+    import shutil
+
+    from conftest import SF_SMALL
+    from plover.plans.catalog import queries
+
+    folder = str(tmp_path / "tables")
+    shutil.copytree(SF_SMALL, folder)
+    first = {(r.model, r.side): r.n for r in queries()["loan_scored_sides"](spark, folder).collect()}
+    half = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").filter("l_orderkey % 2 = 0")
+    half.write.parquet(f"{folder}/new")
+    import os
+
+    os.chmod(folder, 0o755)
+    os.replace(f"{folder}/lineitem.parquet", f"{folder}/old.parquet")
+    os.replace(f"{folder}/new", f"{folder}/lineitem.parquet")
+    second = {(r.model, r.side): r.n for r in queries()["loan_scored_sides"](spark, folder).collect()}
+    assert set(first) == set(second) and all(second[k] < first[k] for k in first)
 
 
 def test_training_summary_agrees_with_the_exact_curve(spark, planted):
