@@ -62,6 +62,27 @@ def missing_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
         "missing_pct", F.when(F.col("n_rows") > 0, F.col("n_missing") * 100.0 / F.col("n_rows")))
 
 
+def column_states(df: DataFrame, cols: list[str] | None = None, relative_sd: float = 0.02) -> DataFrame:
+    """D13/D14 for very wide tables: (column, n_missing, n_rows, missing_pct, n_distinct) in one scan.
+
+    Every row becomes one (column, state) row per column inside its task, the state being a
+    hash of the value or null where it is missing; partial aggregates by column leave each
+    task with one row per column.  The code has one small expression per column rather than
+    an aggregate each.  ``n_distinct`` is a sketch's estimate of the distinct values present.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = cols or df.columns
+    states = F.array(*[F.when(~is_missing(c, types[c]), F.xxhash64(F.col(c))) for c in cols])
+    each = df.select(F.posexplode(states).alias("at", "state"))
+    found = each.groupBy("at").agg(F.count(F.lit(1)).alias("n_rows"), F.count("state").alias("present"),
+                                   F.approx_count_distinct("state", relative_sd).alias("n_distinct"))
+    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "at int, column string")
+    found = names.join(found, "at", "left").fillna(0)
+    missing = F.col("n_rows") - F.col("present")
+    return found.select("column", missing.alias("n_missing"), "n_rows",
+                        F.when(F.col("n_rows") > 0, missing * 100.0 / F.col("n_rows")).alias("missing_pct"), "n_distinct")
+
+
 def columns_with_missing(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Columns with at least one missing value (one job, not one per column)."""
     return missing_counts(df, cols).filter(F.col("n_missing") > 0)
@@ -78,10 +99,11 @@ def histogram(df: DataFrame, col: str, bins: int = 20, log_scale: bool = False)
 
     One bounded pass for (min, max), then one grouped count.  With
     ``log_scale`` the bins are equal in log10 and only positive values count.
+    Infinities lie in no bin of finite width and are left out, as are nulls and NaN.
     Columns: bin, lo, hi (edges on the binned scale), n.
     """
     x = F.col(col).cast("double")
-    src = df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    src = df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") < float("inf")))
     if log_scale:
         src = src.filter(F.col("x") > 0).select(F.log10("x").alias("x"))
     row = src.agg(F.min("x").alias("mn"), F.max("x").alias("mx")).first()
@@ -103,15 +125,18 @@ def histogram(df: DataFrame, col: str, bins: int = 20, log_scale: bool = False)
     return edges.join(counts, "bin", "left").select("bin", "lo", "hi", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def value_counts_long(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(column, value, n) for the non-missing values of numeric columns: the
-    distinct-value table every exact quantile works on (one shuffle)."""
+def value_counts_bucketed(df: DataFrame, cols: list[str], buckets: int | None = None) -> DataFrame:
+    """(column, bucket, value, n) for the non-missing values of numeric columns, buckets in ascending order of the
+    values and of about equal size per column: the distinct-value table every exact quantile works on (one shuffle)."""
+    xs, bs = [f"_x{i}" for i in range(len(cols))], [f"_b{i}" for i in range(len(cols))]
+    wide = df.select(*[F.col(c).cast("double").alias(x) for c, x in zip(cols, xs, strict=True)])
+    bucketed = with_buckets(wide, xs, bs, buckets)
     stack = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols
-    ])).alias("s")
-    long = df.select(stack).select("s.column", "s.value")
+        F.struct(F.lit(c).alias("column"), F.col(x).alias("value"), F.col(b).alias("bucket"))
+        for c, x, b in zip(cols, xs, bs, strict=True)])).alias("s")
+    long = bucketed.select(stack).select("s.column", "s.value", "s.bucket")
     long = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return long.groupBy("column", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets: int | None = None) -> DataFrame:
@@ -125,15 +150,11 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
     No group ever holds all values of a column; a column without values gives no
     row and changes nothing for the others.  Columns: column, n, q0.., min, max.
     """
-    xs, bs = [f"_x{i}" for i in range(len(cols))], [f"_b{i}" for i in range(len(cols))]
-    wide = df.select(*[F.col(c).cast("double").alias(x) for c, x in zip(cols, xs, strict=True)])
-    bucketed = with_buckets(wide, xs, bs, buckets)
-    stack = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(x).alias("value"), F.col(b).alias("bucket"))
-        for c, x, b in zip(cols, xs, bs, strict=True)])).alias("s")
-    long = bucketed.select(stack).select("s.column", "s.value", "s.bucket")
-    long = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    vc = long.groupBy("column", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
+    return quantiles_of(value_counts_bucketed(df, cols, buckets), probs)
+
+
+def quantiles_of(vc: DataFrame, probs: list[float]) -> DataFrame:
+    """The quantiles of counted values (``value_counts_bucketed``)."""
     cum = running_totals(vc, "value", ["n"], partition_cols=["column"], bucket_col="bucket").withColumnRenamed("total_n", "total")
     aggs = []
     for i, q in enumerate(probs):
@@ -153,13 +174,14 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], buckets:
 
 def boxplot_stats(df: DataFrame, cols: list[str], whisker: float = 1.5) -> DataFrame:
     """Quartiles, IQR, whiskers at ``whisker`` x IQR and outlier counts per column."""
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75]).select(
+    counted = value_counts_bucketed(df, cols)  # read twice below, shuffled once
+    q = quantiles_of(counted, [0.25, 0.5, 0.75]).select(
         "column", "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"), "min", "max")
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")).withColumns({
         "lower_fence": F.col("q1") - F.lit(whisker) * F.col("iqr"),
         "upper_fence": F.col("q3") + F.lit(whisker) * F.col("iqr"),
     })
-    vc = value_counts_long(df, cols).join(q.select("column", "lower_fence", "upper_fence"), "column")
+    vc = counted.join(q.select("column", "lower_fence", "upper_fence"), "column")
     whis = vc.groupBy("column").agg(
         F.min(F.when(F.col("value") >= F.col("lower_fence"), F.col("value"))).alias("lower_whisker"),
         F.max(F.when(F.col("value") <= F.col("upper_fence"), F.col("value"))).alias("upper_whisker"),
@@ -224,9 +246,9 @@ def correlated_pairs(df: DataFrame, cols: list[str], threshold: float) -> DataFr
 
 def category_distribution(df: DataFrame, col: str) -> DataFrame:
     """Count and share of each category (share over all rows)."""
-    total = df.count()  # one scalar; avoids a single-partition window over the groups
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", F.col("n") / F.lit(total))
+    total = counts.agg(F.sum("n")).scalar()  # of the groups' counts, whose shuffle it shares
+    return counts.select(col, "n", (F.col("n") / total).alias("share"))
 
 
 def quantile_sketches(df: DataFrame, keys: list[str], cols: list[str], k: int = 400) -> DataFrame:

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from plover.operators import clean as C
 from plover.operators import evaluate as E
 from plover.operators import features as FT
+from plover.operators import levels as LV
 from plover.operators import models as M
 from plover.plans import flows
 from plover.plans import standins as S
 from plover.plans.q_features import assembled
 from plover.plans.registry import query, rounded, with_ctes
-from plover.session import fresh_path, written
+from plover.session import stored, written
+from plover.sources.tables import scan
 
 SC = S.scores_sql()
 MUNGED = flows.loans_munged_sql()
@@ -224,6 +226,32 @@ def one_hot_long(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
+_MANY = ["l_partkey", "l_suppkey"]
+_LEVELS_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS column, CAST({c} AS VARCHAR) AS level, row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) - 1 "
+    f"AS idx, count(*) AS n FROM lineitem WHERE l_linenumber <= 4 AND {c} IS NOT NULL GROUP BY {c}" for c in _MANY)
+
+
+def _many_levels(spark, sf):
+    li = scan(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", *_MANY])
+    return li, LV.level_table(li.filter("l_linenumber <= 4"), _MANY)
+
+
+@query("level_ranks", _LEVELS_SQL)
+def level_ranks(spark, sf):
+    """H1 for columns of very many levels: the index as a table of distributed ranks."""
+    return _many_levels(spark, sf)[1]
+
+
+@query("one_hot_sparse", with_ctes(" UNION ALL ".join(
+    f"SELECT l_orderkey, l_linenumber, '{c}' AS column, idx AS slot FROM lineitem JOIN levels v ON v.column = '{c}' "
+    f"AND v.level = CAST({c} AS VARCHAR)" for c in _MANY), levels=_LEVELS_SQL))
+def one_hot_sparse(spark, sf):
+    """H3 for columns of very many levels: a row per set slot; levels that the fit had not seen have none."""
+    li, levels = _many_levels(spark, sf)
+    return LV.one_hot_sparse(li, ["l_orderkey", "l_linenumber"], _MANY, levels)
+
+
 _IMPUTE_COLS = ["annual_inc", "dti", "emp_length", "revol_util", "delinq_2yrs"]
 R_MEAN = 6  # means of values up to ~1e6: 9 decimals would exceed double precision (sum-order noise)
 
@@ -298,17 +326,10 @@ def _score_table(model, data, name=None):
     return out.select(*tags, *out.columns)
 
 
-def _stored(df, name):
-    """Written to the shared folder, where it stays for the returned frame, which reads it."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _fit_and_score(spark, sf, fit):
     """The prepared loans written once: fitted on one side, both sides scored in one pass."""
     with written(_model_data(spark, sf), "loans") as data:
-        return _stored(_score_table(fit(data.filter("side = 'train'")), data), "scores")
+        return stored(_score_table(fit(data.filter("side = 'train'")), data), "scores")
 
 
 @query("lr_scores")
@@ -371,7 +392,7 @@ def _loan_flow(spark, sf):
         pipe, grid, auc = _tuned(train)
         glm = pipe.fit(train, M.best_setting(grid, auc))
         gbt = M.gbt_pipeline(SPEC.categoricals, SPEC.numerics, SPEC.response).fit(train)
-        return _stored(_score_table(glm, data, "glm").unionByName(_score_table(gbt, data, "gbt")), "loan-scores")
+        return stored(_score_table(glm, data, "glm").unionByName(_score_table(gbt, data, "gbt")), "loan-scores")
 
 
 _SIDES_SQL = ("SELECT g.model, CASE WHEN issue_year <= {c} THEN 'train' ELSE 'valid' END AS side, count(*) AS n, "

@@ -14,7 +14,7 @@ from plover.operators import profile
 from plover.operators.rolling import lagged_range_mean, tumbling_mean as _tumbling_mean
 from plover.plans import standins as S
 from plover.plans.registry import query, rounded, with_ctes
-from plover.sources.tables import table_path
+from plover.sources.tables import scan, table_path
 from plover.streaming import TumblingMeanStream
 
 OT = S.otpw_sql()
@@ -278,6 +278,25 @@ def tumbling_mean_stream(spark, sf):
     return _windows(stream.finish())
 
 
+# ------------------------------------------------------------------ D13/D14 on a very wide table
+_WIDE = 200
+
+
+def _wide_cols():
+    return [f"CASE WHEN (l_orderkey + l_linenumber * {i}) % {i % 9 + 2} = 0 THEN NULL ELSE l_partkey % {i + 1} END AS w{i}"
+            for i in range(_WIDE)]
+
+
+@query("missing_wide", with_ctes(
+    "SELECT name AS column, n_rows - value AS n_missing, n_rows, round((n_rows - value) * 100.0 / n_rows, 6) AS missing_pct "
+    "FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM wide) ON *), (SELECT count(*) AS n_rows FROM wide) t",
+    wide=f"SELECT {', '.join(_wide_cols())} FROM lineitem"))
+def missing_wide(spark, sf):
+    """D13/D14 on 200 columns in one scan."""
+    wide = scan(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"]).selectExpr(*_wide_cols())
+    return rounded(profile.column_states(wide).drop("n_distinct"), 6)
+
+
 # ------------------------------------------------------------------ H6, H8
 def assembled(spark, sf):
     """H6: VectorAssembler(handleInvalid='skip') over the rolling features."""

@@ -79,3 +79,10 @@ def written(df: DataFrame, name: str) -> Iterator[DataFrame]:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         remove_path(spark, path)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back; the files stay for the returned frame."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -37,3 +41,19 @@ def view(df: DataFrame, name: str) -> DataFrame:
     """Register a temp view and hand back the catalog's DataFrame for it."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
+
+
+@contextmanager
+def views(spark: SparkSession, **frames: DataFrame) -> Iterator[dict[str, str]]:
+    """Temp views for the time of a block, under names that no other caller of the session has.
+
+    Yields the view name of each frame; frames made by SQL on them inside the block stay valid after it.
+    """
+    names = {k: f"plover_{k}_{uuid.uuid4().hex[:12]}" for k in frames}
+    try:
+        for k, df in frames.items():
+            df.createOrReplaceTempView(names[k])
+        yield names
+    finally:
+        for name in names.values():
+            spark.catalog.dropTempView(name)
