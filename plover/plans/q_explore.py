@@ -10,6 +10,7 @@ from plover.operators import correlated, profile, rank
 from plover.operators.clean import drop_missing
 from plover.plans import standins as S
 from plover.plans.registry import query, rounded, with_ctes
+from plover.session import stored
 from plover.sources.tables import scan
 
 FL = S.flights_sql()
@@ -476,7 +477,9 @@ def quantile_sketch_ranks(spark, sf):
     f = S.flights(spark, sf).select("OP_UNIQUE_CARRIER", F.floor(F.col("CRS_DEP_TIME") / 100).alias("hour"), *_GROUP_COLS)
     fine = profile.quantile_sketches(f, ["OP_UNIQUE_CARRIER", "hour"], _GROUP_COLS)
     merged = profile.merge_sketches(fine, ["OP_UNIQUE_CARRIER"])
-    errors = profile.rank_errors(f, ["OP_UNIQUE_CARRIER"], _GROUP_COLS, profile.sketch_quantiles(merged.drop("n"), _PROBS), _PROBS)
+    # written first (a row per carrier and column): the planner then knows its bytes and leaves the flights where they are
+    quantiles = stored(profile.sketch_quantiles(merged.drop("n"), _PROBS), "quantiles")
+    errors = profile.rank_errors(f, ["OP_UNIQUE_CARRIER"], _GROUP_COLS, quantiles, _PROBS)
     return errors.select("OP_UNIQUE_CARRIER", "column", "n", "prob", (F.col("rank_error") <= RANK_ERROR).alias("within"))
 
 
