@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 from plover.llm.common import mix
@@ -147,6 +149,25 @@ class KneserNey:
         self.log_back = [np.log(np.maximum(b, 1e-300)).astype(np.float32) for b in self.back]
         del self.prob, self.back
 
+    def parts(self) -> Iterator[tuple[str, int, bytes]]:
+        """The arrays as (name, order, bytes); ``from_parts`` puts them together again."""
+        yield "root", 0, self.root.tobytes()
+        yield "floor", 0, self.floor.tobytes()
+        for n in range(self.order):
+            for name in ("keys", "seen", "log_prob", "log_back"):
+                yield name, n, getattr(self, name)[n].tobytes()
+
+    @classmethod
+    def from_parts(cls, parts: dict[tuple[str, int], bytes], order: int) -> KneserNey:
+        out = cls.__new__(cls)
+        out.root, out.floor = (np.frombuffer(parts[name, 0], np.float64) for name in ("root", "floor"))
+        out.order, out.models = order, len(out.root)
+        out.keys = [np.frombuffer(parts["keys", n], np.uint64) for n in range(order)]
+        out.seen = [np.frombuffer(parts["seen", n], bool) for n in range(order)]
+        out.log_prob, out.log_back = ([np.frombuffer(parts[name, n], np.float32).reshape(-1, out.models) for n in range(order)]
+                                      for name in ("log_prob", "log_back"))
+        return out
+
     def log_probabilities(self, seq: np.ndarray, owner: np.ndarray) -> np.ndarray:
         """Natural log probability of every real symbol (rows) under every model (columns)."""
         hashes = gram_hashes(seq, self.order)
