@@ -37,12 +37,6 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_quote(name)}")
 
 
-def view(df: DataFrame, name: str) -> DataFrame:
-    """Register a temp view and hand back the catalog's DataFrame for it."""
-    df.createOrReplaceTempView(name)
-    return df.sparkSession.table(name)
-
-
 @contextmanager
 def views(spark: SparkSession, **frames: DataFrame) -> Iterator[dict[str, str]]:
     """Temp views for the time of a block, under names that no other caller of the session has.
