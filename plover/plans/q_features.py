@@ -293,7 +293,7 @@ def _wide_cols():
     wide=f"SELECT {', '.join(_wide_cols())} FROM lineitem"))
 def missing_wide(spark, sf):
     """D13/D14 on 200 columns in one scan."""
-    wide = scan(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"]).selectExpr(*_wide_cols())
+    wide = scan(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"], heavy_rows=True).selectExpr(*_wide_cols())
     return rounded(profile.column_states(wide).drop("n_distinct"), 6)
 
 
