@@ -12,8 +12,8 @@ predicts a word from the two words before it in two levels, the class given the
 context and the word given class and context, both log-bilinear and normalised by
 the full sum.  The ``VOCABULARY`` commonest words are classes of their own, the others share classes
 by frequency; only words below the count are one rest class with a smoothed share inside.
-It is trained on the tokens of the blocks: parts run numpy minibatches, their
-parameters are averaged on Spark.
+It is trained on the training tokens of the blocks, written once as places in the
+vocabulary: parts run numpy minibatches, their parameters are averaged on Spark.
 """
 
 from __future__ import annotations
@@ -80,7 +80,7 @@ def _pack(values: np.ndarray) -> bytes:
     return pa.Codec("zstd").compress(values.astype(np.uint32).tobytes(), asbytes=True)
 
 
-def _unpack(raw: bytes, n: int) -> np.ndarray:
+def _unpack(raw: bytes | pa.Buffer, n: int) -> np.ndarray:
     return np.frombuffer(pa.Codec("zstd").decompress(raw, 4 * n), np.uint32) if n else np.zeros(0, np.uint32)
 
 
@@ -290,46 +290,73 @@ def passes(tokens: int) -> int:
     return min(MOST_PASSES, max(1, -(-PARTS * ROUNDS * STEPS * BATCH // max(tokens, 1))))
 
 
-def _fit(blocks: DataFrame, vocab: Words, shared) -> LogBilinear:
-    """A pass is dealt over the rounds: each takes every ROUNDS-th token of every block, and the parts (runs of files) start
-    from the average of the round before, weighted by their tokens."""
+def _learning(blocks: DataFrame, shared) -> DataFrame:
+    """One row per block with training tokens: their words as places in the vocabulary, and the tokens of each text, packed."""
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                learn = ~b.column("held")[i].values.to_numpy(zero_copy_only=False)
+                sizes = b.column("sizes")[i].values.to_numpy()
+                some = np.repeat(learn, sizes)
+                if not some.any():
+                    continue
+                word = shared.value.word_of(np.frombuffer(b.column("hashes")[i].as_buffer(), np.uint64))
+                token = _unpack(b.column("tokens")[i].as_buffer(), len(some))[some]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("block").slice(i, 1), pa.array([int(learn.sum())]), pa.array([len(token)]),
+                     pa.array([_pack(sizes[learn])]), pa.array([_pack(word[token])])], ["block", "texts", "n", "sizes", "words"])
+
+    return blocks.select("block", "held", "sizes", "hashes", "tokens").mapInArrow(
+        run, "block long, texts long, n long, sizes binary, words binary")
+
+
+def _average(table: pa.Table) -> pa.Table:
+    """One piece of the parameters: the mean of the rows, weighted by the tokens that they have visited."""
+    weight = table.column("visited").to_pylist()
+    total = np.zeros(len(table.column("part")[0].as_buffer()) // 4)
+    for n, raw in zip(weight, table.column("part"), strict=True):
+        total += np.frombuffer(raw.as_buffer(), np.float32) * (n / sum(weight))
+    return pa.table({"at": table.column("at").slice(0, 1), "visited": pa.array([sum(weight)], pa.int64()),
+                     "part": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+
+def _fit(learning: DataFrame, vocab: Words, shared) -> LogBilinear:
+    """A pass is dealt over the rounds: each takes every ROUNDS-th training token of every block, and the parts (runs of files)
+    start from the average of the round before, weighted by their tokens.  Averages go over groups of parts, then over groups."""
     model = LogBilinear(vocab.share)
-    spark = blocks.sparkSession
-    parts = blocks.select("block", "hashes", "tokens", "sizes", "held").coalesce(max(PARTS, -(-vocab.tokens // PART_TOKENS)))
+    context = learning.sparkSession.sparkContext
+    wanted = max(PARTS, -(-vocab.tokens // PART_TOKENS))
+    parts, groups = learning.coalesce(wanted), round(wanted ** 0.5)
     times = passes(vocab.tokens)
 
     def trained(round_: int, now):
         def run(batches):
             own, visited = LogBilinear(shared.value.share), 0
             own.unpack(now.value)
-            for r in _block_rows(batches):
-                sizes = np.array(r["sizes"])
-                learn = ~np.repeat(np.array(r["held"], bool), sizes)
-                word = shared.value.word_of(np.frombuffer(r["hashes"], np.uint64))[_tokens(r)]
-                context = _contexts(word, sizes, own.wide)
-                mine = np.flatnonzero(learn)
-                mine = mine[mine % ROUNDS == round_]
-                visited += own.train(context[mine], word[mine], [r["block"], round_], times)
+            for b in batches:
+                for i in range(b.num_rows):
+                    sizes = _unpack(b.column("sizes")[i].as_buffer(), b.column("texts")[i].as_py()).astype(np.int64)
+                    word = _unpack(b.column("words")[i].as_buffer(), b.column("n")[i].as_py()).astype(np.int64)
+                    before = _contexts(word, sizes, own.wide)[round_::ROUNDS]
+                    visited += own.train(before, word[round_::ROUNDS], [b.column("block")[i].as_py(), round_], times)
             if visited:
-                flat = own.pack()
+                flat, group = own.pack(), TaskContext.get().partitionId() % groups
                 for at in range(0, len(flat), PIECE):
-                    yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([visited]), pa.array([flat[at:at + PIECE].tobytes()])],
-                                                     ["at", "visited", "part"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([at]), pa.array([group]), pa.array([visited]), pa.array([flat[at:at + PIECE].tobytes()])],
+                        ["at", "group", "visited", "part"])
 
         return run
 
-    def average(table: pa.Table) -> pa.Table:
-        weight, total = table.column("visited").to_pylist(), 0.0
-        for n, raw in zip(weight, table.column("part"), strict=True):
-            total = total + np.frombuffer(raw.as_py(), np.float32) * (n / sum(weight))
-        return pa.table({"at": table.column("at").slice(0, 1), "part": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
-
+    kind = "at long, visited long, part binary"
     for round_ in range(ROUNDS):
-        now = spark.sparkContext.broadcast(model.pack())
-        got = (parts.mapInArrow(trained(round_, now), "at long, visited long, part binary")
-               .groupBy("at").applyInArrow(average, "at long, part binary").collect())  # one model
+        now = context.broadcast(model.pack())
+        got = (parts.mapInArrow(trained(round_, now), "at long, group long, visited long, part binary")
+               .groupBy("at", "group").applyInArrow(_average, kind)
+               .groupBy("at").applyInArrow(_average, kind).collect())  # one model
         if got:
             model.unpack(np.concatenate([np.frombuffer(r["part"], np.float32) for r in sorted(got, key=lambda r: r["at"])]))
+        now.unpersist()
     return model
 
 
@@ -346,7 +373,7 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
     vocab = Words(counts)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocab)
-    model = spark.sparkContext.broadcast(_fit(blocks, vocab, shared))
+    model = spark.sparkContext.broadcast(_fit(materialise(_learning(blocks, shared), "learning"), vocab, shared))
 
     def rare(batches):
         for r in _block_rows(batches):
