@@ -2,18 +2,18 @@
 
 Letters are lower-cased, everything else is a space.  A text gets the language of
 the lowest cross-entropy per symbol.  The models learn from a bounded sample of the
-labelled rows (``sample_bytes`` of whole texts per language, chosen by a hash of the
-text); every row is scored in place, without a shuffle.
+labelled rows (``sample_bytes`` of distinct whole texts per language, in the order of
+a hash of the text); every row is scored in place, without a shuffle.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plover.llm.common import row_chunks
+from plover.llm.common import materialise, row_chunks
 from plover.llm.ngrams import KneserNey, gram_counts, padded
 
 CHUNK_BYTES = 1 << 20
@@ -90,14 +90,39 @@ class LanguageModel:
                 np.where(letters, share, 0.0), letters & (least <= self.bound[best]))
 
 
+def hash_sample(rows: DataFrame, key: str, sample_bytes: int, fewest: int) -> DataFrame:
+    """(``key``, u) of the first distinct texts of every key in the order of their hash ``u``, until they hold
+    ``sample_bytes``; always at least ``fewest`` of them, or all.  ``rows`` have ``key``, ``u`` (not negative) and ``size``.
+
+    Copies count once.  The leading zeros of the hash are levels that halve from one
+    to the next, so the totals per level say which rows can be drawn at all: about
+    twice the bound, whatever the size of the key.
+    """
+    level = F.lit(63) - F.length(F.bin("u"))
+    texts = materialise(rows.groupBy(key, "u").agg(F.max("size").alias("size")), "texts").withColumn("level", level)
+    totals = texts.groupBy(key, "level").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b"))
+
+    def short(order, n, size):
+        before = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return ((F.coalesce(F.sum(size).over(before), F.lit(0)) < sample_bytes)
+                | (F.coalesce(F.sum(n).over(before), F.lit(0)) < fewest))
+
+    needed = totals.withColumn("needed", short(F.desc("level"), "n", "b")).filter("needed")
+    least = materialise(needed.groupBy(key).agg(F.min("level").alias("least")), "levels")  # a row per key
+    near = texts.join(least, key).filter("level >= least").withColumn("one", F.lit(1))
+    return near.withColumn("drawn", short(F.asc("u"), "one", "size")).filter("drawn").select(key, "u")
+
+
 def train(labelled: DataFrame, text_col: str, lang_col: str, order: int = 4, sample_bytes: int = 1 << 20) -> LanguageModel:
-    """Models of all non-null languages of ``labelled`` from about ``sample_bytes`` of whole texts each."""
+    """Models of all non-null languages of ``labelled``, each from the first distinct texts in hash order until they
+    hold ``sample_bytes``; at least ``CALIBRATION`` texts, or all.  Only drawn texts are shuffled or reach the driver."""
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text <> '' AND lang IS NOT NULL")
-    rows = rows.withColumn("u", F.pmod(F.xxhash64("text"), F.lit(1_000_000)))
-    volume = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("b"))
-    chosen = rows.join(volume, "lang").filter(F.col("u") * F.col("b") < F.lit(float(sample_bytes)) * 1_000_000)
-    got = chosen.select("lang", "u", "text").toArrow().to_pylist()
-    got.sort(key=lambda r: (r["lang"], r["u"], r["text"]))
+    rows = rows.withColumn("u", F.xxhash64("text").bitwiseAND(F.lit((1 << 63) - 1)))
+    sizes = rows.select("lang", "u", F.octet_length("text").alias("size"))
+    drawn = materialise(hash_sample(sizes, "lang", sample_bytes, CALIBRATION), "drawn")
+    chosen = rows.join(drawn, ["lang", "u"]).groupBy("lang", "u").agg(F.min("text").alias("text"))
+    got = chosen.toArrow().to_pylist()
+    got.sort(key=lambda r: (r["lang"], r["u"]))
     languages = sorted({r["lang"] for r in got})
     return LanguageModel(languages, [[r["text"] for r in got if r["lang"] == x] for x in languages], order)
 

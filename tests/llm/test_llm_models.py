@@ -64,6 +64,39 @@ def test_language_edges(spark, edge_docs, no_docs):
     assert [r.lang_pred for r in nothing] == ["und"]
 
 
+def test_every_language_is_learned(spark):
+    """One text in hundreds of copies, twenty texts that each exceed the bound, and a language of one short text."""
+    rng = np.random.default_rng(5)
+    say = lambda words, n: " ".join(words[x] for x in rng.integers(0, len(words), n))
+    rows = [("en", say(["the", "house", "with", "garden", "river"], 40)) for _ in range(300)]
+    rows += [("fr", say(["maison", "avec", "jardin", "fleuve", "toujours"], 40)) for _ in range(300)]
+    rows += [("xx", "zuqq wokk pyxx qazz " * 50)] * 400 + [("yy", "hjå ðvø þæk ")]
+    rows += [("zz", say(["bdgb", "kptk", "vwmv"], 6000)) for _ in range(20)]
+    docs = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = langid.train(docs, "text", "lang", sample_bytes=20_000)
+    assert model.languages == ["en", "fr", "xx", "yy", "zz"]
+    got = langid.identify(docs, model).join(docs, "doc_id").groupBy("lang").agg({"lang_pred": "max", "*": "count"})
+    assert all(r["max(lang_pred)"] == r["lang"] for r in got.collect())
+    assert langid.identify(docs, model).join(docs, "doc_id").filter("lang_pred <> lang").count() == 0
+
+
+@pytest.mark.parametrize("bound,fewest", [(0, 1), (500, 3), (10_000, 5), (10**9, 5)])
+def test_hash_sample_against_brute_force(spark, bound, fewest):
+    rng = np.random.default_rng(bound + fewest)
+    rows = [(x, int(u), int(u) % 900 + 1) for x, n in (("a", 3000), ("b", 40), ("c", 2)) for u in rng.integers(0, 1 << 63, n)]
+    rows += rows[:500] + [("d", 0, 7), ("d", (1 << 63) - 1, 7)]
+    want = set()
+    for key in "abcd":
+        size = 0
+        for i, (u, n) in enumerate(sorted({r[1:] for r in rows if r[0] == key})):
+            if size < bound or i < fewest:
+                want.add((key, u))
+            size += n
+    df = spark.createDataFrame(rows, "lang string, u long, size long")
+    got = langid.hash_sample(df, "lang", bound, fewest).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
 def test_quality_rejects_junk_and_keeps_clean(spark):
     rng = np.random.default_rng(3)
     word = [f"word{i}" for i in range(60)]
@@ -109,6 +142,30 @@ def test_corpus_counts_are_exact(spark, edge_docs, no_docs, monkeypatch, common)
     assert neural_lm.lm_scores(no_docs).count() == 0
 
 
+def test_learning_rows_hold_the_training_tokens_only(spark):
+    docs = spark.createDataFrame([(1, False, "b a b"), (2, True, "a a a a"), (3, False, None), (4, True, "c")],
+                                 "doc_id long, held_out boolean, text string").coalesce(1)
+    blocks = neural_lm._blocks(docs).persist()
+    vocab = neural_lm.Words(neural_lm._word_counts(blocks))
+    shared = spark.sparkContext.broadcast(vocab)
+    (r,) = neural_lm._learning(blocks, shared).collect()
+    word = neural_lm._unpack(bytes(r.words), r.n)
+    assert (r.texts, r.n, neural_lm._unpack(bytes(r.sizes), 2).tolist()) == (2, 5, [4, 1])
+    assert word[0] == word[2] != word[1] and word[3] == word[4] and len(set(word.tolist())) == 3 and word.min() >= 2
+    assert neural_lm._learning(blocks.filter("false"), shared).count() == 0
+    assert neural_lm._learning(neural_lm._blocks(docs.filter("held_out")), shared).count() == 0
+
+
+def test_parameters_are_averaged_by_visited_tokens(spark):
+    piece = lambda *x: np.array(x, np.float32).tobytes()
+    rows = [(0, 0, 1, piece(0, 4)), (0, 0, 3, piece(4, 0)), (0, 1, 4, piece(1, 9)), (8, 1, 2, piece(5))]
+    kind = "at long, visited long, part binary"
+    df = spark.createDataFrame(rows, "at long, group long, visited long, part binary")
+    got = (df.groupBy("at", "group").applyInArrow(neural_lm._average, kind).groupBy("at")
+           .applyInArrow(neural_lm._average, kind).orderBy("at").collect())
+    assert [(r.at, r.visited, np.frombuffer(r.part, np.float32).tolist()) for r in got] == [(0, 8, [2.0, 5.0]), (8, 2, [5.0])]
+
+
 def test_model_is_normalised_and_beats_the_base(spark):
     got = entry.queries()["op5_lm_scores"](spark, SF_SMALL).collect()
     rows = [(r.doc_id, r.text, None) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
