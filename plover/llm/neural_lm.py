@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from plover.llm.common import ASCII_LOWER, SPACED_WORD, materialise, row_chunks, text_bytes, words
 from plover.llm.langid import held_out
+from plover.session import written
 
 CHUNK_BYTES = 1 << 20
 COMMON = 1 << 16
@@ -196,7 +197,7 @@ class LogBilinear:
 
     def _step(self, name: str, at: np.ndarray, grad: np.ndarray) -> None:
         """AdaGrad on the rows ``at`` only, repeated rows summed."""
-        order = np.argsort(at, kind="stable")
+        order = _sorted(at)
         at = at[order]
         starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
         rows, g = at[starts], np.add.reduceat(grad[order], starts, axis=0) / np.float32(BATCH)
@@ -278,6 +279,13 @@ class LogBilinear:
         return value
 
 
+def _sorted(at: np.ndarray) -> np.ndarray:
+    """Stable order of places below 2**32, by their 16-bit halves (numpy sorts those by radix)."""
+    order = np.argsort(at.astype(np.uint16), kind="stable")
+    high = at >> 16
+    return order[np.argsort(high[order].astype(np.uint16), kind="stable")] if high.any() else order
+
+
 def _log_sum(s: np.ndarray) -> np.ndarray:
     """Logarithm of the rows' sums of exponentials."""
     top = s.max(axis=1)
@@ -311,18 +319,19 @@ def _learning(blocks: DataFrame, shared) -> DataFrame:
 
 
 def _average(table: pa.Table) -> pa.Table:
-    """One piece of the parameters: the mean of the rows, weighted by the tokens that they have visited."""
+    """One piece of the changes: the mean of the rows, weighted by the tokens that they have visited."""
     weight = table.column("visited").to_pylist()
-    total = np.zeros(len(table.column("part")[0].as_buffer()) // 4)
+    total = np.zeros(len(table.column("part")[0].as_buffer()) // 2)
     for n, raw in zip(weight, table.column("part"), strict=True):
-        total += np.frombuffer(raw.as_buffer(), np.float32) * (n / sum(weight))
+        total += np.frombuffer(raw.as_buffer(), np.float16) * (n / sum(weight))
     return pa.table({"at": table.column("at").slice(0, 1), "visited": pa.array([sum(weight)], pa.int64()),
-                     "part": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+                     "part": pa.array([total.astype(np.float16).tobytes()], pa.binary())})
 
 
 def _fit(learning: DataFrame, vocab: Words, shared) -> LogBilinear:
     """A pass is dealt over the rounds: each takes every ROUNDS-th training token of every block, and the parts (runs of files)
-    start from the average of the round before, weighted by their tokens.  Averages go over groups of parts, then over groups."""
+    start from the model of the round before.  Their changes cross the shuffle in half precision and are averaged, weighted by
+    their tokens, over groups of parts and then over the groups."""
     model = LogBilinear(vocab.share)
     context = learning.sparkSession.sparkContext
     wanted = max(PARTS, -(-vocab.tokens // PART_TOKENS))
@@ -340,7 +349,7 @@ def _fit(learning: DataFrame, vocab: Words, shared) -> LogBilinear:
                     before = _contexts(word, sizes, own.wide)[round_::ROUNDS]
                     visited += own.train(before, word[round_::ROUNDS], [b.column("block")[i].as_py(), round_], times)
             if visited:
-                flat, group = own.pack(), TaskContext.get().partitionId() % groups
+                flat, group = (own.pack() - now.value).astype(np.float16), TaskContext.get().partitionId() % groups
                 for at in range(0, len(flat), PIECE):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([at]), pa.array([group]), pa.array([visited]), pa.array([flat[at:at + PIECE].tobytes()])],
@@ -355,7 +364,8 @@ def _fit(learning: DataFrame, vocab: Words, shared) -> LogBilinear:
                .groupBy("at", "group").applyInArrow(_average, kind)
                .groupBy("at").applyInArrow(_average, kind).collect())  # one model
         if got:
-            model.unpack(np.concatenate([np.frombuffer(r["part"], np.float32) for r in sorted(got, key=lambda r: r["at"])]))
+            moved = np.concatenate([np.frombuffer(r["part"], np.float16) for r in sorted(got, key=lambda r: r["at"])])
+            model.unpack(model.pack() + moved.astype(np.float32))
         now.unpersist()
     return model
 
@@ -373,7 +383,8 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
     vocab = Words(counts)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocab)
-    model = spark.sparkContext.broadcast(_fit(materialise(_learning(blocks, shared), "learning"), vocab, shared))
+    with written(_learning(blocks, shared), "learning") as learning:
+        model = spark.sparkContext.broadcast(_fit(learning, vocab, shared))
 
     def rare(batches):
         for r in _block_rows(batches):

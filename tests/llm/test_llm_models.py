@@ -157,13 +157,13 @@ def test_learning_rows_hold_the_training_tokens_only(spark):
 
 
 def test_parameters_are_averaged_by_visited_tokens(spark):
-    piece = lambda *x: np.array(x, np.float32).tobytes()
+    piece = lambda *x: np.array(x, np.float16).tobytes()
     rows = [(0, 0, 1, piece(0, 4)), (0, 0, 3, piece(4, 0)), (0, 1, 4, piece(1, 9)), (8, 1, 2, piece(5))]
     kind = "at long, visited long, part binary"
     df = spark.createDataFrame(rows, "at long, group long, visited long, part binary")
     got = (df.groupBy("at", "group").applyInArrow(neural_lm._average, kind).groupBy("at")
            .applyInArrow(neural_lm._average, kind).orderBy("at").collect())
-    assert [(r.at, r.visited, np.frombuffer(r.part, np.float32).tolist()) for r in got] == [(0, 8, [2.0, 5.0]), (8, 2, [5.0])]
+    assert [(r.at, r.visited, np.frombuffer(r.part, np.float16).tolist()) for r in got] == [(0, 8, [2.0, 5.0]), (8, 2, [5.0])]
 
 
 def test_model_is_normalised_and_beats_the_base(spark):
