@@ -75,8 +75,65 @@ KNOWN = {
         "LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software distributed under the "
         "License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or "
         "implied. See the License for the specific language governing permissions and limitations under the License."),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this "
+        "list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above "
+        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution.\n\nTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "
+        "\"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+        "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+        "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+        "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
+        "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF "
+        "THE POSSIBILITY OF SUCH DAMAGE."),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this "
+        "list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above "
+        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution.\n\n3. Neither the name of the copyright holder nor the names of "
+        "its contributors may be used to endorse or promote products derived from this software without specific prior "
+        "written permission.\n\nTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "
+        "\"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+        "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+        "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+        "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
+        "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF "
+        "THE POSSIBILITY OF SUCH DAMAGE."),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means.\n\nIn jurisdictions that recognize copyright "
+        "laws, the author or authors of this software dedicate any and all copyright interest in the software to the "
+        "public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs "
+        "and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and "
+        "future rights to this software under copyright law.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF "
+        "ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+        "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+        "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.\n\nFor more information, please refer to "
+        "<https://unlicense.org>"),
 }
 
+#: Title lines that licence files carry above these texts.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License"],
+    "0BSD": ["Zero-Clause BSD", "BSD Zero Clause License", "BSD Zero-Clause License (0BSD)"],
+    "Zlib": ["zlib License", "The zlib/libpng License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License"],
+    "Unlicense": ["Unlicense", "The Unlicense"],
+}
+
+
+def forms(known: dict[str, str], titles: dict[str, list[str]]) -> list[tuple[str, str]]:
+    """(licence, text) of every known text, as it is and below each of its titles."""
+    return sorted((k, t) for k, text in known.items() for t in [text, *(f"{x}\n\n{text}" for x in titles.get(k, []))])
+
 
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -94,25 +151,28 @@ def canonical(df: DataFrame, text: Column, out: str) -> DataFrame:
     return got.withColumn(out, F.when(F.col(bare).rlike(rf"\b(?:{some})\b"), spelt).otherwise(F.col(bare))).drop(bare)
 
 
-def known_digests(spark: SparkSession, known: dict[str, str]) -> DataFrame:
+def known_digests(spark: SparkSession, known: list[tuple[str, str]]) -> DataFrame:
     """(license, digest) of the known texts, one licence (the first by name) per digest."""
-    rows = spark.createDataFrame(sorted(known.items()) or [("", "")], "license string, text string")
+    rows = spark.createDataFrame(known or [("", "")], "license string, text string")
     rows = canonical(rows.filter(F.lit(bool(known))), F.col("text"), "words").filter("words <> ''")
     return rows.groupBy(F.sha2("words", 256).alias("digest")).agg(
         F.min("license").alias("license"))
 
 
-def license_report(docs: DataFrame, known: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def license_report(docs: DataFrame, known: dict[str, str], id_col: str = "doc_id", text_col: str = "text",
+                   titles: dict[str, list[str]] = TITLES) -> DataFrame:
     """Per document: digest of its canonical text, the licence that it is as a whole, and those of its single lines.
 
     ``license`` is null where the whole text is no known licence; ``notices`` lists
-    the licences of lines, sorted and comma-joined (empty: none).  Null or empty text
+    the licences of lines, sorted and comma-joined (empty: none).  A known text is also
+    known below any of its ``titles``.  Null or empty text
     has the digest of nothing and matches none; repeated rows stay; null ids stay;
     other columns are ignored; an empty table gives no rows.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    table = known_digests(docs.sparkSession, known)
-    if len(known) <= BROADCAST_ROWS:
+    texts = forms(known, titles)
+    table = known_digests(docs.sparkSession, texts)
+    if len(texts) <= BROADCAST_ROWS:
         table = F.broadcast(table)
     whole = canonical(base.withColumn("key", F.sha2("text", 256)), F.col("text"), "words").select(
         "doc_id", "key", F.sha2("words", 256).alias("digest"))

@@ -38,7 +38,7 @@ def op1(spark, sf_dir):
 
 def _license_sql() -> str:
     """The scan in DuckDB: the same patterns, over inline rows of the known texts."""
-    from plover.llm.licenses import COPYRIGHT_LINE, KNOWN, SPELLINGS
+    from plover.llm.licenses import COPYRIGHT_LINE, KNOWN, SPELLINGS, TITLES, forms
 
     def quoted(x):
         return "'" + x.replace("'", "''") + "'"
@@ -51,7 +51,7 @@ def _license_sql() -> str:
             out = f"regexp_replace({out}, {quoted(chr(92) + 'b' + pattern + chr(92) + 'b')}, {quoted(put)}, 'g')"
         return out
 
-    rows = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in KNOWN.items())
+    rows = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in forms(KNOWN, TITLES))
     return f"""
 WITH known AS (SELECT sha256(w) AS digest, min(license) AS license
   FROM (SELECT license, {canon('text')} AS w FROM (VALUES {rows}) AS v(license, text)) WHERE w <> '' GROUP BY 1),

@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 from llm_data import EDGES, make_docs
 
@@ -22,6 +24,31 @@ def test_variants_of_a_text_share_its_digest(spark, no_docs):
     assert L.license_report(make_docs(spark, rows), {}).filter("license IS NOT NULL OR notices <> ''").count() == 0
 
 
+def wrapped(text, width=76):
+    return "\n\n".join(textwrap.fill(x, width) for x in text.split("\n\n"))
+
+
+def test_complete_license_files(spark):
+    """Title, blank line, copyright lines and wrapped body, as the files stand in repositories; in Spark and SQL."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    mark = "Copyright (c) 2024, Some Body\nAll rights reserved."
+    files = [(k, f"{title}\n\n{mark}\n\n{wrapped(L.KNOWN[k])}\n") for k, titles in L.TITLES.items() for title in titles]
+    files += [(k, f"{mark}\n\n{wrapped(text)}") for k, text in L.KNOWN.items()]
+    files += [(None, f"MIT License\n\n{mark}\n\n{wrapped(L.KNOWN['ISC'])}"), (None, "MIT License"), (None, "BSD 3-Clause License\n" + mark)]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(files)], "doc_id long, text string")
+    report = L.license_report(docs, L.KNOWN)
+    got = {r.doc_id: r.license for r in report.collect()}
+    assert [got[i] for i in range(len(files))] == [k for k, _ in files]
+    documents = docs.toPandas()  # noqa: F841 (read by name)
+    con = duckdb.connect()
+    want = con.execute(f"SELECT {', '.join(report.columns)} FROM ({entry.oracle_sql()['op2_license_digests']})").fetchall()
+    assert sorted(map(str, (tuple(r) for r in report.collect()))) == sorted(map(str, want))
+    assert L.license_report(docs, L.KNOWN, titles={}).filter("license IS NOT NULL").count() == len(L.KNOWN)
+
+
 def test_native(spark, edge_docs):
     plan = L.license_report(edge_docs, L.KNOWN)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
