@@ -339,7 +339,12 @@ def _groups(rows: DataFrame, key: str, place: list[str], name: str) -> tuple[Dat
 
 
 def mark_repeats(docs: DataFrame, length: int, text_col: str, out: str, gram: int = GRAM) -> DataFrame:
-    """``docs`` plus ``out``: ranges (s, e) of byte positions at which a repeated string of ``length`` bytes starts."""
+    """``docs`` plus ``out``: ranges (s, e) of byte positions at which a repeated string of ``length`` bytes starts.
+
+    ``length`` has to exceed ``SLICE`` and ``gram``: starts that are compared together share bytes and an anchor.
+    """
+    if length <= max(SLICE, gram):
+        raise ValueError(f"length {length} has to exceed {max(SLICE, gram)}")
     text = F.coalesce(F.col(text_col), F.lit(""))
     k1, k2 = free_name(docs, "_k1"), free_name(docs, "_k2")
     keyed = docs.withColumns({k1: F.xxhash64(text), k2: F.xxhash64(F.lit("#"), text)})

@@ -85,6 +85,14 @@ def test_edges(spark, edge_docs, no_docs):
     assert R.repeat_report(edge_docs).count() == len(EDGES)
 
 
+@pytest.mark.parametrize("length", [R.SLICE, 40, 1])
+def test_short_lengths_are_refused(edge_docs, length):
+    with pytest.raises(ValueError, match="exceed"):
+        R.repeat_report(edge_docs, length)
+    with pytest.raises(ValueError, match="exceed"):
+        R.remove_repeats(edge_docs, length)
+
+
 def test_interval_expansion():
     rng = random.Random(4)
     for _ in range(40):
