@@ -74,19 +74,26 @@ def number_rows(df: DataFrame, group: list[str], salt: Column, order: list[Colum
     return numbered.join(first, [*group, "_salt"]).withColumn(out, F.col("_row") + F.col("_first")).drop("_row", "_first", "_salt")
 
 
-def pack(docs: DataFrame, budget: int = 16_384, buckets: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_tokens`` (white-space words), ``bucket``, ``bucket_len``, ``batch``, ``padding`` of every row.
+def spaced_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id`` and ``n_tokens``, the white-space words of every row: a cheap stand-in for the tokens of a vocabulary."""
+    count = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
+    return docs.select(F.col(id_col).alias("doc_id"), count.alias("n_tokens"))
 
-    A batch holds ``budget // bucket_len`` rows of one bucket, all padded to its
+
+def pack(lengths: DataFrame, budget: int = 16_384, buckets: int = 12) -> DataFrame:
+    """``doc_id``, ``n_tokens``, ``bucket``, ``bucket_len``, ``batch``, ``padding`` of every row.
+
+    ``lengths`` has ``doc_id`` and ``n_tokens`` of every row, from
+    ``tokens.token_counts`` or ``spaced_words``.  A batch holds ``budget // bucket_len`` rows of one bucket, all padded to its
     length; only a bucket's last batch is smaller.  A text longer than the budget is
     never cut: it is a batch of its own in the bucket after the last, without
-    padding.  Null and empty texts have no tokens and go to the first bucket.
+    padding.  Rows without tokens (or a null length) go to the first bucket.
     Repeated rows and null ids are packed like others (rows that agree in id and
     length are interchangeable); other columns are ignored; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    length = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    sized = materialise(docs.select(F.col(id_col).alias("doc_id"), length.alias("n_tokens")), "lengths")
+    spark = lengths.sparkSession
+    size = F.coalesce(F.col("n_tokens"), F.lit(0)).cast("long")
+    sized = materialise(lengths.select("doc_id", size.alias("n_tokens")), "lengths")
     seen = sized.filter(F.col("n_tokens") <= budget).groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect()
     bounds = boundaries(np.array([r[0] for r in seen]), np.array([r[1] for r in seen]), buckets)
     bucket, size = F.lit(len(bounds)), F.col("n_tokens")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plover.sources.tables import scan
 
+TOKENIZER = "byte_bpe_50k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -95,9 +97,12 @@ def op5(spark, sf_dir):
 
 @register("op7_packing")
 def op7(spark, sf_dir):
+    import public_tokenizers
+
     from plover.llm.packing import pack
+    from plover.llm.tokens import token_counts
 
-    return pack(scan(spark, sf_dir, "documents"))
+    return pack(token_counts(scan(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
 
 
 @register("op8_language")
@@ -107,9 +112,6 @@ def op8(spark, sf_dir):
     return language_report(scan(spark, sf_dir, "documents"), folds=5)
 
 
-TOKENIZER = "byte_bpe_50k.json"
-
-
 @register("op9_token_counts")
 def op9(spark, sf_dir):
     import public_tokenizers

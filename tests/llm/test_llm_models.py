@@ -111,6 +111,19 @@ def test_quality_rejects_junk_and_keeps_clean(spark):
     assert rows.columns == docs.columns and rows.filter("doc_id < 400").count() >= 392
 
 
+def test_quality_learns_every_language(spark):
+    """A language of one trusted text in many copies, whichever fold its hash falls into, next to larger ones."""
+    say = lambda seed, n: " ".join(f"k{x}" for x in np.random.default_rng(seed).integers(0, 50, n))
+    rows = [(i, say(i, 60), "en") for i in range(200)]
+    alone = {x: f"{x} sole text of its kind, written again and again " * 4 for x in "abcdefgh"}
+    rows += [(1000 + 50 * k + i, t, x) for k, (x, t) in enumerate(alone.items()) for i in range(40)]
+    labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in rows], "doc_id long, quality int, toxic int")
+    docs = make_docs(spark, rows)
+    ppl = {r.id: r.ppl for r in quality.fit(docs, labels, sample_bytes=2_000).scores.collect()}
+    # a learned text is far likelier than words in a random order
+    assert max(ppl[i] for i in ppl if i >= 1000) < np.median([ppl[i] for i in ppl if i < 200])
+
+
 def test_quality_edges(spark, edge_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, None)], "doc_id long, quality int, toxic int")
     got = quality.quality_report(edge_docs, labels).collect()

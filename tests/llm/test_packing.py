@@ -2,9 +2,13 @@ import itertools
 import random
 
 import numpy as np
+import public_tokenizers
+import tokenizers
 from llm_data import EDGES, make_docs
 
 from plover.llm import packing as P
+from plover.llm.queries import TOKENIZER
+from plover.llm.tokens import token_counts
 
 
 def test_boundaries_are_optimal():
@@ -26,7 +30,7 @@ def test_boundaries_are_optimal():
 def test_batches(spark, edge_docs, no_docs):
     rng = random.Random(6)
     rows = [(i, "w " * rng.randrange(0, 130), "en") for i in range(700)] + [(900, "w " * 500, "en"), (901, "w " * 500, "en")]
-    got = P.pack(make_docs(spark, rows), budget=256, buckets=4).collect()
+    got = P.pack(P.spaced_words(make_docs(spark, rows)), budget=256, buckets=4).collect()
     assert len(got) == len(rows)
     by = {}
     for r in got:
@@ -41,7 +45,21 @@ def test_batches(spark, edge_docs, no_docs):
         assert len(own) == full if batch < last else len(own) <= full
     for bucket in {k for k, _ in by}:  # batches are numbered without gaps
         assert sorted(b for k, b in by if k == bucket) == list(range(sum(1 for k, _ in by if k == bucket)))
-    assert P.pack(no_docs).count() == 0
-    edge = P.pack(edge_docs).collect()
+    assert P.pack(P.spaced_words(no_docs)).count() == 0
+    edge = P.pack(P.spaced_words(edge_docs)).collect()
     assert len(edge) == len(EDGES)
     assert sorted(r.n_tokens for r in edge) == sorted(len((t or "").split(" ")) if t and t.strip() else 0 for _, t, _ in EDGES)
+
+
+def test_batches_hold_library_tokens(spark, edge_docs):
+    path = public_tokenizers.path(TOKENIZER)
+    tokenizer = tokenizers.Tokenizer.from_file(path)
+    got = P.pack(token_counts(edge_docs, path), budget=64).collect()
+    assert sorted(r.n_tokens for r in got) == sorted(
+        len(tokenizer.encode(t or "", add_special_tokens=False).ids) for _, t, _ in EDGES)
+    assert all(r.n_tokens > 64 or (r.batch >= 0 and 64 // max(r.bucket_len, 1) >= 1) for r in got)
+
+
+def test_null_lengths_are_empty(spark):
+    got = P.pack(spark.createDataFrame([(1, None), (2, 5), (None, 0)], "doc_id long, n_tokens long")).collect()
+    assert sorted(r.n_tokens for r in got) == [0, 0, 5]

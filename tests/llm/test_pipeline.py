@@ -25,3 +25,13 @@ def test_stages_on_empty_and_odd_rows(spark, edge_docs):
     for _, stage in C.STAGES:
         assert stage(spark, plain, SF_SMALL).count() >= 0
         assert stage(spark, make_docs(spark, [(1, "x", "en")], clashes=False).limit(0), SF_SMALL).count() == 0
+
+
+def test_repeat_stage_cuts_passages_of_over_fifty_words(spark):
+    passage = " ".join(f"word{chr(97 + i % 26)}" for i in range(51))  # 305 bytes, fewer than operator 3's 400
+    rows = [(i, f"start {i} of its own {i * 7919} {passage} end {i * 104729} of the text", "en") for i in range(6)]
+    rows += [(10 + i, " ".join(f"q{i}z{j}" for j in range(80)), "en") for i in range(4)]
+    docs = make_docs(spark, rows, clashes=False)
+    got = {r.doc_id: r.text for r in dict(C.STAGES)["suffix_array_dedup"](spark, docs, SF_SMALL).collect()}
+    assert all(got[i] == f"start {i} of its own {i * 7919}{i * 104729} of the text" for i in range(6))
+    assert all(got[10 + i] == rows[6 + i][1] for i in range(4))

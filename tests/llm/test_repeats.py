@@ -72,6 +72,8 @@ def test_against_brute_force(spark, monkeypatch, hot):
 def test_small_chunks_cut_long_texts(spark, monkeypatch):
     rows = texts(2) + [(0, texts(3)[0][1] * 9, "en")]
     monkeypatch.setattr(R, "CHUNK_BYTES", 500)
+    monkeypatch.setattr(R, "SLICE", 16)
+    check(spark, rows, 60, 8)
     data = R.np.frombuffer("".join(t for _, t, _ in rows).encode(), R.np.uint8)
     whole = R.windows(data, R.np.array([0, len(data)]), 60, 8)
     assert whole[2].sum() == len(data) - 59  # every start has one window
