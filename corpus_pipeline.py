@@ -13,10 +13,14 @@ from plover.llm.common import materialise
 from plover.llm.decontaminate import remove_leaks
 from plover.llm.packing import pack
 from plover.llm.quality import keep_good
+from plover.llm.queries import TOKENIZER
 from plover.llm.repeats import remove_repeats
 from plover.llm.simhash import drop_near_copies
+from plover.llm.tokens import token_counts
 from plover.sources.tables import scan
 
+REPEAT_BYTES = 256  # about 50 English words; the query of operator 3 has 400 by its contract
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: documents above their language's perplexity bound go."""
@@ -29,8 +33,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Suffix-array dedup: bytes of 400-byte strings that start elsewhere too are cut out of the texts."""
-    return remove_repeats(docs, length=400, chars_col="n_chars")
+    """Suffix-array dedup: bytes of 256-byte strings that start elsewhere too are cut out of the texts."""
+    return remove_repeats(docs, length=REPEAT_BYTES, chars_col="n_chars")
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +43,10 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing: optimal length buckets and token-budget batches."""
-    return pack(docs)
+    """Packing: optimal length buckets and token-budget batches, in the tokens of operator 9."""
+    import public_tokenizers
+
+    return pack(token_counts(docs, public_tokenizers.path(TOKENIZER)))
 
 
 STAGES = [
