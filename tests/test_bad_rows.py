@@ -86,6 +86,16 @@ def test_catalog_is_left_as_it_was(spark):
         assert (spark.table(x["t"]).count(), spark.table(y["t"]).count()) == (3, 5)
 
 
+def test_view_select_has_every_row(spark):
+    from conftest import SF_SMALL
+    from plover.plans import standins as S
+    from plover.plans.catalog import queries
+
+    got, want = queries()["view_select"](spark, SF_SMALL), S.scores(spark, SF_SMALL)
+    assert got.columns == want.columns and got.count() == want.count() > 0
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 def test_shares_read_the_input_once(spark):
     runs = spark.sparkContext.accumulator(0)
 
