@@ -352,7 +352,7 @@ def rf_scores(spark, sf):
 
     def fit(train):
         w = M.class_weights(train, "bad_loan", "class_weight").select("bad_loan", "class_weight")
-        return pipe.fit(train.join(w, "bad_loan"))
+        return pipe.fit(train.join(F.broadcast(w), "bad_loan"))  # a row per class: a shuffle by class would be one task each
 
     return _fit_and_score(spark, sf, fit)
 

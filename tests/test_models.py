@@ -119,6 +119,83 @@ def test_training_table_runs_once_and_is_removed(spark, planted):
     assert runs.value == 1 and not os.path.exists(path)
 
 
+def test_written_files_have_many_row_groups(spark):
+    """A task reads whole row groups, so a file of many rows must not be a single one."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    with written(spark.range(2_000_000).select("id", F.rand(1).alias("x")).coalesce(1), "wide") as data:
+        folder = data.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+        assert min(pq.ParquetFile(f).num_row_groups for f in glob.glob(f"{folder}/*.parquet")) > 4
+
+
+def test_blocks_of_written_tables_run_compiled(spark):
+    from plover.session import HUGE_METHOD
+
+    before = spark.conf.get(HUGE_METHOD)
+    with written(spark.range(3), "outer") as data:
+        assert int(spark.conf.get(HUGE_METHOD)) <= 8000
+        with written(data, "inner"):
+            pass
+        assert int(spark.conf.get(HUGE_METHOD)) <= 8000
+    assert spark.conf.get(HUGE_METHOD) == before
+
+
+def test_folds_are_written_before_the_scaler(spark, planted, monkeypatch):
+    columns = {}
+
+    def noted(df, name):
+        columns[name] = df.columns
+        return written(df, name)
+
+    monkeypatch.setattr(M, "written", noted)
+    pipe, lr = M.glm_pipeline(["cat"], ["x", "noise"], "bad")
+    assert M.cross_validate(pipe, planted, ["id"], [{lr.regParam: 0.01}], folds=2)[0] > 0.85
+    assert columns["fold"] == ["features", "label", "held"]
+
+
+def test_forest_rows_are_not_shuffled_by_class(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from plover.plans import q_eval
+
+    class Seen(Exception):
+        pass
+
+    def look(self, df):
+        raise Seen(df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString())
+
+    class Forest:
+        fit = look
+
+    monkeypatch.setattr(q_eval.M, "rf_pipeline", lambda *a, **k: Forest())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with pytest.raises(Seen) as seen:
+            q_eval.rf_scores(spark, SF_SMALL)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in str(seen.value) and "SortMergeJoin" not in str(seen.value)
+
+
+def test_models_read_their_own_columns_only(spark):
+    from conftest import SF_SMALL
+    from plover.plans import q_eval
+
+    d = q_eval._model_data(spark, SF_SMALL)
+    assert set(d.columns) == {"side", "net", *q_eval.flows.KEYS, *q_eval.SPEC.inputs, q_eval.SPEC.response}
+
+
+@pytest.mark.parametrize("name", ["standardize", "uncorrelated_values"])
+def test_results_do_not_join_again(spark, name):
+    from conftest import SF_SMALL
+    from plover.plans.catalog import queries
+
+    out = queries()[name](spark, SF_SMALL)
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString() and out.count() > 0
+
+
 @pytest.mark.parametrize("name", ["lr_rolling", "cv_max_iter", "lr_training_summary", "loan_auc", "loan_roc_stacked",
                                   "loan_money_by_cell"])
 def test_model_queries(spark, name):
