@@ -455,7 +455,8 @@ def drop_correlated(spark, sf):
 def uncorrelated_values(spark, sf):
     """The reduced table, in long form (its columns depend on the data)."""
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    kept, _ = correlated.drop_correlated(S.flights(spark, sf).select(*keys, *_DROP_COLS), _DROP_COLS, _DROP_AT)
+    flights = stored(S.flights(spark, sf).select(*keys, *_DROP_COLS), "flights")  # read for the matrix and for the result
+    kept, _ = correlated.drop_correlated(flights, _DROP_COLS, _DROP_AT)
     long = kept.unpivot(keys, [c for c in kept.columns if c not in keys], "column", "value")
     return long.withColumn("value", F.col("value") + 0.0)  # no negative zeros
 
