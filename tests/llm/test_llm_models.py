@@ -3,12 +3,14 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from llm_data import EDGES, make_docs
 
 import __spark_entry__ as entry
 from plover.llm import langid, neural_lm, quality
+from plover.llm.common import SPACED_WORD, text_bytes, words
 from plover.llm.ngrams import KneserNey, gram_counts, padded
 
 
@@ -233,3 +235,65 @@ def test_quality_rejects_one_word_repeated(spark):
                                    "doc_id long, quality int, toxic int")
     kept = {r.doc_id for r in quality.quality_report(make_docs(spark, clean + dull), labels).collect() if r["keep"]}
     assert not [i for i in range(1000, 1060) if i in kept] and len([i for i in range(800) if i in kept]) >= 760
+
+
+def zipf_texts(n, seed=11):
+    rng = np.random.default_rng(seed)
+    return [" ".join(f"v{x}" for x in rng.zipf(1.3, 50) % 400) for _ in range(n)]
+
+
+def word_sequence(texts):
+    symbol, row, _ = words(*text_bytes(pa.array(texts)), SPACED_WORD)
+    return padded(symbol, row, len(texts), 3)
+
+
+def test_quality_counts_every_trusted_text(spark):
+    """Without bounds in the way the model is the Kneser-Ney model of all texts, computed at once."""
+    texts = zipf_texts(300)
+    got = quality._model(spark.createDataFrame([(t,) for t in texts], "text string").repartition(5))
+    want = KneserNey([gram_counts(*word_sequence(texts), 3)], 3)
+    probe = [*texts[:20], *zipf_texts(20, 12), "never seen words", "", "v1 v1 v1"]
+    a, b = (m.log_probabilities(*word_sequence(probe)) for m in (got.grams, want))
+    assert got.rare == 0 and np.allclose(a, b, atol=1e-4)
+
+
+def test_quality_fit_is_not_bounded_by_bytes(spark):
+    """Over 1 MB of trusted text in a language; the old model learned from the first megabyte only."""
+    texts = [f"lead{i} " + "filler text of many words " * 60 + f"mark{i} mark{i} mark{i}" for i in range(1200)]
+    assert sum(map(len, texts)) > 1_500_000
+    docs = make_docs(spark, [(i, t, "en") for i, t in enumerate(texts)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    model = quality.fit(docs, labels).arrays.value
+    taught = {r.id for r in docs.selectExpr("doc_id AS id", "pmod(xxhash64(text), 5) AS f").filter("f <> 0").collect()}
+    known = lambda i: bool(model.grams.knows(words(*text_bytes(pa.array([f"mark{i}"])), SPACED_WORD)[0])[0])
+    assert [known(i) for i in range(len(texts))] == [i in taught for i in range(len(texts))]
+
+
+def token_logs(model, text):
+    """Log probability of each word of the text and of its end."""
+    symbol, row, _ = words(*text_bytes(pa.array([text])), SPACED_WORD)
+    known = model.grams.knows(symbol) if model.rare else np.ones(len(symbol), bool)
+    out = model.grams.log_probabilities(*padded(np.where(known, symbol, quality.RARE), row, 1, 3))[:, 0].astype(float)
+    out[:-1][~known] -= np.log(model.rare + 1)
+    return out
+
+
+@pytest.mark.parametrize("most_words,most_grams", [(50, 1 << 20), (1 << 19, 300), (60, 200), (3, 4)])
+def test_pruned_quality_model_sums_to_one(spark, monkeypatch, most_words, most_grams):
+    texts = zipf_texts(200)
+    monkeypatch.setattr(quality, "MOST_WORDS", most_words)
+    monkeypatch.setattr(quality, "MOST_GRAMS", most_grams)
+    model = quality._model(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    every = sorted({w for t in texts for w in t.split()})
+    assert len(model.grams.keys[2]) <= most_grams and (model.rare > 0) == (len(every) > most_words)
+    for start in ("", "v1", "v1 v2", "v2 v1", "other", texts[0]):
+        n = len(start.split())
+        p = [math.exp(token_logs(model, f"{start} {w}")[n]) for w in [*every, "other"]]
+        assert sum(p) + math.exp(token_logs(model, start)[-1]) == pytest.approx(1.0, abs=1e-4)
+    assert model.perplexities(pa.array(texts[:3])) == pytest.approx([np.exp(-token_logs(model, t).mean()) for t in texts[:3]])
+
+
+def test_least_kept_is_the_smallest_that_fits():
+    assert quality.least_kept({}, 5) == 1 and quality.least_kept({1: 3, 2: 2}, 5) == 1
+    assert quality.least_kept({1: 3, 2: 2}, 4) == 2 and quality.least_kept({1: 3, 7: 5}, 4) == 8
+    assert quality.least_kept({8192: 5, 4095: 1}, 4) == 16384 and quality.least_kept({8192: 4, 3: 1}, 4) == 4
