@@ -38,6 +38,10 @@ MOST_PASSES = 40  # over a corpus that is small against PARTS * ROUNDS * STEPS b
 PART_TOKENS = 1 << 26  # training tokens of a part at most, where the blocks' files allow
 PIECE = 1 << 18  # parameters that cross a shuffle in one row
 END = np.uint64(2)  # hash of the end token
+SCORED = 1 << 18  # tokens of a task that are scored together: frequent words and contexts are worked out once for them
+CLASSES = 64  # classes whose exponentials are held for all words of the scored tokens
+PAIRS = 1024  # contexts whose products are summed at a time: what a cache holds
+STEEP = 40  # exponents of either word of a context at most, else their product may leave single precision
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
@@ -85,10 +89,6 @@ def _unpack(raw: bytes | pa.Buffer, n: int) -> np.ndarray:
     return np.frombuffer(pa.Codec("zstd").decompress(raw, 4 * n), np.uint32) if n else np.zeros(0, np.uint32)
 
 
-def _tokens(r: dict) -> np.ndarray:
-    return _unpack(r["tokens"], sum(r["sizes"])).astype(np.int64)
-
-
 def _word_counts(blocks: DataFrame) -> DataFrame:
     def run(batches):
         for r in _block_rows(batches):
@@ -185,7 +185,7 @@ class LogBilinear:
         self.inner = np.zeros((n, SIZE + 1), np.float32)
         self.own = np.log(np.maximum(share / np.maximum(self.class_share, 1e-12)[self.cls], 1e-12)).astype(np.float32)
         self.inner[:, SIZE] = self.own
-        self.past = None
+        self.rows = self.past = self.last = None
 
     def query(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         return self._query(self.r[one], self.r[two])
@@ -195,54 +195,72 @@ class LogBilinear:
         q[:, :SIZE] = self.near * near + self.far * far
         return q
 
-    def _step(self, name: str, at: np.ndarray, grad: np.ndarray) -> None:
-        """AdaGrad on the rows ``at`` only, repeated rows summed."""
-        order = _sorted(at)
-        at = at[order]
-        starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        rows, g = at[starts], np.add.reduceat(grad[order], starts, axis=0) / np.float32(BATCH)
-        past = self.past[name][rows] + g * g
-        self.past[name][rows] = past
-        getattr(self, name)[rows] += np.float32(RATE) * g / np.sqrt(past)
+    def _step(self, name: str, at: np.ndarray, held: np.ndarray, grad: np.ndarray) -> None:
+        """AdaGrad on the rows ``at`` only (``held``: what the table has there), repeated rows summed; overwrites ``grad``."""
+        own, last, wide = np.arange(len(at)), self.last[name], grad.shape[1]
+        last[at] = own
+        to = last.take(at)  # the last of the places that hold the same row
+        first, again = np.flatnonzero(to == own), np.flatnonzero(to != own)
+        np.add.at(grad.reshape(-1), (to.take(again)[:, None] * wide + np.arange(wide)).reshape(-1), grad.take(again, axis=0).reshape(-1))
+        g, held = grad.take(first, axis=0), held.take(first, axis=0)
+        g /= np.float32(BATCH)
+        past = held[:, wide:]
+        past += g * g
+        g *= np.float32(RATE)
+        g /= np.sqrt(past)
+        held[:, :wide] += g
+        self.rows[name][at.take(first)] = held
 
     def train(self, context: np.ndarray, word: np.ndarray, seed, times: int = 1) -> int:
         """Every token ``times`` times in minibatches, in random order, by noise-contrastive estimation with AdaGrad: its class against
         noise classes drawn by share (shared by the batch), and its word against words of its class drawn by share."""
         rng = np.random.default_rng(seed)
-        if self.past is None:
+        if self.rows is None:  # a row and its past squares lie side by side
             self.past = {k: np.full_like(getattr(self, k), 1e-7) for k in self.NAMES}
+            self.rows = {k: np.concatenate([getattr(self, k), self.past.pop(k)], axis=1) for k in ("r", "out", "inner")}
+            self.r, self.out, self.inner = (self.rows[k][:, :self.rows[k].shape[1] // 2] for k in ("r", "out", "inner"))
+            self.last = {k: np.zeros(len(x), np.int64) for k, x in self.rows.items()}
+        wide = SIZE + 1
         class_upto = np.cumsum(self.class_share)
         log_noise = np.log(np.maximum(self.class_share, 1e-12) * NOISE).astype(np.float32)
         log_inner = self.own + np.float32(np.log(INNER_NOISE))
+        find = _Places(self.upto)
         size = np.diff(self.edges)
         mixed = np.concatenate([rng.permutation(len(word)) for _ in range(times)])
-        sigmoid = lambda x: 1 / (1 + np.exp(np.minimum(-x, 30)))
+        all_two, all_one = np.divmod(context, self.wide)
+        all_word, all_one, all_two = word[mixed], all_one[mixed], all_two[mixed]
+        all_class = self.cls[all_word]
         for i in range(0, len(mixed), BATCH):
-            pick = mixed[i:i + BATCH]
-            w, one, two = word[pick], context[pick] % self.wide, context[pick] // self.wide
-            c = self.cls[w]
+            w, one, two, c = (x[i:i + BATCH] for x in (all_word, all_one, all_two, all_class))
+            n = len(w)
             noise = np.minimum(np.searchsorted(class_upto, rng.random(NOISE) * class_upto[-1], "right"), len(class_upto) - 1)
-            r1, r2 = self.r[one], self.r[two]
-            q, v = self._query(r1, r2), self.out[c]
-            up = sigmoid(log_noise[c] - np.einsum("ij,ij->i", q, v))
-            down = -sigmoid(q @ self.out[noise].T - log_noise[noise])
-            grad_q = up[:, None] * v + down @ self.out[noise]
+            near_far, classes = np.concatenate([one, two]), np.concatenate([c, noise])
+            r, out = self.rows["r"].take(near_far, axis=0), self.rows["out"].take(classes, axis=0)
+            r1, r2, v, other = r[:n, :SIZE], r[n:, :SIZE], out[:n, :wide], np.ascontiguousarray(out[n:, :wide])
+            q = self._query(r1, r2)
+            up = _sigmoid(log_noise[c] - np.einsum("ij,ij->i", q, v))
+            other[:, SIZE] -= log_noise[noise]  # the bias gets no part of a query's gradient
+            down = -_sigmoid(q @ other.T)
+            grad_q = up[:, None] * v + down @ other
             deep = np.flatnonzero(size[c] > 1)
             if len(deep):
-                low, high = self.upto[self.edges[c[deep]]], self.upto[self.edges[c[deep] + 1]]
-                drawn = np.searchsorted(self.upto, low[:, None] + rng.random((len(deep), INNER_NOISE)) * (high - low)[:, None], "right") - 1
-                drawn = np.clip(drawn, self.edges[c[deep]][:, None], self.edges[c[deep] + 1][:, None] - 1)
+                cd = c[deep]
+                first, last = self.edges[cd], self.edges[cd + 1]
+                low, high = self.upto[first], self.upto[last]
+                drawn = find(low[:, None] + rng.random((len(deep), INNER_NOISE)) * (high - low)[:, None])
+                drawn = np.minimum(np.maximum(drawn, first[:, None]), last[:, None] - 1)
                 at = np.concatenate([w[deep][:, None], drawn], axis=1)  # the word, then its noise
-                v, qd = self.inner[at], q[deep]
-                pull = -sigmoid((v @ qd[:, :, None])[:, :, 0] - log_inner[at])
+                held, qd = self.rows["inner"].take(at.reshape(-1), axis=0), q.take(deep, axis=0)
+                inner = held.reshape(*at.shape, 2 * wide)[:, :, :wide]
+                pull = -_sigmoid(np.einsum("ijk,ik->ij", inner, qd) - log_inner.take(at))
                 pull[:, 0] += 1
-                grad_q[deep] += (pull[:, None] @ v)[:, 0]
-                self._step("inner", at.reshape(-1), (pull[:, :, None] * qd[:, None]).reshape(-1, SIZE + 1))
-            self._step("out", np.concatenate([c, noise]), np.concatenate([up[:, None] * q, down.T @ q]))
-            grad_q = grad_q[:, :SIZE]
-            self._step("r", np.concatenate([one, two]), np.concatenate([grad_q * self.near, grad_q * self.far]))
-            for k, r in (("near", r1), ("far", r2)):
-                g = (grad_q * r).sum(axis=0) / np.float32(BATCH)
+                grad_q[deep] += np.einsum("ij,ijk->ik", pull, inner)
+                self._step("inner", at.reshape(-1), held, (pull[:, :, None] * qd[:, None]).reshape(-1, wide))
+            self._step("out", classes, out, np.concatenate([up[:, None] * q, down.T @ q]))
+            grad_q = np.ascontiguousarray(grad_q[:, :SIZE])
+            self._step("r", near_far, r, np.concatenate([grad_q * self.near, grad_q * self.far]))
+            for k, x in (("near", r1), ("far", r2)):
+                g = np.einsum("ij,ij->j", grad_q, x) / np.float32(BATCH)
                 self.past[k] += g * g
                 setattr(self, k, getattr(self, k) + np.float32(RATE) * g / np.sqrt(self.past[k]))
         return len(mixed)
@@ -256,28 +274,105 @@ class LogBilinear:
             old = getattr(self, k)
             setattr(self, k, flat[at:at + old.size].reshape(old.shape).astype(np.float32))
             at += old.size
+        self.rows = self.past = None
 
     def log_probabilities(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Normalised natural log probability of each word after its context; batched products."""
         codes, place = np.unique(context, return_inverse=True)
-        q = self.query(codes % self.wide, codes // self.wide)
-        out = self.out.copy()
-        out[START, SIZE] = -1e30
-        norm = np.empty(len(codes), np.float32)
-        for i in range(0, len(codes), 512):
-            norm[i:i + 512] = _log_sum(q[i:i + 512] @ out.T)
+        place = place.astype(np.int32)
+        two, one = (x.astype(np.int32) for x in np.divmod(codes, self.wide))
+        del codes
+        norm = self._class_norms(one, two)
         cls = self.cls[word]
-        value = np.einsum("ij,ij->i", q[place], out[cls]) - norm[place]
+        r, value = np.ascontiguousarray(self.r), np.empty(len(word), np.float32)
+        query = lambda at: self._query(r.take(one.take(at), axis=0), r.take(two.take(at), axis=0))
+        for i in range(0, len(word), 4096):
+            at, c = place[i:i + 4096], cls[i:i + 4096]
+            value[i:i + 4096] = np.einsum("ij,ij->i", query(at), self.out[c]) - norm[at]
         deep = np.flatnonzero(np.diff(self.edges)[cls] > 1)
-        deep = deep[np.argsort(cls[deep], kind="stable")]
+        deep = deep[_sorted(cls[deep])]
         for own in np.split(deep, np.flatnonzero(np.diff(cls[deep])) + 1) if len(deep) else []:
             first, last = self.edges[cls[own[0]]:cls[own[0]] + 2]
-            for i in range(0, len(own), 2048):
-                some = own[i:i + 2048]
-                s = q[place[some]] @ self.inner[first:last].T
-                value[some] += s[np.arange(len(some)), word[some] - first] - _log_sum(s)
+            for i in range(0, len(own), 512):
+                some = own[i:i + 512]
+                at = place[some]
+                s = query(at) @ self.inner[first:last].T
+                value[some] += s[np.arange(len(some)), word[some] - first]
+                value[some] -= _log_sum(s)
         return value
 
+    def _class_norms(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Logarithm of the sum over all classes for each context.  A score is a sum of a part of each word, so its exponential
+        is a product: exponentials are taken once per word and class, and a context is a sum of products."""
+        (ones, i), (twos, j) = (_distinct(x, len(self.r)) for x in (one, two))
+        near, far = self.near * self.r[ones], self.far * self.r[twos]
+        kept = np.flatnonzero(np.arange(len(self.out)) != START)
+        out, weight = self.out[kept, :SIZE], np.exp(self.out[kept, SIZE])
+        total = np.zeros(len(one), np.float32)
+        a, b = (np.empty((len(x), CLASSES), np.float32) for x in (ones, twos))
+        c, d = np.empty((2, PAIRS, CLASSES), np.float32)
+        with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+            for s in range(0, len(kept), CLASSES):
+                part = np.zeros((CLASSES, SIZE), np.float32)
+                part[:len(kept) - s] = out[s:s + CLASSES]
+                scale = np.zeros(CLASSES, np.float32)
+                scale[:len(kept) - s] = weight[s:s + CLASSES]
+                for x, to in ((near, a), (far, b)):
+                    for k in range(0, len(x), PAIRS):
+                        some = np.matmul(x[k:k + PAIRS], part.T, out=to[k:k + PAIRS])
+                        np.exp(some, out=some)
+                        if to is a:
+                            some *= scale
+                for k in range(0, len(one), PAIRS):
+                    n = min(PAIRS, len(one) - k)
+                    a.take(i[k:k + n], axis=0, out=c[:n], mode="clip")
+                    b.take(j[k:k + n], axis=0, out=d[:n], mode="clip")
+                    total[k:k + n] += np.einsum("ij,ij->i", c[:n], d[:n])
+            norm = np.log(total)
+            longest = np.sqrt((out * out).sum(axis=1).max(initial=0))
+            steep = [np.sqrt((x * x).sum(axis=1)) * longest > STEEP for x in (near, far)]
+        # products that single precision may not hold are summed by their logarithms
+        odd = np.flatnonzero(steep[0][i] | steep[1][j] | ~((total > 1e-30) & (total < 1e30)))
+        for k in range(0, len(odd), 512):
+            some = odd[k:k + 512]
+            norm[some] = _log_sum(self.query(one[some], two[some]) @ self.out[kept].T)
+        return norm
+
+
+def _distinct(values: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ascending, and the place of each value in them."""
+    there = np.zeros(below, bool)
+    there[values] = True
+    place = np.cumsum(there, dtype=np.int32) - np.int32(1)
+    return np.flatnonzero(there), place[values]
+
+
+class _Places:
+    """``searchsorted(upto, x, "right") - 1`` for x from 0 to the last value: a table of even steps, then single steps."""
+
+    def __init__(self, upto: np.ndarray):
+        self.steps = 1 << int(2 * len(upto)).bit_length()
+        self.table = np.searchsorted(upto, np.arange(self.steps + 1) / self.steps, "right") - 1
+        self.above = np.append(upto[1:], [np.inf, np.inf])
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        flat = x.reshape(-1)
+        out = self.table.take(np.minimum(flat * self.steps, self.steps).astype(np.int64))
+        todo = np.flatnonzero(self.above.take(out) <= flat)
+        while len(todo):
+            out[todo] += 1
+            todo = todo[self.above.take(out[todo]) <= flat[todo]]
+        return out.reshape(x.shape)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)) in the place of ``x``."""
+    np.negative(x, out=x)
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
 
 def _sorted(at: np.ndarray) -> np.ndarray:
     """Stable order of places below 2**32, by their 16-bit halves (numpy sorts those by radix)."""
@@ -287,10 +382,23 @@ def _sorted(at: np.ndarray) -> np.ndarray:
 
 
 def _log_sum(s: np.ndarray) -> np.ndarray:
-    """Logarithm of the rows' sums of exponentials."""
+    """Logarithm of the rows' sums of exponentials; overwrites ``s``."""
     top = s.max(axis=1)
-    s = s - top[:, None]
-    return top + np.log(np.exp(s, out=s).sum(axis=1))
+    s -= top[:, None]
+    return top + np.log(np.exp(s, out=s) @ np.ones(s.shape[1], s.dtype))
+
+
+def _groups(rows, size, least: int):
+    """Lists of rows, in order, of at least ``least`` together (the last may be smaller)."""
+    some, total = [], 0
+    for r in rows:
+        some.append(r)
+        total += size(r)
+        if total >= least:
+            yield some
+            some, total = [], 0
+    if some:
+        yield some
 
 
 def passes(tokens: int) -> int:
@@ -409,30 +517,36 @@ def lm_scores(docs: DataFrame, folds: int = 7, fold: int = 2, id_col: str = "doc
     found = pairs.join(counts, "h").groupBy("block").agg(F.collect_list(F.struct("at", F.col("c"))).alias("rare"))
     kind = base.schema["doc_id"].dataType.simpleString()
 
-    def score(batches):
-        words_, lbl = shared.value, model.value
+    def ready_blocks(batches):
+        """Per block: its documents' ids, folds and sizes, the count and the place in the vocabulary of its words, and its tokens."""
         for b in batches:
             for i in range(b.num_rows):
                 r = {c: b.column(c)[i].as_py() for c in ("n", "low", "high", "word", "tokens", "sizes")}
                 low, high, word = (_unpack(r[x], r["n"]) for x in ("low", "high", "word"))
                 c = np.maximum(high.view(np.int32).astype(np.int64) << 32 | low, 0)
-                word = word.astype(np.int64)
                 more = b.column("rare")[i]
                 if more.is_valid:
                     pairs_ = more.values
                     c[pairs_.field("at").to_numpy()] = pairs_.field("c").to_numpy()
-                token, sizes = _tokens(r), np.array(r["sizes"])
+                yield b.column("ids")[i].values, b.column("held")[i].values, np.array(r["sizes"]), c, word.astype(np.int64), _unpack(r["tokens"], sum(r["sizes"]))
+
+    def score(batches):
+        words_, lbl = shared.value, model.value
+        for some in _groups(ready_blocks(batches), lambda x: len(x[5]), SCORED):
+            target = np.concatenate([word[token] for *_, word, token in some])
+            before = _contexts(target, np.concatenate([x[2] for x in some]), lbl.wide)
+            values = lbl.log_probabilities(before, target) / np.log(10)
+            del target, before
+            values = np.split(values, np.cumsum([len(x[5]) for x in some])[:-1])
+            for (ids, held, sizes, c, word, token), value in zip(some, values, strict=True):
                 row = np.repeat(np.arange(len(sizes)), sizes)
                 plain = np.log10((c + 1) / (words_.tokens + words_.distinct + 1))
                 inside = np.where(word == REST, np.log10((c + 1) / (words_.rest_tokens + words_.rest_distinct + 1)), 0.0)
-                word = word[token]
-                value = lbl.log_probabilities(_contexts(word, sizes, lbl.wide), word) / np.log(10) + inside[token]
                 n = len(sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("ids")[i].values, b.column("held")[i].values, pa.array(sizes),
-                     pa.array(np.bincount(row[c[token] > 0], minlength=n)), pa.array(np.full(n, words_.tokens)),
-                     pa.array(np.bincount(row, weights=plain[token], minlength=n)),
-                     pa.array(np.bincount(row, weights=value, minlength=n))],
+                    [ids, held, pa.array(sizes), pa.array(np.bincount(row[c[token] > 0], minlength=n)),
+                     pa.array(np.full(n, words_.tokens)), pa.array(np.bincount(row, weights=plain[token], minlength=n)),
+                     pa.array(np.bincount(row, weights=value + inside[token], minlength=n))],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     ready = (blocks.select("block", "ids", "held", "sizes", "hashes", "tokens")

@@ -214,6 +214,101 @@ def test_vocabulary_grows_and_words_of_a_class_are_normalised():
     assert (p[1900] != p[1200]).any() and p[1900][every == 1200] > 2 * p[1200][every == 1200]
 
 
+def small_model(words_=900, seed=4):
+    """A model whose classes of several words and parameters differ from their start."""
+    rng = np.random.default_rng(seed)
+    share = np.concatenate([[0.1, 0.0], np.sort(rng.random(words_ - 2))[::-1]])
+    model = neural_lm.LogBilinear(share / share.sum())
+    for k in ("out", "inner"):
+        table = getattr(model, k)
+        table[:, :neural_lm.SIZE] = rng.normal(0, 0.3, (len(table), neural_lm.SIZE))
+    return model
+
+
+def plain_log_probabilities(model, context, word):
+    """In double precision, one context at a time."""
+    wide = neural_lm.SIZE
+    out = []
+    for code, w in zip(context.tolist(), word.tolist(), strict=True):
+        q = model.near.astype(float) * model.r[code % model.wide] + model.far.astype(float) * model.r[code // model.wide]
+        s = model.out[:, :wide].astype(float) @ q + model.out[:, wide]
+        s[neural_lm.START] = -np.inf
+        c = model.cls[w]
+        value = s[c] - s.max() - math.log(np.exp(s - s.max()).sum())
+        first, last = model.edges[c:c + 2]
+        if last - first > 1:
+            t = model.inner[first:last, :wide].astype(float) @ q + model.inner[first:last, wide]
+            value += t[w - first] - t.max() - math.log(np.exp(t - t.max()).sum())
+        out.append(value)
+    return np.array(out)
+
+
+@pytest.mark.parametrize("steep", [1, 60])
+def test_log_probabilities_against_plain_sums(steep):
+    """Also where the parts of the two words of a context are beyond single precision."""
+    model, rng = small_model(), np.random.default_rng(9)
+    model.r[2:40] *= steep
+    word = rng.choice([x for x in range(900) if x != neural_lm.START], 3000)
+    one, two = rng.integers(0, 900, (2, 3000))
+    context = two * model.wide + one
+    got, want = model.log_probabilities(context, word), plain_log_probabilities(model, context, word)
+    assert np.allclose(got, want, rtol=1e-5, atol=2e-4)
+
+
+def test_exponentials_are_taken_per_word_and_not_per_context(monkeypatch):
+    """40 words before 1600 contexts: far fewer exponentials than contexts times classes."""
+    model = small_model(500)
+    one, two = (x.reshape(-1) for x in np.meshgrid(np.arange(2, 42), np.arange(2, 42)))
+    taken, exp = [], np.exp
+
+    def counted(x, *a, **k):
+        taken.append(np.size(x))
+        return exp(x, *a, **k)
+
+    monkeypatch.setattr(neural_lm.np, "exp", counted)
+    model.log_probabilities(two * model.wide + one, np.full(1600, 7))
+    assert sum(taken) < 0.1 * 1600 * len(model.out)
+
+
+def test_places_are_those_of_a_search():
+    rng = np.random.default_rng(2)
+    for share in (rng.random(7), np.concatenate([[0.5, 0.0], rng.pareto(1, 3000)]), np.concatenate([np.ones(3), np.full(2000, 1e-9)])):
+        upto = np.concatenate([[0.0], np.cumsum(share / share.sum())])
+        x = np.concatenate([rng.random(5000), upto, rng.random(500) * 1e-6, 1 - rng.random(500) * 1e-6])
+        x = np.minimum(x, upto[-1])
+        assert np.array_equal(neural_lm._Places(upto)(x), np.searchsorted(upto, x, "right") - 1)
+
+
+def test_a_step_sums_repeated_rows():
+    model = small_model(600)
+    model.train(np.full(4, neural_lm.START * model.wide + 2), np.full(4, 3), 0)
+    at = np.array([5, 9, 5, 2, 5, 9])
+    grad = np.arange(6 * neural_lm.SIZE, dtype=np.float32).reshape(6, -1)
+    before = model.rows["r"].copy()
+    want = before.copy()
+    for row in set(at.tolist()):
+        g = grad[at == row].sum(axis=0) / neural_lm.BATCH
+        want[row, neural_lm.SIZE:] += g * g
+        want[row, :neural_lm.SIZE] += neural_lm.RATE * g / np.sqrt(want[row, neural_lm.SIZE:])
+    model._step("r", at, before[at], grad)
+    assert np.allclose(model.rows["r"], want, rtol=1e-5, atol=1e-6) and np.shares_memory(model.r, model.rows["r"])
+
+
+def test_groups_hold_every_row_in_order():
+    assert [list(x) for x in neural_lm._groups([3, 1, 4, 1, 5], int, 4)] == [[3, 1], [4], [1, 5]]
+    assert list(neural_lm._groups([1, 2], int, 9)) == [[1, 2]] and not list(neural_lm._groups([], int, 9))
+
+
+@pytest.mark.parametrize("scored", [1, 1 << 20])
+def test_scores_do_not_depend_on_the_blocks_scored_together(spark, edge_docs, monkeypatch, scored):
+    monkeypatch.setattr(neural_lm, "CHUNK_BYTES", 40)
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.n_tokens, r.base_score)
+    want = [r.score for r in sorted(neural_lm.lm_scores(edge_docs.coalesce(1)).collect(), key=key)]
+    monkeypatch.setattr(neural_lm, "SCORED", scored)
+    got = [r.score for r in sorted(neural_lm.lm_scores(edge_docs.coalesce(1)).collect(), key=key)]
+    assert got == pytest.approx(want, rel=1e-4)
+
+
 def test_training_visits_every_token():
     before = neural_lm.PARTS * neural_lm.ROUNDS * neural_lm.STEPS * neural_lm.BATCH
     for tokens in (1, 40_000, 4_000_000, 80_000_000, 5 * 10**9):
