@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 from llm_data import EDGES, make_docs
 
 import __spark_entry__ as entry
-from plover.llm import langid, neural_lm, quality
+from plover.llm import gram_shards, langid, neural_lm, quality
 from plover.llm.common import SPACED_WORD, text_bytes, words
 from plover.llm.ngrams import KneserNey, gram_counts, padded
 
@@ -392,3 +392,41 @@ def test_least_kept_is_the_smallest_that_fits():
     assert quality.least_kept({}, 5) == 1 and quality.least_kept({1: 3, 2: 2}, 5) == 1
     assert quality.least_kept({1: 3, 2: 2}, 4) == 2 and quality.least_kept({1: 3, 7: 5}, 4) == 8
     assert quality.least_kept({8192: 5, 4095: 1}, 4) == 16384 and quality.least_kept({8192: 4, 3: 1}, 4) == 4
+
+
+def labelled(spark, texts):
+    rows = [(i if i % 9 else None, t, None if i % 7 == 0 else "en" if i % 2 else "de") for i, t in enumerate(texts)]
+    labels = spark.createDataFrame([(i, int(i % 5 > 0), 0) for i in range(0, len(texts), 2)], "doc_id long, quality int, toxic int")
+    return make_docs(spark, rows), labels
+
+
+@pytest.mark.parametrize("hot", [2, 4096])
+def test_quality_leaves_no_gram_out_beyond_the_bounds(spark, monkeypatch, hot):
+    """Perplexities of a model that is too large for the tasks are those of all words and grams."""
+    texts = [*zipf_texts(300), "", None, "never seen words", "v1 v1 v1", "v1", *zipf_texts(3)]
+    docs, labels = labelled(spark, texts)
+    by = lambda df: sorted(((r.doc_id, r.lang, r["keep"], r.perplexity, r.bound) for r in df.collect()), key=repr)
+    want = by(quality.quality_report(docs, labels))
+    kept = sorted(map(repr, quality.keep_good(docs, labels).collect()))
+    for name, value in (("MOST_WORDS", 3), ("MOST_GRAMS", 4)):
+        monkeypatch.setattr(quality, name, value)
+    for name, value in (("SHARD_TOKENS", 700), ("CHUNK_TOKENS", 1500), ("CHUNK_BYTES", 1000), ("ASKED_BYTES", 4000), ("PART_WORDS", 50), ("HOT", hot)):
+        monkeypatch.setattr(gram_shards, name, value)
+    got = by(quality.quality_report(docs, labels))
+    assert len(want) == len(texts) and [x[:2] for x in got] == [x[:2] for x in want]
+    assert np.allclose([x[3:] for x in got], [x[3:] for x in want], rtol=1e-5)
+    assert [x[2] for x in got] == [x[2] for x in want]
+    assert sorted(map(repr, quality.keep_good(docs, labels).collect())) == kept and 0 < len(kept) < len(texts)
+
+
+def test_gram_records_hold_their_grams():
+    rng = np.random.default_rng(3)
+    pair, u = rng.integers(4, 40, 900) << 32 | rng.integers(2, 30, 900), rng.integers(1, 6000, 900)
+    grams, count = gram_shards._distinct(pair, u)
+    want = collections.Counter(zip(pair.tolist(), u.tolist(), strict=True))
+    got = {}
+    for s, two, three in grams.split(7):
+        back = gram_shards.Grams.of_record(grams.part(two, three).record(s, gram_shards.TEACH))
+        assert (gram_shards.dealt(back.pairs, 7) == s).all()
+        got |= dict(zip(zip(back.pairs[back.of].tolist(), back.u.tolist(), strict=True), count[three].tolist(), strict=True))
+    assert got == want
