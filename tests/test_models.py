@@ -155,6 +155,23 @@ def test_folds_are_written_before_the_scaler(spark, planted, monkeypatch):
     assert columns["fold"] == ["features", "label", "held"]
 
 
+def test_scaled_vectors_stay_sparse_with_the_centred_probabilities(spark, planted):
+    """The fit must not hold every one-hot column of every row; the model is that of centred vectors."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.linalg import SparseVector
+
+    from plover.operators import features as FT
+
+    rows = planted.withColumn("many", (F.col("id") % 40).cast("string"))
+    pipe, lr = M.glm_pipeline(["cat", "many"], ["x", "noise"], "bad", reg_param=0.01)
+    model = pipe.fit(rows)
+    assert all(isinstance(r[0], SparseVector) for r in model.transform(rows).select("scaledFeatures").take(50))
+    centred = Pipeline(stages=[*pipe.getStages()[:-2], FT.scaler(), lr]).fit(rows)
+    a, b = ({r.id: r.p1 for r in M.score(m, rows, keep=["id"]).collect()} for m in (model, centred))
+    assert len(a) == 4000 and a == pytest.approx(b, abs=1e-9)
+    assert list(model.stages[-1].coefficients) == pytest.approx(list(centred.stages[-1].coefficients), abs=1e-9)
+
+
 def test_forest_rows_are_not_shuffled_by_class(spark, monkeypatch):
     from conftest import SF_SMALL
     from plover.plans import q_eval
