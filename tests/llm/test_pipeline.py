@@ -35,3 +35,16 @@ def test_repeat_stage_cuts_passages_of_over_fifty_words(spark):
     got = {r.doc_id: r.text for r in dict(C.STAGES)["suffix_array_dedup"](spark, docs, SF_SMALL).collect()}
     assert all(got[i] == f"start {i} of its own {i * 7919}{i * 104729} of the text" for i in range(6))
     assert all(got[10 + i] == rows[6 + i][1] for i in range(4))
+
+
+def test_quality_stage_keeps_the_same_rows_when_the_model_is_in_shards(spark, monkeypatch):
+    """A model beyond the bounds of the tasks is as whole as one below: no gram is left out, and the stage's rows are the same."""
+    from plover.llm import gram_shards, quality
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    want = sorted(map(repr, C.quality(spark, docs, SF_SMALL).collect()))
+    for module, name, value in ((quality, "MOST_WORDS", 50), (quality, "MOST_GRAMS", 60), (gram_shards, "SHARD_TOKENS", 1 << 13),
+                                (gram_shards, "CHUNK_TOKENS", 1 << 13)):
+        monkeypatch.setattr(module, name, value)
+    got = C.quality(spark, docs, SF_SMALL)
+    assert got.columns == docs.columns and sorted(map(repr, got.collect())) == want and 0 < len(want) < docs.count()
